@@ -127,7 +127,7 @@ def near_copies(texts: list[str]) -> np.ndarray:
     return np.array([root(k) for k in range(len(texts))], np.int64)
 
 
-def fit(texts: list[str], toxic: list[int], evidence_g: float = 12.0, odds: float = 2.5, rounds: int = 20, chains: int = 1000) -> Model:
+def fit(texts: list[str], toxic: list[int], evidence_g: float = 15.0, odds: float = 2.5, rounds: int = 20, chains: int = 1000) -> Model:
     """A model from labelled documents; every fourth is kept for the calibration.
 
     A word or beginning is used if its document counts in the two classes differ by a log-likelihood
