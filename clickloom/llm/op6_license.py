@@ -66,18 +66,23 @@ _END = r"[.!?][ \t\r\n]+|\n+"
 
 
 def sentences(text: Column) -> Column:
-    """Normalised sentences; a sentence ends at . ! or ? before white space, or at a line's end."""
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), _END, "\x01")
-    # Once only ASCII is left, lower() is exact and takes its fast path.
-    plain = F.lower(F.regexp_replace(marked, "[^A-Za-z0-9\x01]+", " "))
-    return F.filter(F.transform(F.split(plain, "\x01"), lambda x: F.trim(x)), lambda x: x != "")
+    """Sentences with a letter or digit; one ends at . ! or ? before white space, or at a line's end."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), _END), lambda x: x.rlike("[A-Za-z0-9]"))
+
+
+def normalised(sentence: Column) -> Column:
+    """Lower-case letters and digits, anything else as one space. Once only ASCII is left, lower() is exact."""
+    return F.trim(F.lower(F.regexp_replace(sentence, "[^A-Za-z0-9]+", " ")))
 
 
 def license_scan(docs: DataFrame, known: dict[int, str] = SENTENCES, rules: tuple = RULES) -> DataFrame:
     """docs: doc_id, text. Returns doc_id, n_sentences, sentence_ids, licenses (both arrays)."""
     table = F.create_map(*[F.lit(x) for k, s in known.items() for x in (s, k)])
     split = docs.select("doc_id", sentences(F.col("text")).alias("sentences"))
-    ids = F.array_compact(F.transform("sentences", lambda x: F.try_element_at(table, x)))
+    # Only a sentence that holds the longest word of a known one can be it; the others need no normalising.
+    words = "(?i)" + "|".join(sorted({max(s.split(), key=len) for s in known.values()}))
+    likely = F.filter("sentences", lambda x: x.rlike(words))
+    ids = F.array_compact(F.transform(likely, lambda x: F.try_element_at(table, normalised(x))))
     seen = split.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), ids.alias("sentence_ids"))
     line = F.concat(F.lit(","), F.array_join(F.col("sentence_ids").cast("array<string>"), ","), F.lit(","))
     found = F.array_compact(F.array(*[F.when(line.contains("," + ",".join(map(str, seq)) + ","), name) for name, seq in rules]))
