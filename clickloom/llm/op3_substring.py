@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from .common import ids_back
 from .fmindex import FMIndex, repeated_windows
@@ -49,11 +50,16 @@ def word_index(width: int):
     return index
 
 
-def substring_dedup(docs: DataFrame, window: int = 35, gram: int = 8, sizes: Sizes = Sizes()) -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = 35, gram: int = 8, sizes: Sizes = Sizes(), others: tuple[str, ...] = (), as_it_was: bool = False) -> DataFrame:
     """Removes every word in a window of `window` words that starts anywhere else too.
 
-    docs: doc_id, text. Returns doc_id, n_words, n_removed, kept_text (kept words joined by a space).
+    docs: doc_id, text. Returns doc_id, n_words, n_removed, kept_text (kept words joined by a
+    space), and the columns named in others as they are. With as_it_was, a text that loses nothing is
+    kept byte for byte (a null one as the empty text).
     """
+    extra = [docs.schema[c] for c in others]
+    schema = StructType([*_parse_datatype_string(SCHEMA).fields, *extra])
+
 
     def finish(chunk, gone):
         before = np.concatenate([[0], np.cumsum(gone)])
@@ -61,12 +67,16 @@ def substring_dedup(docs: DataFrame, window: int = 35, gram: int = 8, sizes: Siz
         removed = np.diff(before[ends])
         keep, texts, end = ~gone, [], 0
         for k, stop in enumerate(chunk.ends.tolist()):
-            words = chunk.raw[end:stop].split()
-            texts.append(b" ".join(compress(words, keep[ends[k] : ends[k + 1]].tolist()) if removed[k] else words))
+            text = chunk.raw[end:stop]
+            if removed[k]:
+                text = b" ".join(compress(text.split(), keep[ends[k] : ends[k + 1]].tolist()))
+            elif not as_it_was:
+                text = b" ".join(text.split())
+            texts.append(text)
             end = stop
-        return pa.RecordBatch.from_arrays([ids_back(chunk.ids), pa.array(np.diff(ends)), pa.array(removed), pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
+        return pa.RecordBatch.from_arrays([ids_back(chunk.ids), pa.array(np.diff(ends)), pa.array(removed), pa.array(texts, pa.binary()).cast(pa.string()), *chunk.others()], names=[f.name for f in schema.fields])
 
-    return find(docs, Units(window, gram, True), word_index(window), finish, SCHEMA, False, sizes)
+    return find(docs, Units(window, gram, True), word_index(window), finish, schema, False, sizes, others)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

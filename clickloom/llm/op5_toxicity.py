@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -267,6 +268,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, folds:
     return rows.mapInArrow(lambda it: score_batches(it, model, with_spans), SCHEMA)
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample_rows: int = 2000) -> DataFrame:
+    """The rows of docs, all columns, whose score is below threshold."""
+    model = learn(docs, labels, sample_rows)
+
+    def run(batches):
+        for batch in batches:
+            pairs = pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("text")], names=["doc_id", "text"])
+            score = pa.concat_arrays([x.column("score") for x in score_batches(iter([pairs]), model, False)]) if len(batch) else pa.array([], pa.float64())
+            yield batch.filter(pc.less(score, threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return found.select("doc_id", (id_crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from . import winnow
 from .common import NULL_ID, ids_of, save, save_bucketed, shuffle_partitions
 
-CHUNK = "chunk long, n_bytes long, ids binary, ends binary, data binary"
-_CHUNK = pa.schema([("chunk", pa.int64()), ("n_bytes", pa.int64()), ("ids", pa.binary()), ("ends", pa.binary()), ("data", pa.binary())])
+CHUNK = "chunk long, n_bytes long, ids binary, ends binary, data binary, rest binary"
+_CHUNK = pa.schema([("chunk", pa.int64()), ("n_bytes", pa.int64()), ("ids", pa.binary()), ("ends", pa.binary()), ("data", pa.binary()), ("rest", pa.binary())])
 
 
 @dataclass(frozen=True)
@@ -54,30 +54,29 @@ class Sizes:
 
 
 def pack(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, text) to chunk rows; null texts become empty ones."""
+    """Rows (doc_id, text, any others) to chunk rows; null texts become empty ones, others travel as they are."""
     from pyspark import TaskContext
 
-    task, number = TaskContext.get().partitionId(), 0
+    number = TaskContext.get().partitionId() << 32
     squeeze = zstandard.ZstdCompressor(level=3)
-
-    def flush(ids, sizes, data):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x, t) for x, t in zip(([(task << 32) + number], [sum(sizes)], [np.array(ids, np.int64).tobytes()], [np.cumsum(sizes, dtype=np.int64).tobytes()], [squeeze.compress(b"".join(data))]), _CHUNK.types, strict=True)], schema=_CHUNK
-        )
-
-    ids, sizes, data, held = [], [], [], 0
     for batch in batches:
-        for doc, text in zip(ids_of(batch.column(0)).tolist(), batch.column(1), strict=True):
-            raw = (text.as_py() or "").encode()
-            ids.append(doc)
-            sizes.append(len(raw))
-            data.append(raw)
-            held += len(raw)
-            if held >= chunk_bytes:
-                yield flush(ids, sizes, data)
-                ids, sizes, data, held, number = [], [], [], 0, number + 1
-    if ids:
-        yield flush(ids, sizes, data)
+        raw = [(t or "").encode() for t in batch.column(1).to_pylist()]
+        ends = np.cumsum([len(b) for b in raw], dtype=np.int64)
+        ids = ids_of(batch.column(0))
+        at = 0
+        while at < len(raw):
+            begin = ends[at] - len(raw[at])
+            stop = max(at + 1, int(np.searchsorted(ends, begin + chunk_bytes, side="right")))
+            rest = b""
+            if batch.num_columns > 2:
+                sink = pa.BufferOutputStream()
+                others = batch.slice(at, stop - at).select(range(2, batch.num_columns))
+                with pa.ipc.new_stream(sink, others.schema) as writer:
+                    writer.write_batch(others)
+                rest = squeeze.compress(sink.getvalue().to_pybytes())
+            values = [number, int(ends[stop - 1] - begin), ids[at:stop].tobytes(), (ends[at:stop] - begin).tobytes(), squeeze.compress(b"".join(raw[at:stop])), rest]
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, _CHUNK.types, strict=True)], schema=_CHUNK)
+            at, number = stop, number + 1
 
 
 class Chunk:
@@ -89,6 +88,7 @@ class Chunk:
         self.ends = np.frombuffer(row["ends"], np.int64)
         self.raw = zstandard.ZstdDecompressor().decompress(row["data"]) if row["n_bytes"] else b""
         self.data = np.frombuffer(self.raw, np.uint8)
+        self.rest = row["rest"]
         if units.words:
             self.starts, self.stops, self.unit_ends = winnow.word_spans(self.data, self.ends)
             tokens = winnow.word_hashes(self.data, self.starts, self.stops)
@@ -97,6 +97,13 @@ class Chunk:
         self.key, self.first, self.stop = winnow.runs(tokens, self.unit_ends, units.window, units.gram)
         self.document = np.searchsorted(self.unit_ends, self.first, side="right")
 
+    def others(self) -> list[pa.Array]:
+        """The columns that only travelled along."""
+        if not self.rest:
+            return []
+        with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(self.rest)) as reader:
+            return reader.read_next_batch().columns
+
     def contexts(self, first: np.ndarray, stop: np.ndarray) -> list[bytes]:
         """The text of the windows from first up to stop; words joined by one space."""
         last = stop + self.units.window - 1
@@ -281,11 +288,11 @@ def covered(chunk: Chunk, row: dict, shards: int, by_document: bool) -> np.ndarr
     return np.cumsum(change[:-1]) > 0
 
 
-def find(docs: DataFrame, units: Units, index: Index, finish: Callable, schema: str, by_document: bool, sizes: Sizes = Sizes()) -> DataFrame:
-    """finish(chunk, covered units) gives the Arrow columns of schema, a row for each document of the chunk."""
+def find(docs: DataFrame, units: Units, index: Index, finish: Callable, schema: str, by_document: bool, sizes: Sizes = Sizes(), others: tuple[str, ...] = ()) -> DataFrame:
+    """docs: doc_id, text and the others, which finish() finds in chunk.others(). finish(chunk, covered units) gives the Arrow columns of schema, a row for each document of the chunk."""
     spark = docs.sparkSession
     buckets = shuffle_partitions(spark)
-    chunks = save_bucketed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda it: pack(it, sizes.chunk_bytes), CHUNK), "chunks", "chunk", buckets)
+    chunks = save_bucketed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *others).mapInArrow(lambda it: pack(it, sizes.chunk_bytes), CHUNK), "chunks", "chunk", buckets)
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(2 * buckets, total // sizes.shard_bytes)
     keys = chunks.mapInArrow(lambda it: send_keys(it, units, shards), "shard long, chunk long, keys binary, counts binary")
