@@ -43,7 +43,12 @@ def begin(shape: Shape, counts: np.ndarray, seed: int = 7) -> dict[str, np.ndarr
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.multiply(x, np.float32(0.5), out=x)
+    np.tanh(x, out=x)
+    x += 1
+    x *= np.float32(0.5)
+    return x
 
 
 def forward(p: dict, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, list]:
@@ -118,42 +123,46 @@ def backward(p: dict, inputs: np.ndarray, kept: list, d_out: np.ndarray) -> dict
     return {"u": d_u, "rows": words[order][firsts], "x": np.add.reduceat(flat[order], firsts, 0)}
 
 
-def lanes(documents: list[np.ndarray], shape: Shape, cells: int = 1 << 20) -> Iterator[np.ndarray]:
-    """Positions of documents of like length, as many as lanes or as memory allows."""
+def lanes(documents: list[np.ndarray], shape: Shape) -> Iterator[np.ndarray]:
+    """Positions of documents by length, as many as run side by side."""
+    order = np.argsort([len(d) for d in documents], kind="stable")
+    yield from (order[k : k + shape.lanes] for k in range(0, len(order), shape.lanes))
+
+
+def windows(documents: list[np.ndarray], end: int, cells: int, shortest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """(inputs, targets, which cells are real, first lane still running) of documents in order of length.
+
+    A lane stops with its document. A window has `shortest` steps, or more if that keeps it under cells.
+    """
     lengths = np.array([len(d) for d in documents])
-    order, at = np.argsort(lengths, kind="stable"), 0
-    while at < len(order):
-        n = shape.lanes
-        while n > 1 and lengths[order[min(at + n, len(order)) - 1]] * n > cells:
-            n //= 2
-        yield order[at : at + n]
-        at += n
-
-
-def windows(documents: list[np.ndarray], shape: Shape, end: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
-    """(inputs, targets, which cells are real, whether a document begins) for documents of at least one token."""
-    length = max(map(len, documents))
-    target = np.full((length, len(documents)), end, np.int64)
-    real = np.zeros((length, len(documents)), bool)
-    for k, d in enumerate(documents):
-        target[: len(d), k] = d
-        real[: len(d), k] = True
-    inputs = np.concatenate([np.full((1, len(documents)), end), target[:-1]])
-    for t in range(0, length, shape.window):
-        s = slice(t, t + shape.window)
-        yield inputs[s], target[s], real[s], t == 0
-
-
-def score(p: dict, shape: Shape, documents: list[np.ndarray], end: int) -> np.ndarray:
+    at, first = 0, 0
+    while first < len(documents):
+        going = documents[first:]
+        steps = max(shortest, cells // len(going))
+        steps = min(steps, int(lengths[-1]) - at)
+        target = np.full((steps, len(going)), end, np.int64)
+        inputs = np.full((steps, len(going)), end, np.int64)
+        for k, d in enumerate(going):
+            part = d[at : at + steps]
+            target[: len(part), k] = part
+            before = d[max(at - 1, 0) : at + len(part) - 1]
+            inputs[len(part) - len(before) : len(part), k] = before
+        real = np.arange(at, at + steps)[:, None] < lengths[None, first:]
+        yield inputs, target, real, first
+        at += steps
+        first = int(np.searchsorted(lengths, at, side="right"))
+
+
+def score(p: dict, shape: Shape, documents: list[np.ndarray], end: int, cells: int = 1 << 15) -> np.ndarray:
     """Natural log probability of each document, its state carried over all its windows."""
     out = np.zeros(len(documents))
     for block in lanes(documents, shape):
         state = np.zeros((len(block), shape.hidden), np.float32)
-        for inputs, target, real, _ in windows([documents[k] for k in block], shape, end):
-            hidden, _ = forward(p, inputs, state)
+        for inputs, target, real, first in windows([documents[k] for k in block], end, cells, shape.window):
+            hidden, _ = forward(p, inputs, state[len(state) - inputs.shape[1] :])
             state = hidden[-1]
             logp, _, _ = output(p, shape, hidden[real], target[real], False)
-            out[block] += np.bincount(np.nonzero(real)[1], weights=logp, minlength=len(block))
+            out[block[first:]] += np.bincount(np.nonzero(real)[1], weights=logp, minlength=inputs.shape[1])
     return out
 
 
@@ -168,11 +177,13 @@ class Trainer:
         self.speed[name][rows] += g * g
         self.p[name][rows] += self.rate * g / np.sqrt(self.speed[name][rows])
 
-    def learn(self, documents: list[np.ndarray], end: int) -> None:
-        for block in lanes(documents, self.shape):
+    def learn(self, documents: list[np.ndarray], end: int, longest: int = 1024) -> None:
+        """One pass; a document beyond `longest` tokens is learnt from in parts of that length, so that lanes stay full."""
+        parts = [d[k : k + longest] for d in documents for k in range(0, len(d), longest)]
+        for block in lanes(parts, self.shape):
             state = np.zeros((len(block), self.shape.hidden), np.float32)
-            for inputs, target, real, _ in windows([documents[k] for k in block], self.shape, end):
-                hidden, kept = forward(self.p, inputs, state)
+            for inputs, target, real, _ in windows([parts[k] for k in block], end, 0, self.shape.window):
+                hidden, kept = forward(self.p, inputs, state[len(state) - inputs.shape[1] :])
                 state = hidden[-1]
                 _, back, grads = output(self.p, self.shape, hidden[real], target[real], True)
                 d_out = np.zeros_like(hidden)

@@ -30,7 +30,7 @@ from . import gru
 from .common import id_crc_mod, ids_back, ids_of, lower_words, save
 
 _END, _OTHER = 0, 1
-_SLICE = 2048
+_SLICE = 8192  # documents that are run together, by length
 
 
 def count_words(docs: DataFrame, flush: int = 500_000) -> DataFrame:
@@ -107,8 +107,16 @@ def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: g
     n_docs, totals = learnt.count(), counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     n_words, n_distinct = totals[0] or 0, totals[1]
     n, v = n_words + n_docs, n_distinct + (1 if n_docs else 0)
-    # `frequent` rows at most.
-    top = counts.orderBy(F.desc("n"), "word").limit(frequent).collect()
+    # Words by bands of counts (at most a few hundred bands), from the top as long as they are `frequent` at most.
+    band = F.floor(F.log2("n") * 8)
+    held, floor = 0, None
+    for row in counts.groupBy(band.alias("band")).count().orderBy(F.desc("band")).collect():
+        held += row["count"]
+        if held > frequent:
+            break
+        floor = row.band
+    top = counts.filter(band >= floor).collect() if floor is not None else []
+    top.sort(key=lambda r: (-r.n, bytes(r.word)))
     ranks = {bytes(r.word): k for k, r in enumerate(top)}
     top_n = np.array([r.n for r in top], np.int64)
     inside = min(len(top), shape.words - 2)
