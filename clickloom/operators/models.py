@@ -1,0 +1,202 @@
+"""Per-brand series models in numpy inside grouped-map functions.
+
+A group is one brand's hourly series: its size is bounded by the hours of the period (8,784 a year), whatever the
+number of events. Forests, regressions, segmentations and linear autoencoders stand in for the libraries that
+are usual for these models.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+IF_FEATURES = ("conversion_rate", "views", "carts", "purchases", "revenue")
+
+
+def _added(df: DataFrame, fields: str) -> T.StructType:
+    return T.StructType([*df.schema.fields, *T._parse_datatype_string(fields).fields])
+
+
+def _grow(x: np.ndarray, depth: int, rng: np.random.Generator):
+    """A tree as (feature, cut, left, right), or the number of rows of a leaf."""
+    spread = x.max(0) - x.min(0) if len(x) else np.zeros(x.shape[1])
+    usable = np.flatnonzero(spread > 0)
+    if depth == 0 or len(x) <= 1 or not len(usable):
+        return len(x)
+    k = int(rng.choice(usable))
+    cut = rng.uniform(x[:, k].min(), x[:, k].max())
+    left = x[:, k] < cut
+    return k, cut, _grow(x[left], depth - 1, rng), _grow(x[~left], depth - 1, rng)
+
+
+def _usual_depth(n: float) -> float:
+    return 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n if n > 2 else float(n == 2)
+
+
+def _depths(tree, x: np.ndarray, rows: np.ndarray, depth: int, out: np.ndarray) -> None:
+    if not isinstance(tree, tuple):
+        out[rows] = depth + _usual_depth(tree)
+        return
+    k, cut, left, right = tree
+    low = x[rows, k] < cut
+    _depths(left, x, rows[low], depth + 1, out)
+    _depths(right, x, rows[~low], depth + 1, out)
+
+
+def isolation_scores(x: np.ndarray, trees: int = 100, sample: int = 256, seed: int = 42) -> np.ndarray:
+    """Scores from 0 to 1; short paths to isolation score high."""
+    rng, n = np.random.default_rng(seed), min(sample, len(x))
+    std = x.std(0)
+    x = (x - x.mean(0)) / np.where(std > 0, std, 1)
+    total, one = np.zeros(len(x)), np.empty(len(x))
+    for _ in range(trees):
+        part = x[rng.choice(len(x), n, replace=False)]
+        _depths(_grow(part, int(np.ceil(np.log2(max(n, 2)))), rng), x, np.arange(len(x)), 0, one)
+        total += one
+    return 2.0 ** (-total / trees / max(_usual_depth(n), 1e-9))
+
+
+def isolation_forest(df: DataFrame, min_rows: int = 100, contamination: float = 0.1, features: tuple[str, ...] = IF_FEATURES) -> DataFrame:
+    """Adds isolation_forest_anomaly_score and isolation_forest_is_anomaly; brands with few rows keep 0 and false."""
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        score, hit = np.zeros(len(pdf)), np.zeros(len(pdf), bool)
+        if len(pdf) >= min_rows:
+            pdf = pdf.sort_values("window_start")
+            raw = isolation_scores(pdf[list(features)].astype(float).fillna(0.0).to_numpy())
+            cut = np.quantile(raw, 1 - contamination)
+            hit = raw > cut
+            over = np.clip(raw - cut, 0, None)
+            score = over / over.max() if over.max() > 0 else score
+        return pdf.assign(isolation_forest_anomaly_score=score, isolation_forest_is_anomaly=hit)
+
+    return df.groupBy("brand").applyInPandas(fit, _added(df, "isolation_forest_anomaly_score double, isolation_forest_is_anomaly boolean"))
+
+
+def segment_ends(x: np.ndarray, penalty: float, least: int) -> list[int]:
+    """Ends of the segments (without the last) of least squared error plus penalty, by pruned dynamic programming."""
+    n = len(x)
+    one, two = np.concatenate([[0], np.cumsum(x)]), np.concatenate([[0], np.cumsum(x * x)])
+    best, back = np.full(n + 1, np.inf), np.zeros(n + 1, int)
+    best[0], open_at = -penalty, np.array([0])
+    for end in range(least, n + 1):
+        width = end - open_at
+        cost = two[end] - two[open_at] - (one[end] - one[open_at]) ** 2 / width
+        total = np.where(width >= least, best[open_at] + cost + penalty, np.inf)
+        k = int(total.argmin())
+        best[end], back[end] = total[k], open_at[k]
+        keep = (best[open_at] + cost <= best[end]) | (width < least)
+        open_at = np.append(open_at[keep], end - least + 1)
+    out, end = [], n
+    while end > 0:
+        end = back[end]
+        if end:
+            out.append(int(end))
+    return out[::-1]
+
+
+def changepoints(df: DataFrame, least: int = 24, penalty: float = 10.0, min_change: float = 0.15) -> DataFrame:
+    """brand, changepoint_time, mean_before, mean_after, magnitude: where the mean conversion shifts by min_change or more."""
+    def find(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.dropna(subset=["conversion_rate"]).sort_values("window_start")
+        x = pdf["conversion_rate"].to_numpy(float)
+        rows = []
+        if len(x) >= 2 * least:
+            scaled = (x - x.mean()) / x.std() if x.std() > 0 else x * 0
+            ends = [0, *segment_ends(scaled, penalty, least), len(x)]
+            for a, b, c in zip(ends, ends[1:], ends[2:], strict=False):
+                before, after = x[a:b].mean(), x[b:c].mean()
+                size = abs(after - before) / abs(before) if before else 0.0
+                if size >= min_change:
+                    rows.append((pdf["brand"].iloc[0], pdf["window_start"].iloc[b], before, after, size))
+        return pd.DataFrame(rows, columns=["brand", "changepoint_time", "mean_before", "mean_after", "magnitude"])
+
+    kind = df.schema["window_start"].dataType.simpleString()
+    return df.select("brand", "window_start", "conversion_rate").groupBy("brand").applyInPandas(find, f"brand string, changepoint_time {kind}, mean_before double, mean_after double, magnitude double")
+
+
+def flag_changepoints(df: DataFrame, points: DataFrame, hours: int = 2) -> DataFrame:
+    """Marks rows within hours of a changepoint of their brand; of several, the latest counts.
+
+    The range is turned into equal keys: a changepoint is dealt to each hour that it reaches, so the join is by brand and hour.
+    """
+    reach = F.explode(F.sequence(F.lit(-hours), F.lit(hours))).alias("k")
+    near = points.select("brand", "changepoint_time", "magnitude", reach).withColumn("hour", F.date_trunc("hour", F.timestamp_add("HOUR", F.col("k"), F.col("changepoint_time"))))
+    rows = df.withColumn("hour", F.date_trunc("hour", "window_start"))
+    close = F.abs(F.unix_timestamp("window_start") - F.unix_timestamp("changepoint_time")) <= hours * 3600
+    hits = rows.select("brand", "window_start", "hour").join(near, ["brand", "hour"]).filter(close).groupBy("brand", "window_start").agg(F.max_by("magnitude", "changepoint_time").alias("m"))
+    out = df.join(hits, ["brand", "window_start"], "left")
+    return out.withColumns({"is_at_changepoint": F.col("m").isNotNull(), "changepoint_is_anomaly": F.col("m").isNotNull(), "changepoint_anomaly_score": F.coalesce(F.least(F.col("m") * 2, F.lit(1.0)), F.lit(0.0))}).drop("m")
+
+
+def changepoint_summary(points: DataFrame) -> DataFrame:
+    return points.withColumn("direction", F.when(F.col("mean_after") > F.col("mean_before"), "increase").otherwise("decrease")).orderBy("brand", "changepoint_time")
+
+
+def _design(t: np.ndarray, origin: float) -> np.ndarray:
+    """Trend, and daily and weekly waves, of hours t."""
+    columns = [np.ones(len(t)), (t - origin) / 1000]
+    for period, waves in ((24.0, 3), (168.0, 3)):
+        for k in range(1, waves + 1):
+            columns += [np.sin(2 * np.pi * k * t / period), np.cos(2 * np.pi * k * t / period)]
+    return np.stack(columns, 1)
+
+
+def _hours(times: pd.Series) -> np.ndarray:
+    return (pd.to_datetime(times) - pd.Timestamp("2000-01-01")).dt.total_seconds().to_numpy() / 3600
+
+
+def seasonal(df: DataFrame, min_rows: int = 30, width: float = 1.96) -> DataFrame:
+    """Adds the forecast of a trend with daily and weekly seasons, its bounds, a score outside them and a flag."""
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        y = pdf["conversion_rate"].astype(float).fillna(0.0).to_numpy()
+        mean, low, high, score = y.copy(), y.copy(), y.copy(), np.zeros(len(y))
+        if len(y) >= min_rows:
+            t = _hours(pdf["window_start"])
+            x = _design(t, t.min())
+            w = np.linalg.solve(x.T @ x + 1e-3 * np.eye(x.shape[1]), x.T @ y)
+            mean = x @ w
+            half = width * (y - mean).std()
+            low, high = mean - half, mean + half
+            score = np.where(y < low, np.clip((low - y) / (half + 1e-9), 0, 1), np.where(y > high, np.clip((y - high) / (half + 1e-9), 0, 1), 0.0))
+        return pdf.assign(prophet_expected=mean, prophet_lower=low, prophet_upper=high, prophet_anomaly_score=score, prophet_is_anomaly=(y < low) | (y > high))
+
+    return df.groupBy("brand").applyInPandas(fit, _added(df, "prophet_expected double, prophet_lower double, prophet_upper double, prophet_anomaly_score double, prophet_is_anomaly boolean"))
+
+
+def forecast(df: DataFrame, periods: int = 168, min_rows: int = 30) -> DataFrame:
+    """brand, window_start, expected for the hours after each brand's last."""
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        y = pdf["conversion_rate"].astype(float).fillna(0.0).to_numpy()
+        if len(y) < min_rows:
+            return pd.DataFrame({"brand": [], "window_start": pd.to_datetime([]), "expected": []})
+        t = _hours(pdf["window_start"])
+        x = _design(t, t.min())
+        w = np.linalg.solve(x.T @ x + 1e-3 * np.eye(x.shape[1]), x.T @ y)
+        future = pd.date_range(pdf["window_start"].max() + pd.Timedelta(hours=1), periods=periods, freq="h")
+        return pd.DataFrame({"brand": pdf["brand"].iloc[0], "window_start": future, "expected": _design(_hours(pd.Series(future)), t.min()) @ w})
+
+    kind = df.schema["window_start"].dataType.simpleString()
+    return df.select("brand", "window_start", "conversion_rate").groupBy("brand").applyInPandas(fit, f"brand string, window_start {kind}, expected double")
+
+
+def sequence_errors(df: DataFrame, steps: int = 168, parts: int = 8, quantile: float = 0.95, factor: float = 1.5) -> DataFrame:
+    """Adds the error of a linear autoencoder over each row's last `steps` rows; flagged beyond factor times the quantile."""
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("window_start")
+        y = pdf["conversion_rate"].astype(float).fillna(0.0).to_numpy()
+        error = np.zeros(len(y))
+        limit = np.inf
+        if len(y) >= steps + parts:
+            x = np.lib.stride_tricks.sliding_window_view(y, steps)
+            mean = x.mean(0)
+            _, _, v = np.linalg.svd(x - mean, full_matrices=False)
+            v = v[:parts]
+            error[steps - 1 :] = np.abs((x - mean) - (x - mean) @ v.T @ v).mean(1)
+            limit = factor * np.quantile(error[steps - 1 :], quantile)
+        score = np.clip(error / limit, 0, 1) if np.isfinite(limit) and limit > 0 else error * 0
+        return pdf.assign(lstm_reconstruction_error=error, lstm_anomaly_score=score, lstm_is_anomaly=error > limit)
+
+    return df.groupBy("brand").applyInPandas(fit, _added(df, "lstm_reconstruction_error double, lstm_anomaly_score double, lstm_is_anomaly boolean"))
