@@ -8,7 +8,8 @@
    the full sets, and components are found.
 4. Only bands that still hold more than one component are searched further: their members are dealt
    into square blocks, signatures are compared by counting equal packed digits, and pairs of different
-   components whose collision-corrected similarity may reach the threshold are confirmed too.
+   components whose collision-corrected similarity may reach the threshold are confirmed there and then, the
+   likeliest first, until the components are joined or no pair is left.
 
 So pairs within a component are never listed, and none between components is lost. At 85 percent
 similarity a pair shares none of 24 bands of five minima with probability 2e-6, and
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import winnow
-from .common import lower_ascii, mix64, save
+from .common import lower_ascii, mix64, save, shuffle_partitions
 from .components import components
 
 SKETCH = "doc_id long, words binary, n_shingles long, keys array<long>, digits binary"
@@ -117,22 +118,59 @@ def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
-def between(pdf: pd.DataFrame, least: float, minima: int) -> pd.DataFrame:
-    """Pairs of different components in one square of a bucket whose estimated similarity is at least least.
+_NIBBLES = np.uint64(0x1111111111111111)
 
-    Equal digits of the packed signatures are counted; chance makes one in 16 equal, which is taken off.
+
+def equal_digits(packed: np.ndarray, one: np.ndarray, minima: int) -> np.ndarray:
+    """How many of the four-bit digits of each row of packed equal those of one, by counting bits."""
+    x = packed ^ one
+    x = (x | (x >> np.uint64(1)) | (x >> np.uint64(2)) | (x >> np.uint64(3))) & _NIBBLES
+    return minima - np.bitwise_count(x).sum(1, dtype=np.int64)
+
+
+def links_between(square: pd.DataFrame, size: int, percent: int, least: float, minima: int) -> list[tuple[int, int]]:
+    """Confirmed links between different components in one square of a bucket, as few as join them.
+
+    The estimate takes off what chance makes equal, one digit in 16. A pair is looked at in the first bucket it
+    shares only, and not at all once a link found before has joined its components.
     """
-    digits = np.frombuffer(b"".join(pdf["digits"]), np.uint8).reshape(len(pdf), -1)
-    digits = np.stack([digits >> 4, digits & 15], 2).reshape(len(pdf), -1)[:, :minima]
-    node, label, side = pdf["node"].to_numpy(), pdf["label"].to_numpy(), pdf["side"].to_numpy()
-    rows, columns = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    found = []
-    for k in rows.tolist():
+    node, label, side, band = (square[c].to_numpy() for c in ("node", "label", "side", "band"))
+    keys = np.stack(square["keys"].to_list())
+    packed = np.zeros((len(square), -(-minima // 16) * 8), np.uint8)
+    width = (minima + 1) // 2
+    packed[:, :width] = np.frombuffer(b"".join(square["digits"]), np.uint8).reshape(len(square), width)
+    packed = packed.view(np.uint64)
+    columns = np.flatnonzero(side != 0)
+    pairs = []
+    for k in np.flatnonzero(side != 1).tolist():
         other = columns[label[columns] != label[k]]
-        equal = (digits[other] == digits[k]).mean(1)
-        hits = other[(equal - 1 / 16) / (1 - 1 / 16) >= least]
-        found.append(np.stack([np.minimum(node[hits], node[k]), np.maximum(node[hits], node[k])], 1))
-    return pd.DataFrame(np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64), columns=["b", "a"])[["a", "b"]]
+        if side[k] == 2:
+            other = other[other > k]
+        near = (equal_digits(packed[other], packed[k], minima) / minima - 1 / 16) / (1 - 1 / 16)
+        other, near = other[near >= least], near[near >= least]
+        first = (keys[other] == keys[k]).argmax(1) == band[k]
+        pairs += zip((-near[first]).tolist(), [k] * int(first.sum()), other[first].tolist(), strict=True)
+    if not pairs:
+        return []
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    used = sorted({k for _, i, j in pairs for k in (i, j)})
+    sets, ends, _ = shingle_sets([square["text"].iat[k] for k in used], size)
+    cut = dict(zip(used, np.split(sets, ends[:-1]), strict=True))
+    links = []
+    for _, i, j in sorted(pairs):
+        a, b = root(label[i]), root(label[j])
+        if a != b:
+            shared = len(np.intersect1d(cut[i], cut[j], assume_unique=True))
+            if 100 * shared >= percent * (len(cut[i]) + len(cut[j]) - shared):
+                parent[a] = b
+                links.append((int(max(node[i], node[j])), int(min(node[i], node[j]))))
+    return links
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 85, bands: int = 24, rows: int = 5, margin: float = 0.15, block: int = 1024) -> DataFrame:
@@ -155,9 +193,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 85, bands: in
     n = F.ceil(F.col("members") / block)
     own = F.pmod(F.xxhash64("node"), n)
     squares = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda k: F.struct(F.least(k, own).alias("row"), F.greatest(k, own).alias("column"), F.when(k == own, 2).when(own < k, 0).otherwise(1).alias("side"))))
-    dealt = labelled.join(mixed, "key").select("key", "node", "label", squares.alias("s")).select("key", "node", "label", "s.*").join(classes.select("node", "digits"), "node")
-    pairs = dealt.groupBy("key", "row", "column").applyInPandas(lambda pdf: between(pdf, percent / 100 - margin, bands * rows), "a long, b long").distinct()
-    more = save(confirm(save(pairs.join(stars, ["a", "b"], "left_anti"), "pairs"), texts, size, percent), "links")
+    dealt = save(labelled.join(mixed, "key").select("key", "node", "label", squares.alias("s")).select("key", "node", "label", "s.*"), "squares")
+    # Several squares make a group, so that small buckets do not cost a call each.
+    groups = max(2 * shuffle_partitions(docs.sparkSession), dealt.count() // 2048)
+    full = dealt.join(classes.select("node", "keys", "digits"), "node").join(texts.withColumnRenamed("doc_id", "node"), "node")
+    full = full.withColumns({"band": F.array_position("keys", F.col("key")) - 1, "group": F.pmod(F.xxhash64("key", "row", "column"), F.lit(groups))})
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = [x for _, square in pdf.groupby(["key", "row", "column"]) for x in links_between(square, size, percent, percent / 100 - margin, bands * rows)]
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    more = save(full.groupBy("group").applyInPandas(search, "a long, b long").distinct(), "links")
     if more.isEmpty():
         final = labels
     else:
