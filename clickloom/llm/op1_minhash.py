@@ -40,8 +40,21 @@ _SKETCH = pa.schema([("doc_id", pa.int64()), ("words", pa.binary()), ("n_shingle
 _WEIGHTS = [np.uint64(x * 2 + 1) for x in np.random.default_rng(5).integers(2**61, 2**62, 64)]
 
 
-def shingle_sets(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Distinct 64-bit shingle hashes of all texts, the end of each text's own, and its normalised words."""
+def shingle_sets(texts: list[str | None], size: int, piece_chars: int = 1 << 19) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Distinct 64-bit shingle hashes of all texts, the end of each text's own, and its normalised words.
+
+    Texts are worked on in pieces of about piece_chars characters (one text at least), which bounds the memory.
+    """
+    sizes = np.cumsum([len(t or "") for t in texts])
+    cuts = np.flatnonzero(np.diff(sizes // piece_chars, prepend=0)) if len(texts) else []
+    parts = [_shingle_sets(texts[a:b], size) for a, b in zip([0, *cuts], [*cuts, len(texts)], strict=True) if b > a]
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), []
+    base = np.cumsum([0, *[len(v) for v, _, _ in parts[:-1]]])
+    return np.concatenate([v for v, _, _ in parts]), np.concatenate([e + k for (_, e, _), k in zip(parts, base, strict=True)]), [w for _, _, ws in parts for w in ws]
+
+
+def _shingle_sets(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     raw = [(t or "").encode() for t in texts]
     ends = np.cumsum([len(b) for b in raw], dtype=np.int64)
     data = lower_ascii(np.frombuffer(b"".join(raw), np.uint8))
