@@ -275,16 +275,22 @@ def covered(chunk: Chunk, row: dict, shards: int, by_document: bool) -> np.ndarr
         bits.append(np.unpackbits(np.frombuffer(got, np.uint8), count=n).astype(bool))
         end += n
     flags = np.concatenate(bits)
-    width = e.width[e.entry]
-    of = np.repeat(np.arange(len(e.entry)), width)
+    # Contexts that go as a whole, or not at all, need no look at their windows.
+    seen = np.concatenate([[0], np.cumsum(flags)])
+    hits = seen[begin + e.width] - seen[begin]
+    whole = (hits == e.width)[e.entry]
+    if by_document:  # the same context in a smaller document of this very chunk
+        whole |= e.docs > e.least[e.entry]
+    part = np.flatnonzero(~whole & (hits > 0)[e.entry])
+    width = e.width[e.entry[part]]
+    of = np.repeat(part, width)
     step = np.arange(len(of)) - np.repeat(np.cumsum(width) - width, width)
     goes = flags[begin[e.entry][of] + step]
-    if by_document:  # the same context in a smaller document of this very chunk
-        goes |= (e.docs > e.least[e.entry])[of]
-    starts = (e.first[of] + step)[goes]
-    change = np.zeros(len(chunk.starts if chunk.units.words else chunk.data) + 1, np.int64)
-    np.add.at(change, starts, 1)
-    np.add.at(change, starts + chunk.units.window, -1)
+    single = (e.first[of] + step)[goes]
+    starts = np.concatenate([e.first[whole], single])
+    stops = np.concatenate([(e.first + e.width[e.entry])[whole], single + 1]) + chunk.units.window - 1
+    n = len(chunk.starts if chunk.units.words else chunk.data)
+    change = np.bincount(starts, minlength=n + 1) - np.bincount(stops, minlength=n + 1)
     return np.cumsum(change[:-1]) > 0
 
 
