@@ -12,7 +12,7 @@ so a step of the chain is one fraction, taken for many documents at once.
 
 Edge cases: null and empty texts have no tokens and get the score of no evidence; without labelled
 documents of both classes every score is 0; labels that are null are not used; of a repeated
-doc_id every row is scored; extra columns are ignored; empty tables give an empty result.
+doc_id every row is scored and the least text is learnt from; extra columns are ignored; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -256,7 +256,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, folds: in
     order = [F.xxhash64("doc_id"), "doc_id"]
     picked = rows.filter("toxic = 1").orderBy(*order).limit(sample_rows).union(rows.filter("toxic = 0").orderBy(*order).limit(3 * sample_rows))
     # Four times sample_rows ids at most: small enough to broadcast at any input size.
-    found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropna(subset=["text"]).collect()
+    found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).dropna().join(F.broadcast(picked), "doc_id")
+    # One text for each id, so that an id on very many rows does not fill the driver.
+    found = found.groupBy("doc_id").agg(F.min(F.struct("text", "toxic")).alias("r")).select("doc_id", "r.*").collect()
     found.sort(key=lambda r: (r.doc_id * 2654435761 % 2**32, r.doc_id))
     return fit([r.text for r in found], [r.toxic for r in found])
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -37,9 +38,12 @@ class Coder:
     """Token ids of a byte-level BPE in a `tokenizers` file.
 
     The vocabulary is run by tiktoken, which gives the same ids several times faster; a text that
-    holds the string of a special token goes to tokenizers itself.
+    holds the string of a special token goes to tokenizers itself, and so does one with more white space
+    in a row than the backtracking of tiktoken's pattern can hold (a million characters).
     """
 
+    _BLANK = re.compile(r"\s{100000}")
+
     def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
@@ -57,7 +61,7 @@ class Coder:
         self.fast = tiktoken.Encoding("byte_level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> list[int]:
-        if any(x in text for x in self.special):
+        if any(x in text for x in self.special) or (len(text) >= 100_000 and self._BLANK.search(text)):
             return self.slow.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 

@@ -190,6 +190,8 @@ def test_packing(docs, none):
     path = op8_packing.tokenizer_path()
     slow = Tokenizer.from_file(path)
     assert op8_packing.coder(path).ids("a <|endoftext|> b") == slow.encode("a <|endoftext|> b", add_special_tokens=False).ids
+    for text in (" " * 1_200_000 + "a", "\n" * 1_200_000, "x" * 300_000):
+        assert op8_packing.coder(path).ids(text) == slow.encode(text, add_special_tokens=False).ids
     unique = docs.filter("doc_id IS NOT NULL AND doc_id <> 11")
     got = op8_packing.pack_documents(unique, path, buffer_tokens=3000).toPandas()
     for d, text in TEXTS:
