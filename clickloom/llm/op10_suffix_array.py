@@ -27,20 +27,12 @@ SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 def byte_index(width: int):
     def index(shard: Shard) -> np.ndarray:
         """The smallest doc_id that has each window."""
-        begin = np.cumsum(shard.width) - shard.width
         value = np.repeat(shard.least, shard.width)
-        mixed = np.flatnonzero(shard.mixed)
-        if not len(mixed):
-            return value
         # No separators: only suffixes with a whole window inside their context are looked at.
-        data = np.frombuffer(b"".join([shard.texts[k] for k in mixed.tolist()]), np.uint8)
-        windows = shard.width[mixed]
-        lengths = windows + width - 1
-        starts = np.cumsum(lengths) - lengths
-        of = np.repeat(np.arange(len(mixed)), windows)
-        place = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+        data = np.frombuffer(b"".join(shard.texts), np.uint8)
+        # A context has width - 1 more bytes than windows.
         slot = np.full(len(data), -1, np.int64)
-        slot[starts[of] + place] = begin[mixed][of] + place
+        slot[np.arange(len(value)) + np.repeat(np.arange(len(shard.width)) * (width - 1), shard.width)] = np.arange(len(value))
         order = suffix_array(data.astype(np.uint64) + np.uint64(1))
         order = order[slot[order] >= 0]
         group = equal_windows(data, order, width)

@@ -2,8 +2,8 @@
 
 ``repeats`` brings all contexts that could share a window to one shard. There an FM-index over the
 distinct contexts (wavelet matrix of the Burrows-Wheeler transform) is searched backwards, and the
-matching statistics say which windows occur a second time. Contexts that no other context of the
-shard can share a window with are settled by their count.
+matching statistics say which windows occur a second time. Identical contexts are one pattern of the
+index with a count.
 
 Edge cases: null and empty texts have no words and keep the sha256 of the empty string; texts shorter
 than a window lose nothing; ids may be null or repeat (each row is a document of its own); repeats
@@ -30,21 +30,15 @@ SCHEMA = "doc_id long, n_words long, n_removed long, kept_text string"
 def word_index(width: int):
     def index(shard: Shard) -> np.ndarray:
         """True for each window that occurs at least twice among the documents."""
-        begin = np.cumsum(shard.width) - shard.width
         value = np.repeat(shard.count >= 2, shard.width)
-        mixed = np.flatnonzero(shard.mixed)
-        if not len(mixed):
-            return value
-        words = [shard.texts[k].split() for k in mixed.tolist()]
+        words = [text.split() for text in shard.texts]
         codes, names = pd.factorize(np.array([w for text in words for w in [*text, b"\n"]], object))
         text = codes.astype(np.int64) + 1
         lengths = np.array([len(x) for x in words]) + 1
         starts = np.cumsum(lengths) - lengths
-        # Contexts seen twice are settled; they stay in the index as matches of others.
-        counts = np.where(shard.count[mixed] >= 2, 0, shard.width[mixed])
-        flags = repeated_windows(FMIndex(text, len(names)), text, starts, counts, width)
-        of = np.repeat(np.arange(len(mixed)), counts)
-        value[begin[mixed][of] + np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)] = flags
+        # Identical contexts are in the index once, so all of their windows repeat if there are several.
+        counts = np.where(shard.count >= 2, 0, shard.width)
+        value[np.repeat(shard.count < 2, shard.width)] = repeated_windows(FMIndex(text, len(names)), text, starts, counts, width)
         return value
 
     return index

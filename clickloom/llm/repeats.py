@@ -205,8 +205,8 @@ def send_contexts(batches: Iterator[pa.RecordBatch], units: Units, shards: int)
             parts = np.split(order, cuts[1:])
             fields = [[squeeze.compress(b"".join([e.texts[k] for k in p.tolist()])) for p in parts]]
             fields += [[np.array([len(e.texts[k]) for k in p.tolist()], np.int32).tobytes() for p in parts]]
-            fields += [[x[p].astype(t).tobytes() for p in parts] for x, t in ((e.key & np.uint64(0xFFFFFFFF), np.uint32), (e.least, np.int64), (e.count, np.int32), (e.width, np.int32))]
-            yield pa.RecordBatch.from_arrays([pa.array(e.shard[order][cuts], pa.int64()), pa.array([row["chunk"]] * len(parts), pa.int64()), *[pa.array(x, pa.binary()) for x in fields]], names=["shard", "chunk", "texts", "sizes", "keys", "least", "counts", "widths"])
+            fields += [[x[p].astype(t).tobytes() for p in parts] for x, t in ((e.least, np.int64), (e.count, np.int32), (e.width, np.int32))]
+            yield pa.RecordBatch.from_arrays([pa.array(e.shard[order][cuts], pa.int64()), pa.array([row["chunk"]] * len(parts), pa.int64()), *[pa.array(x, pa.binary()) for x in fields]], names=["shard", "chunk", "texts", "sizes", "least", "counts", "widths"])
 
 
 @dataclass
@@ -217,7 +217,6 @@ class Shard:
     least: np.ndarray
     count: np.ndarray
     width: np.ndarray
-    mixed: np.ndarray  # shares its minimum with another context, so windows may repeat across the two
 
 
 #: (shard) -> for each window of the contexts, in order: an array that answer() compares or reads.
@@ -231,7 +230,7 @@ def answer_contexts(pdf: pd.DataFrame, index: Index, by_document: bool) -> pd.Da
     context; else: it occurs at least twice.
     """
     known: dict[bytes, int] = {}
-    at, least, count, width, key = [], [], [], [], []
+    at, least, count, width = [], [], [], []
     unsqueeze = zstandard.ZstdDecompressor()
     for row in pdf.itertuples():
         joined, end = unsqueeze.decompress(row.texts), 0
@@ -241,17 +240,15 @@ def answer_contexts(pdf: pd.DataFrame, index: Index, by_document: bool) -> pd.Da
         least.append(np.frombuffer(row.least, np.int64))
         count.append(np.frombuffer(row.counts, np.int32))
         width.append(np.frombuffer(row.widths, np.int32))
-        key.append(np.frombuffer(row.keys, np.uint32))
     entry = np.array(at, np.int64)
-    all_least, all_width, all_key = np.concatenate(least), np.concatenate(width).astype(np.int64), np.concatenate(key)
+    all_least, all_width = np.concatenate(least), np.concatenate(width).astype(np.int64)
     n = len(known)
     smallest = np.full(n, NULL_ID)
     np.minimum.at(smallest, entry, all_least)
     total = np.bincount(entry, weights=np.concatenate(count), minlength=n).astype(np.int64)
-    widths, keys = np.zeros(n, np.int64), np.zeros(n, np.uint32)
-    widths[entry], keys[entry] = all_width, all_key
-    _, inverse, shared = np.unique(keys, return_inverse=True, return_counts=True)
-    value = index(Shard(list(known), smallest, total, widths, shared[inverse] > 1))
+    widths = np.zeros(n, np.int64)
+    widths[entry] = all_width
+    value = index(Shard(list(known), smallest, total, widths))
     begin = np.cumsum(widths) - widths
     # The windows of every entry, in order.
     of = np.repeat(np.arange(len(entry)), all_width)
@@ -305,7 +302,7 @@ def find(docs: DataFrame, units: Units, index: Index, finish: Callable, schema:
     flags = save(keys.groupBy("shard").applyInPandas(lambda pdf: answer_keys(pdf, sizes.heavy), "chunk long, shard long, flags binary"), "flags")
     answers = flags.groupBy("chunk").agg(F.collect_list(F.struct("shard", "flags")).alias("answers"))
     asked = chunks.join(answers, "chunk")
-    contexts = asked.mapInArrow(lambda it: send_contexts(it, units, shards), "shard long, chunk long, texts binary, sizes binary, keys binary, least binary, counts binary, widths binary")
+    contexts = asked.mapInArrow(lambda it: send_contexts(it, units, shards), "shard long, chunk long, texts binary, sizes binary, least binary, counts binary, widths binary")
     replies = save(contexts.groupBy("shard").applyInPandas(lambda pdf: answer_contexts(pdf, index, by_document), "chunk long, shard long, bits binary"), "replies")
     replies = replies.groupBy("chunk").agg(F.collect_list(F.struct("shard", "bits")).alias("replies"))
     ready = chunks.join(answers, "chunk", "left").join(replies, "chunk", "left")

@@ -36,7 +36,7 @@ def add(name: str, plan: Callable[[SparkSession, str], DataFrame], sql: str | No
     if sql:
         body = sql.strip().removeprefix("WITH ")
         head, _, last = body.rpartition("\nFINAL ")
-        replace = f" REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in floats)})" if floats else ""
+        replace = f" REPLACE ({', '.join(f'round({c}, 6) + 0.0 AS {c}' for c in floats)})" if floats else ""
         ORACLES[name] = f"WITH {head}\nSELECT *{replace} FROM ({last})"
 
 
