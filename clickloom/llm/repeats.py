@@ -49,7 +49,7 @@ class Sizes:
     """Bytes of text in a chunk and, about, in a shard; contexts from which a minimum is dealt window by window."""
 
     chunk_bytes: int = 2 << 20
-    shard_bytes: int = 16 << 20
+    shard_bytes: int = 4 << 20
     heavy: int = 4096
 
 
@@ -239,23 +239,23 @@ def answer_contexts(pdf: pd.DataFrame, index: Index, by_document: bool) -> pd.Da
             end += size
         least.append(np.frombuffer(row.least, np.int64))
         count.append(np.frombuffer(row.counts, np.int32))
-        width.append(np.frombuffer(row.widths, np.int32))
+        width.append(np.frombuffer(row.widths, np.int32).astype(np.int64))
     entry = np.array(at, np.int64)
-    all_least, all_width = np.concatenate(least), np.concatenate(width).astype(np.int64)
     n = len(known)
     smallest = np.full(n, NULL_ID)
-    np.minimum.at(smallest, entry, all_least)
+    np.minimum.at(smallest, entry, np.concatenate(least))
     total = np.bincount(entry, weights=np.concatenate(count), minlength=n).astype(np.int64)
     widths = np.zeros(n, np.int64)
-    widths[entry] = all_width
+    widths[entry] = np.concatenate(width)
     value = index(Shard(list(known), smallest, total, widths))
     begin = np.cumsum(widths) - widths
-    # The windows of every entry, in order.
-    of = np.repeat(np.arange(len(entry)), all_width)
-    place = np.arange(len(of)) - np.repeat(np.cumsum(all_width) - all_width, all_width) + begin[entry[of]]
-    bits = value[place] < all_least[of] if by_document else value[place]
-    ends = np.cumsum([x.sum() for x in width])
-    replies = [np.packbits(x).tobytes() for x in np.split(bits, ends[:-1])]
+    # A message at a time, which bounds the memory: the windows of its entries, in order.
+    replies, end = [], 0
+    for own_least, own_width in zip(least, width, strict=True):
+        own = entry[end : end + len(own_width)]
+        end += len(own)
+        place = np.arange(own_width.sum()) + np.repeat(begin[own] - (np.cumsum(own_width) - own_width), own_width)
+        replies.append(np.packbits(value[place] < np.repeat(own_least, own_width) if by_document else value[place]).tobytes())
     return pd.DataFrame({"chunk": pdf["chunk"], "shard": pdf["shard"], "bits": replies})
 
 

@@ -11,9 +11,8 @@ from __future__ import annotations
 import numpy as np
 
 
-def _dense(high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Dense ranks (from 1) of pairs of values under 2**32."""
-    key = (high.astype(np.uint64) << np.uint64(32)) | low.astype(np.uint64)
+def _ranks(key: np.ndarray) -> np.ndarray:
+    """Dense ranks (from 1) of uint64 keys."""
     order = np.argsort(key)
     ordered = key[order]
     names = np.empty(len(key), np.uint64)
@@ -21,6 +20,29 @@ def _dense(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     return names
 
 
+def _joined(columns: list[np.ndarray], bits: int) -> np.ndarray:
+    """One key for columns of values under 2**bits (32 at most) that compares as they do: packed, or ranked where that needs over 64 bits."""
+    key, width = columns[0], bits
+    for column in columns[1:]:
+        if width + bits > 64:
+            key = _ranks(key)
+            width = int(len(key)).bit_length()
+        key, width = (key << np.uint64(bits)) | column, width + bits
+    return key
+
+
+def _names(s: np.ndarray, sample: np.ndarray) -> np.ndarray:
+    """Dense ranks (from 1) of the triples that start at sample."""
+    base = int(s.max()) + 1
+    if base**3 > 1 << 25:
+        return _ranks(_joined([s[sample + k] for k in range(3)], (base - 1).bit_length()))
+    # Few triples are possible: they are ranked by a table of those that occur.
+    key = ((s[sample] * np.uint64(base) + s[sample + 1]) * np.uint64(base) + s[sample + 2]).astype(np.int64)
+    seen = np.zeros(base**3, bool)
+    seen[key] = True
+    return np.cumsum(seen, dtype=np.int32)[key].astype(np.uint64)
+
+
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """Start positions of all suffixes of symbols (each from 1 up to 2**32 - 2) in lexicographic order."""
     n = len(symbols)
@@ -31,11 +53,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     # One extra position of padding where n is 1 modulo 3 keeps the two sampled classes apart.
     ones, twos = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sample = np.concatenate([ones, twos])
-    if int(s.max()) < 2**20:
-        triple = (s[sample] << np.uint64(42)) | (s[sample + 1] << np.uint64(21)) | s[sample + 2]
-        names = _dense(triple >> np.uint64(32), triple & np.uint64(0xFFFFFFFF))
-    else:
-        names = _dense(_dense(s[sample], s[sample + 1]), s[sample + 2])
+    names = _names(s, sample)
     if int(names.max()) < len(sample):
         order = suffix_array(names)
         rank_of = np.empty(len(sample), np.uint64)
@@ -54,10 +72,14 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     in1 = sampled % 3 == 1
     one, two = sampled[in1], sampled[~in1]
     key1 = (s[one] << shift) | rank[one + 1]
-    # Two symbols and a rank: the pairs of symbols are named first.
-    both = _dense(np.concatenate([s[zeros], s[two]]), np.concatenate([s[zeros + 1], s[two + 1]]))
-    pair0 = (both[: len(zeros)] << shift) | rank[zeros + 2]
-    pair2 = (both[len(zeros) :] << shift) | rank[two + 2]
+    # Two symbols and a rank; the pairs of symbols are ranked first where the three do not fit into 64 bits.
+    bits, low = int(s.max()).bit_length(), len(sample).bit_length()
+    pair = (s[:-1] << np.uint64(bits)) | s[1:]
+    both = pair[np.concatenate([zeros, two])]
+    if 2 * bits + low > 64:
+        both, low = _ranks(both), 32
+    pair0 = (both[: len(zeros)] << np.uint64(low)) | rank[zeros + 2]
+    pair2 = (both[len(zeros) :] << np.uint64(low)) | rank[two + 2]
     out = np.empty(n, np.int64)
     at_zero = np.arange(len(zeros)) + np.searchsorted(key1, key0) + np.searchsorted(pair2, pair0)
     before = np.empty(len(sampled), np.int64)
