@@ -24,7 +24,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group stays; of equal rows, one."""
+    """The document with the smallest id of each near-duplicate group (similar by 80 percent or more) stays; of equal rows, one."""
     gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 

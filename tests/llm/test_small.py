@@ -102,6 +102,21 @@ def test_links_within_mixed_buckets(spark):
     assert all(linked) and {r.component_id for r in got.collect()} == {0}
 
 
+def test_stage_links_from_80_percent(spark, tmp_path):
+    """A pair at about 0.82 is linked by the operator and the stage, and not by op1's query, which asks for 0.85."""
+    import corpus_pipeline as cp
+
+    left = prose(200).split()
+    right = left[:180] + [f"z{k}" for k in range(20)]
+    a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (left, right))
+    assert 0.80 <= len(a & b) / len(a | b) < 0.83
+    pair = spark.createDataFrame([(1, " ".join(left)), (2, " ".join(right))], "doc_id long, text string")
+    pair.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.component_id for r in op1_minhash.near_duplicates(pair).collect()} == {1}
+    assert [r.doc_id for r in cp.near_dedup(spark, pair, str(tmp_path)).collect()] == [1]
+    assert {r.component_id for r in op1_minhash.query(spark, str(tmp_path)).collect()} == {1, 2}
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     assert {(r.node, r.component) for r in components(edges).collect()} == {(k, 0) for k in range(41)} | {(100, 100), (101, 100)}
