@@ -1,9 +1,12 @@
 """Licence scan: sentences to known identifiers, identifier sequences against ordered rules.
 
-Texts are split into sentences and normalised; each sentence that is known gets its identifier, and
+Texts are split at sentence ends and normalised; each known sentence gets its identifier, and
 the identifiers, in the order of the text, are matched against rules, which are sequences of identifiers.
+A known sentence may be wrapped: it begins at a line's beginning or after a semicolon, ends at a line's end, and
+may run over line breaks, blank lines and comment marks in between (of other characters than letters and digits).
 Sentences that are not known are passed over, so a rule may span text of other kinds. Only DataFrame
-functions are used, a row at a time: no shuffle at all.
+functions are used, a row at a time: no shuffle at all. n_sentences counts a line's end as a sentence's end,
+so that each line of a wrapped sentence counts.
 
 Edge cases: null and empty texts have no sentences and no licence; ids may be null or repeat; an
 empty table gives an empty result; other columns are not read.
@@ -62,12 +65,7 @@ RULES = (
     ("Proprietary", (8,)),
 )
 
-_END = r"[.!?][ \t\r\n]+|\n+"
-
-
-def sentences(text: Column) -> Column:
-    """Sentences with a letter or digit; one ends at . ! or ? before white space, or at a line's end."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), _END), lambda x: x.rlike("[A-Za-z0-9]"))
+_STOP = r"[.!?][ \t\r\n]+"
 
 
 def normalised(sentence: Column) -> Column:
@@ -78,12 +76,19 @@ def normalised(sentence: Column) -> Column:
 def license_scan(docs: DataFrame, known: dict[int, str] = SENTENCES, rules: tuple = RULES) -> DataFrame:
     """docs: doc_id, text. Returns doc_id, n_sentences, sentence_ids, licenses (both arrays)."""
     table = F.create_map(*[F.lit(x) for k, s in known.items() for x in (s, k)])
-    split = docs.select("doc_id", sentences(F.col("text")).alias("sentences"))
-    # Only a sentence that holds the longest word of a known one can be it; the others need no normalising.
+    # Stretches end at . ! or ? before white space; within one, every line with a letter or digit counts as a sentence.
+    split = docs.select("doc_id", F.split(F.coalesce("text", F.lit("")), _STOP).alias("stretches"))
+    lines = F.filter(F.flatten(F.transform("stretches", lambda x: F.split(x, r"\n+"))), lambda x: x.rlike("[A-Za-z0-9]"))
+    # Only a stretch that holds the longest word of a known sentence can hold it; the others need no normalising.
     words = "(?i)" + "|".join(sorted({max(s.split(), key=len) for s in known.values()}))
-    likely = F.filter("sentences", lambda x: x.rlike(words))
-    ids = F.array_compact(F.transform(likely, lambda x: F.try_element_at(table, normalised(x))))
-    seen = split.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), ids.alias("sentence_ids"))
+    likely = F.filter("stretches", lambda x: x.rlike(words))
+    # Marks are gone, but line breaks and semicolons stay: known sentences are looked for between them, and over them.
+    plain = F.transform(likely, lambda x: F.lower(F.regexp_replace(x, r"[^A-Za-z0-9\n;]+", " ")))
+    longest_first = sorted(known.values(), key=len, reverse=True)
+    pattern = r"(?:^|[\n;]) *(" + "|".join(s.replace(" ", r"[ \n;]++") for s in longest_first) + r")(?=[ ;]*(?:\n|\z))"
+    found = F.flatten(F.transform(plain, lambda x: F.regexp_extract_all(x, F.lit(pattern), F.lit(1))))
+    ids = F.array_compact(F.transform(found, lambda x: F.try_element_at(table, normalised(x))))
+    seen = split.select("doc_id", F.size(lines).cast("long").alias("n_sentences"), ids.alias("sentence_ids"))
     line = F.concat(F.lit(","), F.array_join(F.col("sentence_ids").cast("array<string>"), ","), F.lit(","))
     found = F.array_compact(F.array(*[F.when(line.contains("," + ",".join(map(str, seq)) + ","), name) for name, seq in rules]))
     return seen.withColumn("licenses", F.array_sort(F.array_distinct(found)))

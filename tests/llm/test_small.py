@@ -182,6 +182,74 @@ def test_license(spark, none):
     assert op6_license.license_scan(none).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+ASF = """The ASF licenses this file to You under the Apache License, Version 2.0
+(the "License"); you may not use this file except in compliance with
+the License.  You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS.
+"""
+GPL = """This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+@pytest.mark.parametrize("stop", ["\n", "\r\n"])
+def test_wrapped_license(spark, mark, stop):
+    notices = {"mit": MIT, "bsd": BSD, "apache": APACHE, "asf": ASF, "gpl": GPL, "one": "Some words\nReleased under the MIT License\nMore words", "within": "It is not released under the MIT License\nat all"}
+    texts = [(k, stop.join(mark + line for line in t.split("\n"))) for k, t in notices.items()]
+    got = {r.doc_id: (list(r.sentence_ids), list(r.licenses)) for r in op6_license.license_scan(spark.createDataFrame(texts, "doc_id string, text string")).collect()}
+    assert got == {
+        "mit": ([9, 23], ["MIT"]), "bsd": ([17, 18], ["BSD-2-Clause"]), "apache": ([10, 11, 12], ["Apache-2.0"]), "asf": ([10, 11], ["Apache-2.0"]),
+        "gpl": ([14, 15, 16], ["GPL-3.0-or-later"]), "one": ([3], ["MIT"]), "within": ([], []),
+    }
+
+
 def test_top_products(spark):
     vectors = [(k, [float(x) for x in RNG.normal(0, 0.2, 6)]) for k in range(300)] + [(k, [0.5] * 6) for k in range(300, 420)]
     bad = [(1000, None), (1002, [1.0] * 5 + [float("nan")]), (1004, [1.0] * 5 + [None]), (1006, []), (None, [1.0] * 6), (1008, [1.0, 2.0])]
