@@ -15,8 +15,8 @@ import numpy as np
 
 @dataclass(frozen=True)
 class Shape:
-    classes: int = 32
-    per_class: int = 32
+    classes: int = 256
+    per_class: int = 256
     hidden: int = 12
     window: int = 32
     lanes: int = 512
@@ -67,38 +67,50 @@ def forward(p: dict, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray,
     return out, kept
 
 
-def output(p: dict, shape: Shape, hidden: np.ndarray, target: np.ndarray, gradient: bool) -> tuple[np.ndarray, np.ndarray | None, dict]:
-    """Natural log probability of each target; with gradient, that of the sum by hidden and by parameters."""
+def output(p: dict, shape: Shape, hidden: np.ndarray, target: np.ndarray, gradient: bool, piece: int = 4096) -> tuple[np.ndarray, np.ndarray | None, dict]:
+    """Natural log probability of each target; with gradient, that of the sum by hidden and by parameters.
+
+    The gradient by "w" and "wb" has rows for the classes in "classes" only, those of the targets.
+    """
     cls, word = target // shape.per_class, target % shape.per_class
-    each = np.arange(len(target))
-    # Hidden states stay within -1 and 1, so a bound is all that exp() needs.
-    logit = np.minimum(hidden @ p["c"] + p["cb"], 60)
-    e = np.exp(logit)
-    total = e @ np.ones(shape.classes, np.float32)
-    logp = logit[each, cls] - np.log(total)
-    back, grads = None, {}
-    if gradient:
-        d = -e / total[:, None]
-        d[each, cls] += 1
-        back = d @ p["c"].T
-        grads = {"c": hidden.T @ d, "cb": d.sum(0), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
+    logp = np.empty(len(target), np.float32)
+    back = np.empty_like(hidden) if gradient else None
+    d_c, d_cb = np.zeros_like(p["c"]), np.zeros_like(p["cb"])
+    for a in range(0, len(target), piece):
+        h, k = hidden[a : a + piece], cls[a : a + piece]
+        at = np.arange(len(k))
+        # Hidden states stay within -1 and 1, so a bound is all that exp() needs.
+        logit = np.minimum(h @ p["c"] + p["cb"], 60)
+        part = logit[at, k]
+        e = np.exp(logit, out=logit)
+        total = e @ np.ones(shape.classes, np.float32)
+        logp[a : a + piece] = part - np.log(total)
+        if gradient:
+            e *= (-1 / total)[:, None]
+            e[at, k] += 1
+            back[a : a + piece] = e @ p["c"].T
+            d_c += h.T @ e
+            d_cb += e.sum(0)
     order = np.argsort(cls, kind="stable")
     cuts = np.searchsorted(cls[order], np.arange(shape.classes + 1))
-    for k in range(shape.classes):
+    touched = np.flatnonzero(np.diff(cuts))
+    d_w, d_wb = [], []
+    for k in touched.tolist():
         rows = order[cuts[k] : cuts[k + 1]]
-        if not len(rows):
-            continue
         h, w = hidden[rows], word[rows]
+        at = np.arange(len(rows))
         logit = np.minimum(h @ p["w"][k] + p["wb"][k], 60)
-        e = np.exp(logit)
-        total, at = e @ np.ones(shape.per_class, np.float32), np.arange(len(rows))
-        logp[rows] += logit[at, w] - np.log(total)
+        part = logit[at, w]
+        e = np.exp(logit, out=logit)
+        total = e @ np.ones(shape.per_class, np.float32)
+        logp[rows] += part - np.log(total)
         if gradient:
-            d = -e / total[:, None]
-            d[at, w] += 1
-            grads["w"][k], grads["wb"][k] = h.T @ d, d.sum(0)
-            back[rows] += d @ p["w"][k].T
-    return logp, back, grads
+            e *= (-1 / total)[:, None]
+            e[at, w] += 1
+            d_w.append(h.T @ e)
+            d_wb.append(e.sum(0))
+            back[rows] += e @ p["w"][k].T
+    return logp, back, {"c": d_c, "cb": d_cb, "classes": touched, "w": np.stack(d_w), "wb": np.stack(d_wb)} if gradient else {}
 
 
 def backward(p: dict, inputs: np.ndarray, kept: list, d_out: np.ndarray) -> dict:
@@ -192,6 +204,8 @@ class Trainer:
                 scale = np.float32(1 / np.sqrt(max(1, real.sum())))
                 self.step("x", found["x"] * scale, found["rows"])
                 self.step("u", found["u"] * scale)
-                for k, g in grads.items():
-                    self.step(k, g * scale)
+                for k in ("c", "cb"):
+                    self.step(k, grads[k] * scale)
+                for k in ("w", "wb"):
+                    self.step(k, grads[k] * scale, grads["classes"])
                 self.tokens += int(real.sum())

@@ -19,6 +19,8 @@ an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import replace
+from math import ceil, sqrt
 
 import numpy as np
 import pandas as pd
@@ -30,6 +32,7 @@ from . import gru
 from .common import id_crc_mod, ids_back, ids_of, lower_words, save
 
 _END, _OTHER = 0, 1
+_PIECE = 1 << 12  # parameters that a message between tasks holds
 _SLICE = 8192  # documents that are run together, by length
 
 
@@ -78,21 +81,24 @@ def train(docs: DataFrame, index: dict[bytes, int], counts: np.ndarray, shape: g
             if held:
                 trainer.learn(encode(held, words, _OTHER), _END)
             if trainer.tokens:
-                values = [(trainer.p[n].astype(np.float64) * trainer.tokens).tobytes() for n in names]
-                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([trainer.tokens] * len(names), pa.int64()), pa.array(values, pa.binary())], names=["name", "tokens", "v"])
+                for name in names:
+                    flat = trainer.p[name].ravel() * np.float32(trainer.tokens)
+                    values = [flat[a : a + _PIECE].tobytes() for a in range(0, len(flat), _PIECE)]
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(values)), pa.array(range(len(values)), pa.int64()), pa.array([trainer.tokens] * len(values), pa.int64()), pa.array(values, pa.binary())], names=["name", "piece", "tokens", "v"])
 
         def add(pdf: pd.DataFrame) -> pd.DataFrame:
-            total = np.zeros(len(pdf["v"].iloc[0]) // 8)
+            total = np.zeros(len(pdf["v"].iloc[0]) // 4)
             for v in pdf["v"]:
-                total += np.frombuffer(v)
-            return pd.DataFrame({"name": pdf["name"].iloc[:1], "tokens": [pdf["tokens"].sum()], "v": [total.tobytes()]})
+                total += np.frombuffer(v, np.float32)
+            return pd.DataFrame({"name": pdf["name"].iloc[:1], "piece": pdf["piece"].iloc[:1], "tokens": [pdf["tokens"].sum()], "v": [total.astype(np.float32).tobytes()]})
 
         part = docs.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-        # Sums are taken in two steps, so that no task gathers the parameters of all others.
-        learnt = part.mapInArrow(learn, "name string, tokens long, v binary").withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(32)))
-        summed = learnt.groupBy("name", "salt").applyInPandas(add, "name string, tokens long, v binary")
-        for row in summed.groupBy("name").applyInPandas(add, "name string, tokens long, v binary").collect():
-            p[row.name] = (np.frombuffer(row.v) / row.tokens).reshape(p[row.name].shape).astype(np.float32)
+        # Sums are taken piece by piece, so that no task gathers the parameters of all others and they are sent once.
+        schema = "name string, piece long, tokens long, v binary"
+        learnt = part.mapInArrow(learn, schema)
+        for row in learnt.groupBy("name", "piece").applyInPandas(add, schema).collect():
+            mean = np.frombuffer(row.v, np.float32) / np.float32(row.tokens)
+            p[row.name].reshape(-1)[row.piece * _PIECE : row.piece * _PIECE + len(mean)] = mean
     return p
 
 
@@ -119,6 +125,9 @@ def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: g
     top.sort(key=lambda r: (-r.n, bytes(r.word)))
     ranks = {bytes(r.word): k for k, r in enumerate(top)}
     top_n = np.array([r.n for r in top], np.int64)
+    # The network's vocabulary grows with the corpus, up to its full shape.
+    side = max(2, ceil(sqrt(len(top) + 2)))
+    shape = replace(shape, classes=min(shape.classes, side), per_class=min(shape.per_class, side))
     inside = min(len(top), shape.words - 2)
     index = {w: k + 2 for w, k in ranks.items() if k < inside}
     known = np.zeros(shape.words)

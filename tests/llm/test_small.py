@@ -303,6 +303,20 @@ def test_language_model(spark, docs, none):
     assert op9_gru_lm.score_documents(none).count() == 0
 
 
+def test_network_knows_all_frequent_words(spark, monkeypatch):
+    seen = {}
+
+    def train(docs, index, counts, shape, rounds, rate):
+        seen.update(index=index, shape=shape)
+        return op9_gru_lm.gru.begin(shape, counts)
+
+    monkeypatch.setattr(op9_gru_lm, "train", train)
+    words = [f"v{k}" for k in range(3000)]
+    table = spark.createDataFrame([(0, " ".join(words)), (1, "v5 v2999")], "doc_id long, text string")
+    assert op9_gru_lm.score_documents(table).count() == 2
+    assert set(seen["index"]) == {w.encode() for w in words} and seen["shape"].words <= 3136
+
+
 def test_indexes():
     for n in (0, 1, 2, 3, 50, 333):
         x = RNG.integers(1, 4, n)
