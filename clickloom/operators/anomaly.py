@@ -52,6 +52,10 @@ def count_by(anomalies: DataFrame, *by: Column | str) -> DataFrame:
     return anomalies.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("anomaly_type") == "drop").alias("drops"), F.count_if(F.col("anomaly_type") == "spike").alias("spikes"))
 
 
+def most_anomalous(anomalies: DataFrame, n: int = 10) -> DataFrame:
+    return count_by(anomalies, "brand").orderBy(F.desc("n"), "brand").limit(n)
+
+
 def pattern(anomalies: DataFrame) -> DataFrame:
     """Totals, shares, mean absolute z, affected brands and the peak hour, in one pass and one small one."""
     one = anomalies.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("anomaly_type") == "drop").alias("drops"), F.count_if(F.col("anomaly_type") == "spike").alias("spikes"), F.avg(F.abs("z_brand")).alias("mean_abs_z"), F.count_distinct(F.coalesce("brand", F.lit(""))).alias("brands"))

@@ -83,6 +83,16 @@ def dashboard(df: DataFrame) -> DataFrame:
     return df.filter("is_anomaly").agg(F.count(F.lit(1)).alias("anomalies"), F.count_if(F.col("severity") == "critical").alias("critical"), F.count_if(F.col("severity") == "high").alias("high"), F.sum("revenue_impact").alias("revenue_impact"), worst.getField("brand").alias("worst_brand"), worst.getField("window_start").alias("worst_window"))
 
 
+def most_affected(df: DataFrame, n: int = 5) -> DataFrame:
+    """Brands of the most anomalies."""
+    return df.filter("is_anomaly").groupBy("brand").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "brand").limit(n)
+
+
+def error_limit(df: DataFrame, error: str, share: float = 0.95, factor: float = 1.5) -> DataFrame:
+    """One row: from which error on a row is anomalous."""
+    return df.agg((F.percentile(error, share) * factor).alias("error_limit"))
+
+
 def score_correlations(df: DataFrame, *columns: str) -> DataFrame:
     pairs = [(a, b) for k, a in enumerate(columns) for b in columns[k + 1 :]]
     return df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])

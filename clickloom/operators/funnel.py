@@ -19,8 +19,15 @@ def clean(raw: DataFrame) -> DataFrame:
 
 
 def dedup(silver: DataFrame) -> DataFrame:
-    """One event for each key; a stream needs a watermark and forgets keys beyond it."""
-    return silver.dropDuplicatesWithinWatermark(list(DEDUP_KEY)) if silver.isStreaming else silver.dropDuplicates(list(DEDUP_KEY))
+    """One event for each key: of a batch the cheapest (then the least of the other columns), so that runs agree.
+
+    A stream keeps the first that comes, needs a watermark and forgets keys beyond it.
+    """
+    if silver.isStreaming:
+        return silver.dropDuplicatesWithinWatermark(list(DEDUP_KEY))
+    rest = sorted((c for c in silver.columns if c not in DEDUP_KEY), key=lambda c: c != "price")
+    least = silver.groupBy(*DEDUP_KEY).agg(F.min(F.struct(*rest)).alias("least"))
+    return least.select(*[F.col(f"least.{c}").alias(c) if c in rest else c for c in silver.columns])
 
 
 def enrich(silver: DataFrame) -> DataFrame:

@@ -110,6 +110,27 @@ def best_of(performance: DataFrame, name: str) -> DataFrame:
     return performance.agg(by_rate.getField("name").alias("best_conversion"), by_revenue.getField("name").alias("top_revenue"), F.count(F.lit(1)).alias("n"))
 
 
+def pivot(gold: DataFrame, by: str, column: str, values: list[str], measure: Column) -> DataFrame:
+    """A row for each `by`, a column for each given value; 0 where there is nothing."""
+    return gold.groupBy(by).pivot(column, values).agg(measure).fillna(0)
+
+
+def extremes(performance: DataFrame, name: str, measure: str, n: int = 1) -> DataFrame:
+    """The n best and the n worst by a measure, ties to the smaller name."""
+    ends = [performance.orderBy(order, name).limit(n).withColumn("end", F.lit(label)) for label, order in (("best", F.desc_nulls_last(measure)), ("worst", F.asc_nulls_last(measure)))]
+    return ends[0].unionByName(ends[1])
+
+
+def described(df: DataFrame) -> DataFrame:
+    """Names and types of the columns, in order."""
+    return df.sparkSession.createDataFrame([(k, n, t) for k, (n, t) in enumerate(df.dtypes)], "position int, column_name string, column_type string")
+
+
+def listing(gold: DataFrame, n: int = 20) -> DataFrame:
+    """The first windows, in order of time and brand."""
+    return gold.filter("brand IS NOT NULL").orderBy("window_start", "brand").limit(n)
+
+
 def pivot_daily_revenue(gold: DataFrame, bands: tuple[str, ...] = ("<10", "10-30", "30-60", "60_plus")) -> DataFrame:
     """The values are given, so no extra job looks for them."""
     names = {"<10": "under_10", "10-30": "from_10_to_30", "30-60": "from_30_to_60", "60_plus": "from_60"}
@@ -128,7 +149,12 @@ def parity(batch: DataFrame, stream: DataFrame) -> DataFrame:
     left, right = (df.select(*key, *SUMS) for df in (batch, stream))
     on = [left[k].eqNullSafe(right[k]) for k in key]
     found = left.alias("b").join(right.alias("s"), on, "full_outer")
-    diff = [(F.coalesce(f"b.{c}", F.lit(0)) - F.coalesce(f"s.{c}", F.lit(0))).alias(f"{c}_diff") for c in SUMS]
+    # Sums of prices may differ in their last bits.
+    diff = [F.round(F.coalesce(f"b.{c}", F.lit(0)) - F.coalesce(f"s.{c}", F.lit(0)), 6).alias(f"{c}_diff") for c in SUMS]
     return found.select(*[F.coalesce(f"b.{k}", f"s.{k}").alias(k) for k in key], *diff)
 
 
+def parity_totals(batch: DataFrame, stream: DataFrame) -> DataFrame:
+    """All totals of both sides, a row each."""
+    sides = [df.agg(F.count(F.lit(1)).alias("windows"), *[F.sum(c).alias(c) for c in SUMS]).withColumn("side", F.lit(name)) for name, df in (("batch", batch), ("stream", stream))]
+    return sides[0].unionByName(sides[1])

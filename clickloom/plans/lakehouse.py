@@ -1,17 +1,17 @@
-"""Raw files to bronze, silver and gold tables, each written once and read back for the next."""
+"""Raw files to bronze, silver and gold tables, and gold to scored anomalies; each table is written once and read back for the next."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import anomaly, ensemble, features, funnel, models
-from ..settings import Ensemble, ZScore
+from ..operators import anomaly, changepoints, ensemble, features, forest, funnel, seasonal, sequences, stored
+from ..settings import Ensemble, Features, ZScore
 from ..sources import events, sinks
 
 GOLD = {"hourly_brand": (funnel.hourly_brand, "window_date"), "daily_brand": (funnel.daily_brand, "date"), "daily_category": (funnel.daily_category, "date"), "hourly_price_band": (funnel.hourly_price_band, "window_date")}
 
 
-def build(spark: SparkSession, raw_glob: str, root: str) -> dict[str, str]:
+def build(spark: SparkSession, raw_glob: str, root: str, gate: ZScore = ZScore()) -> dict[str, str]:
     """Writes all tables below root; silver is de-duplicated once, not again for each gold table."""
     paths = {name: f"{root}/{name}" for name in ("bronze", "silver", "anomalies", *GOLD)}
     sinks.ingest(events.source_or_bronze(spark, raw_glob, paths["bronze"]), paths["bronze"])
@@ -19,13 +19,28 @@ def build(spark: SparkSession, raw_glob: str, root: str) -> dict[str, str]:
     silver = spark.read.parquet(paths["silver"])
     for name, (make, by) in GOLD.items():
         sinks.write_partitioned(make(silver), paths[name], by)
-    sinks.write_partitioned(anomaly.zscore_anomalies(spark.read.parquet(paths["hourly_brand"])), paths["anomalies"], "window_date")
+    sinks.write_partitioned(anomaly.zscore_anomalies(spark.read.parquet(paths["hourly_brand"]), gate), paths["anomalies"], "window_date")
     return paths
 
 
-def advanced(gold: DataFrame, cfg: Ensemble = Ensemble(), gate: ZScore = ZScore()) -> DataFrame:
-    """Features, the four models, their ensemble and the money, in one plan."""
-    rows = features.all_features(anomaly.reliable(gold, gate))
-    scored = models.sequence_errors(models.seasonal(models.isolation_forest(rows)))
-    scored = models.flag_changepoints(scored, models.changepoints(rows))
+def train(rows: DataFrame, share: float = 0.8, plan: sequences.Plan = sequences.Plan(), forest_rows: int = 100) -> DataFrame:
+    """Models of all kinds from the earliest share of the rows."""
+    part = features.train_split(rows, share).filter("is_train")
+    return forest.fit(part, forest_rows).unionByName(seasonal.fit(part)).unionByName(sequences.fit(part, plan))
+
+
+def detect(rows: DataFrame, models: DataFrame, points: DataFrame, cfg: Ensemble = Ensemble(), plan: sequences.Plan = sequences.Plan()) -> DataFrame:
+    """Scores of the four models, their ensemble and the money."""
+    scored = sequences.score(seasonal.score(forest.score(rows, models), models), models, plan)
+    scored = changepoints.flag_changepoints(scored, points)
     return ensemble.kind(ensemble.severity(ensemble.impact(ensemble.combine(scored, cfg)), cfg))
+
+
+def advanced(gold: DataFrame, root: str, cfg: Ensemble = Ensemble(), gate: ZScore = ZScore(), wanted: Features = Features(), plan: sequences.Plan = sequences.Plan(), forest_rows: int = 100, search: dict | None = None) -> DataFrame:
+    """Features, models and points are written below root (the models once more replace those of another run), then read to score all rows."""
+    spark = gold.sparkSession
+    features.all_features(anomaly.reliable(gold, gate), wanted).write.mode("overwrite").parquet(f"{root}/features")
+    rows = spark.read.parquet(f"{root}/features")
+    stored.write(train(rows, plan=plan, forest_rows=forest_rows), f"{root}/models")
+    changepoints.changepoints(rows, **(search or {})).write.mode("overwrite").parquet(f"{root}/changepoints")
+    return detect(rows, stored.read(spark, f"{root}/models"), spark.read.parquet(f"{root}/changepoints"), cfg, plan)

@@ -22,7 +22,7 @@ class Features:
 class Ensemble:
     """Weights of the models' scores; they must sum to 1 within 0.01."""
 
-    weights: dict[str, float] = field(default_factory=lambda: {"prophet": 0.30, "isolation_forest": 0.30, "lstm": 0.25, "changepoint": 0.15})
+    weights: dict[str, float] = field(default_factory=lambda: {"lstm": 0.30, "prophet": 0.30, "isolation_forest": 0.25, "changepoint": 0.15})
     voting: str = "weighted"
     threshold: float = 0.5
     min_votes: int = 2

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expr
@@ -32,15 +33,16 @@ def sliding(raw: DataFrame, cfg: Streaming = Streaming()) -> DataFrame:
 
 
 def batch_zscores(batch: DataFrame, threshold: float = 2.0) -> DataFrame:
-    """Within one micro-batch: brands of two rows or more whose views deviate."""
-    w = Window.partitionBy("brand")
-    scored = batch.withColumn("z_score", expr.zscore(F.col("views"), F.avg("views").over(w), F.stddev_samp("views").over(w)))
-    return scored.filter(F.abs("z_score") > threshold)
+    """Within one micro-batch: brands of two rows or more whose views deviate. Baselines are aggregates joined back, so a hot brand is no single task."""
+    stats = batch.groupBy("brand").agg(F.avg("views").alias("mean"), F.stddev_samp("views").alias("std")).withColumnRenamed("brand", "of")
+    scored = batch.join(stats, F.col("brand").eqNullSafe(F.col("of"))).withColumn("z_score", expr.zscore(F.col("views"), F.col("mean"), F.col("std")))
+    return scored.filter(F.abs("z_score") > threshold).drop("of", "mean", "std")
 
 
 def start_zscores(stream: DataFrame, path: str, checkpoint: str, threshold: float = 2.0, trigger: dict | None = None):
     def each(batch: DataFrame, number: int) -> None:
-        batch_zscores(batch, threshold).withColumn("batch", F.lit(number)).write.mode("append").parquet(path)
+        # The batch's number is its folder: a batch that is run again after a failure replaces what it wrote.
+        batch_zscores(batch, threshold).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": Streaming().trigger})).start()
 
@@ -75,6 +77,20 @@ def progress(query) -> dict:
     return {} if not last else {"batch": last["batchId"], "rows": last["numInputRows"], "late": sum(s["numRowsDroppedByWatermark"] for s in last["stateOperators"])}
 
 
+def late_rows(query) -> int:
+    """Rows that the watermark has left behind in the batches that are still reported."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
+def run_batches(query, n: int = 3, seconds: float = 600.0, poll: float = 1.0) -> int:
+    """Watches a stream until it has run n batches or the time is up, then stops it; returns the batches seen."""
+    end = time.monotonic() + seconds
+    while query.isActive and time.monotonic() < end and len(query.recentProgress) < n:
+        time.sleep(poll)
+    query.stop()
+    return len(query.recentProgress)
+
+
 def stop_all(spark: SparkSession) -> None:
     for query in spark.streams.active:
         query.stop()

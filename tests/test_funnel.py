@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.functions import expr
-from clickloom.operators import anomaly, ensemble, funnel, models, reports
+from clickloom.operators import anomaly, changepoints, ensemble, funnel, rca, reports
 from clickloom.settings import Ensemble, ZScore, get_config
-from clickloom.sources import events, sinks
+from clickloom.sources import events, scratch, sinks
 from clickloom.streaming import funnel as streaming
 
 T0 = dt.datetime(2024, 1, 1, 10)
@@ -27,8 +27,19 @@ def test_clean_keeps_rows_with_missing_labels(spark):
     assert "foo_bar.baz_1" in {r.category_code_norm for r in out}
 
 
-def test_dedup_ignores_the_price(spark):
-    assert funnel.dedup(funnel.clean(spark.createDataFrame([event(1.0), event(2.0), event(user=2)], SCHEMA))).count() == 2
+def test_dedup_keeps_the_cheapest(spark):
+    rows = [event(2.0), event(1.0), event(3.0), event(user=2)]
+    out = funnel.dedup(funnel.clean(spark.createDataFrame(rows, SCHEMA).repartition(3)))
+    assert sorted((r.user_id, r.price) for r in out.collect()) == [(1, 1.0), (2, 5.0)] and out.columns == funnel.clean(spark.createDataFrame(rows, SCHEMA)).columns
+
+
+def test_a_missing_metric_is_no_cause(spark):
+    """Without a purchase there is no order value, and so no deviation of it."""
+    fields = "brand string, window_start timestamp, views long, conversion_rate double, carts long, revenue double, avg_order_value double"
+    history = spark.createDataFrame([("b", T0, 10, 0.5, 4, 50.0, 10.0)] * 3, fields)
+    row = rca.root_causes(spark.createDataFrame([("b", T0, 20, 0.0, 5, 0.0, None)], fields), history).first()
+    assert row.avg_order_value_deviation is None and row.conversion_rate_deviation == -100
+    assert row.top_metrics == "conversion_rate,revenue,views" and row.summary == "Conversion Rate down; Revenue down; Views up"
 
 
 def test_price_bands_are_half_open(spark):
@@ -60,6 +71,7 @@ def test_severity_edges_and_missing_models(spark):
         ensemble.at_least(ensemble.severity(ensemble.combine(df)), "worst")
     with pytest.raises(ValueError):
         Ensemble(weights={"prophet": 0.5})
+    assert Ensemble().weights == {"lstm": 0.30, "prophet": 0.30, "isolation_forest": 0.25, "changepoint": 0.15}
     assert get_config("nothing") == {} and get_config("zscore")["threshold"] == ZScore().threshold
 
 
@@ -68,18 +80,12 @@ def test_step_is_found_and_flagged(spark):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"brand": "b", "window_start": times, "conversion_rate": np.where(np.arange(96) < 48, 0.2, 0.6) + rng.normal(0, 0.01, 96)})
     df = spark.createDataFrame(pdf)
-    points = models.changepoints(df)
+    points = changepoints.changepoints(df)
     assert [r.changepoint_time for r in points.collect()] == [times[48].to_pydatetime()]
-    marked = models.flag_changepoints(df, points).filter("is_at_changepoint")
+    marked = changepoints.flag_changepoints(df, points).filter("is_at_changepoint")
     assert marked.count() == 5 and marked.first().changepoint_anomaly_score == 1.0
 
 
-def test_forest_finds_the_outlier():
-    x = np.random.default_rng(0).normal(0, 1, (200, 3))
-    x[17] = 9
-    assert models.isolation_scores(x).argmax() == 17
-
-
 def test_json_and_producer(spark):
     made = events.synthetic(spark)
     back = events.parse_messages(events.to_messages(made))
@@ -99,3 +105,25 @@ def test_ingest_twice_duplicates_nothing(spark, tmp_path):
 def test_unknown_sink_is_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         streaming.start_pipeline(spark, "file", "paper", path=str(tmp_path))
+
+
+def test_watching_and_stopping_streams(spark, tmp_path):
+    at = str(tmp_path)
+    for _ in range(3):
+        events.synthetic(spark, 50).coalesce(1).write.mode("append").parquet(f"{at}/in")
+    stream = events.file_stream(spark, f"{at}/in", events.schema_of(spark, f"{at}/in"), 1)
+    query = sinks.start_parquet(stream.select("event_time", "price"), f"{at}/out", f"{at}/c", {"processingTime": "0 seconds"})
+    assert streaming.run_batches(query, 3, 60, 0.2) >= 3 and not query.isActive
+    console = sinks.start_console(stream.select("price"))
+    assert console.isActive
+    assert streaming.progress(query)["rows"] >= 0
+    streaming.stop_all(spark)
+    assert not spark.streams.active
+
+
+def test_scratch_is_cleared(spark):
+    kept = scratch.save(spark.range(3), "three")
+    assert kept.count() == 3
+    path = kept.inputFiles()[0]
+    scratch.clear(spark)
+    assert events.safe_parquet(spark, path) is None
