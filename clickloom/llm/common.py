@@ -1,53 +1,31 @@
 """Pieces that the corpus operators share: the shared scratch folder, Arrow text access, hash helpers.
 
 Scratch tables are Parquet files below the folder named by ``spark.checkpoint.dir``: they cut
-lineage, survive the loss of executors, and are visible to driver and executors alike.
+lineage, survive the loss of executors, and are visible to driver and executors alike. ``scratch.clear``
+removes those of a session.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import scratch
+
 #: A word is a maximal run of bytes other than space, tab, LF, VT, FF and CR (``bytes.split()``).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Stands for a null id inside packed arrays; it sorts last and is turned back to null on output.
 NULL_ID = np.int64(2**63 - 1)
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one is set only where the session names none."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="clickloom-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/clickloom-{name}-{uuid.uuid4().hex}"
-
-
 def save(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: a durable cut of the lineage."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
-    """Like save(), hash-bucketed by key, so that later joins on key do not shuffle this side."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    table = f"clickloom_{name}_{uuid.uuid4().hex}"
-    (df.write.option("compression", "none").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table))
-    return spark.table(table)
+    return scratch.save(df, name)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -73,6 +51,28 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode().translate(_LOWER).split() if text else []
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts, A-Z lower-cased, and how many each text has; null and empty texts have none."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words = split.flatten()
+    good = pc.not_equal(pc.binary_length(words), 0)
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
+    before = np.concatenate([[0], np.cumsum(good.to_numpy(zero_copy_only=False))])
+    return words.filter(good), np.diff(before[ends])
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], rows: int, chars: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of (.., text) batches of at most so many rows and about so many bytes of text, one row at least."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(batch.num_columns - 1).fill_null("")).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(batch):
+            begin = ends[at - 1] if at else 0
+            stop = min(at + rows, max(at + 1, int(np.searchsorted(ends, begin + chars, side="right"))))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def ids_of(column: pa.Array) -> np.ndarray:
     return column.cast(pa.int64()).fill_null(int(NULL_ID)).to_numpy(zero_copy_only=False)
 

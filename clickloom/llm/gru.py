@@ -1,13 +1,16 @@
 """A gated recurrent language model in numpy: truncated backpropagation, class-factored softmax.
 
-Words 0 to C*S-1 are in classes of S words each; the probability of a word is that of its class times
-that of the word within it. Documents run side by side in lanes, window by window, and the hidden
-state of a lane is carried from one window to the next.
+Words are numbered by frequency and cut into classes of about equal sums of root counts, so that frequent
+words are in small classes; the probability of a word is that of its class times that of the word
+within it. Documents run side by side in lanes, window by window; the hidden state of a lane is carried from one
+window to the next, in training as in scoring, and only the gradient stops at a window's edge.
+
+Hidden states have a last column of ones, so the last column of the output parameters holds the biases.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,30 +18,42 @@ import numpy as np
 
 @dataclass(frozen=True)
 class Shape:
-    classes: int = 256
-    per_class: int = 256
-    hidden: int = 12
-    window: int = 32
+    hidden: int = 16
+    window: int = 32  # steps, or more where lanes are few
     lanes: int = 512
+    cells: int = 8192  # that a window of training has, about, where lanes are few
+
+
+#: name, rows (or all of them), gradient
+Step = Callable[[str, "np.ndarray | slice", np.ndarray], None]
+
+
+def classes(counts: np.ndarray) -> np.ndarray:
+    """First word of each class, and the number of words. So many classes that both softmaxes together cost least."""
+    root = np.sqrt(counts + 0.1)
+    n = max(1, round(root.sum() / np.sqrt((counts + 0.1).sum())))
+    of = np.minimum(np.cumsum(root) / root.sum() * n, n - 1e-9).astype(np.int64)
+    return np.append(np.flatnonzero(np.diff(of, prepend=-1)), len(counts))
+
 
-    @property
-    def words(self) -> int:
-        return self.classes * self.per_class
+def narrow(x: np.ndarray, top: int) -> np.ndarray:
+    """Two bytes a number where that is enough: they sort faster."""
+    return x.astype(np.uint16) if top <= 1 << 16 else x
 
 
 def begin(shape: Shape, counts: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
     """Parameters before training: the output biases give the unigram probabilities."""
-    rng, h = np.random.default_rng(seed), shape.hidden
-    share = (counts + 0.1) / (counts + 0.1).sum()
-    by = share.reshape(shape.classes, shape.per_class)
+    rng, h, starts = np.random.default_rng(seed), shape.hidden, classes(counts)
+    share = counts + 0.1
+    by = np.add.reduceat(share, starts[:-1])
+    within = share / np.repeat(by, np.diff(starts))
     # With equal word probabilities in an empty context, only the biases speak.
+    zeros = np.zeros((len(by), h)), np.zeros((len(counts), h))
     return {
-        "x": rng.normal(0, 0.3, (shape.words, 3 * h)).astype(np.float32),
+        "x": rng.normal(0, 0.3, (len(counts), 3 * h)).astype(np.float32),
         "u": rng.normal(0, 0.5 / np.sqrt(h), (h, 3 * h)).astype(np.float32),
-        "c": np.zeros((h, shape.classes), np.float32),
-        "cb": np.log(by.sum(1)).astype(np.float32),
-        "w": np.zeros((shape.classes, h, shape.per_class), np.float32),
-        "wb": np.log(by / by.sum(1, keepdims=True)).astype(np.float32),
+        "c": np.column_stack([zeros[0], np.log(by / by.sum())]).astype(np.float32),
+        "w": np.column_stack([zeros[1], np.log(within)]).astype(np.float32),
     }
 
 
@@ -52,9 +67,9 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def forward(p: dict, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, list]:
-    """Hidden states after each input (window x lanes x hidden), and what the backward pass needs."""
+    """Hidden states after each input (window x lanes x hidden + 1), and what the backward pass needs."""
     h = state.shape[1]
-    out, kept = np.empty((*inputs.shape, h), np.float32), []
+    out, kept = np.ones((*inputs.shape, h + 1), np.float32), []
     given = p["x"][inputs]
     for t in range(len(inputs)):
         inner = state @ p["u"]
@@ -63,76 +78,93 @@ def forward(p: dict, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray,
         n = np.tanh(given[t, :, 2 * h :] + r * inner[:, 2 * h :])
         kept.append((state, r, z, n, inner[:, 2 * h :]))
         state = n + z * (state - n)
-        out[t] = state
+        out[t, :, :h] = state
     return out, kept
 
 
-def output(p: dict, shape: Shape, hidden: np.ndarray, target: np.ndarray, gradient: bool, piece: int = 4096) -> tuple[np.ndarray, np.ndarray | None, dict]:
-    """Natural log probability of each target; with gradient, that of the sum by hidden and by parameters.
+def _softmax(weights: np.ndarray, wide: bool, hidden: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(log probability of each target, exponentials, their sums). Hidden states stay within -1 and 1, so only wide weights can overflow."""
+    e = hidden @ weights.T
+    if wide:
+        e -= e.max(1, keepdims=True)
+    part = e[np.arange(len(target)), target]
+    np.exp(e, out=e)
+    total = e @ np.ones(e.shape[1], np.float32)
+    return part - np.log(total), e, total
 
-    The gradient by "w" and "wb" has rows for the classes in "classes" only, those of the targets.
-    """
-    cls, word = target // shape.per_class, target % shape.per_class
-    logp = np.empty(len(target), np.float32)
-    back = np.empty_like(hidden) if gradient else None
-    d_c, d_cb = np.zeros_like(p["c"]), np.zeros_like(p["cb"])
+
+def _towards(e: np.ndarray, total: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Target minus probability, in place."""
+    e *= (-1 / total)[:, None]
+    e[np.arange(len(target)), target] += 1
+    return e
+
+
+def output(p: dict, starts: np.ndarray, hidden: np.ndarray, target: np.ndarray, step: Step | None = None, piece: int = 256) -> tuple[np.ndarray, np.ndarray | None]:
+    """Natural log probability of each target; with a step, it gets the gradients by "c" and "w", and that by hidden comes back."""
+    cls = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[target]
+    logp, back = np.empty(len(target), np.float32), np.empty_like(hidden) if step else None
+    wide = {name: bool(np.abs(p[name]).sum(1).max(initial=0) > 80) for name in ("c", "w")}
+    d_c = np.zeros_like(p["c"])
     for a in range(0, len(target), piece):
         h, k = hidden[a : a + piece], cls[a : a + piece]
-        at = np.arange(len(k))
-        # Hidden states stay within -1 and 1, so a bound is all that exp() needs.
-        logit = np.minimum(h @ p["c"] + p["cb"], 60)
-        part = logit[at, k]
-        e = np.exp(logit, out=logit)
-        total = e @ np.ones(shape.classes, np.float32)
-        logp[a : a + piece] = part - np.log(total)
-        if gradient:
-            e *= (-1 / total)[:, None]
-            e[at, k] += 1
-            back[a : a + piece] = e @ p["c"].T
-            d_c += h.T @ e
-            d_cb += e.sum(0)
-    order = np.argsort(cls, kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(shape.classes + 1))
-    touched = np.flatnonzero(np.diff(cuts))
-    d_w, d_wb = [], []
-    for k in touched.tolist():
-        rows = order[cuts[k] : cuts[k + 1]]
-        h, w = hidden[rows], word[rows]
-        at = np.arange(len(rows))
-        logit = np.minimum(h @ p["w"][k] + p["wb"][k], 60)
-        part = logit[at, w]
-        e = np.exp(logit, out=logit)
-        total = e @ np.ones(shape.per_class, np.float32)
-        logp[rows] += part - np.log(total)
-        if gradient:
-            e *= (-1 / total)[:, None]
-            e[at, w] += 1
-            d_w.append(h.T @ e)
-            d_wb.append(e.sum(0))
-            back[rows] += e @ p["w"][k].T
-    return logp, back, {"c": d_c, "cb": d_cb, "classes": touched, "w": np.stack(d_w), "wb": np.stack(d_wb)} if gradient else {}
-
-
-def backward(p: dict, inputs: np.ndarray, kept: list, d_out: np.ndarray) -> dict:
+        logp[a : a + piece], e, total = _softmax(p["c"], wide["c"], h, k)
+        if step:
+            e = _towards(e, total, k)
+            back[a : a + piece] = e @ p["c"]
+            d_c += e.T @ h
+    order = np.argsort(narrow(cls, len(starts)), kind="stable")
+    cuts = np.cumsum([0, *np.bincount(cls, minlength=len(starts) - 1)])
+    by_class, words = hidden[order], target[order]
+    found, returned = np.empty(len(target), np.float32), np.empty_like(by_class) if step else None
+    for k in np.flatnonzero(np.diff(cuts)).tolist():
+        a, b = starts[k], starts[k + 1]
+        if b - a == 1:
+            found[cuts[k] : cuts[k + 1]] = 0
+            if step:
+                returned[cuts[k] : cuts[k + 1]] = 0
+            continue
+        d_w = 0
+        for at in range(cuts[k], cuts[k + 1], 4 * piece):
+            rows = slice(at, min(at + 4 * piece, cuts[k + 1]))
+            h, w = by_class[rows], words[rows] - a
+            found[rows], e, total = _softmax(p["w"][a:b], wide["w"], h, w)
+            if step:
+                e = _towards(e, total, w)
+                returned[rows] = e @ p["w"][a:b]
+                d_w = d_w + e.T @ h
+        if step:
+            step("w", slice(a, b), d_w)
+    logp[order] += found
+    if step:
+        back[order] += returned
+        step("c", slice(None), d_c)
+    return logp, back
+
+
+def backward(p: dict, inputs: np.ndarray, kept: list, d_out: np.ndarray, step: Step) -> None:
     """Gradients by the recurrent parameters within one window."""
-    h = d_out.shape[2]
-    carry = np.zeros(d_out.shape[1:], np.float32)
+    h = p["u"].shape[0]
+    carry = np.zeros((d_out.shape[1], h), np.float32)
     d_given = np.empty((*inputs.shape, 3 * h), np.float32)
     d_u = np.zeros_like(p["u"])
     for t in range(len(inputs) - 1, -1, -1):
         state, r, z, n, inner = kept[t]
-        d = d_out[t] + carry
+        d = d_out[t, :, :h] + carry
         d_n = d * (1 - z) * (1 - n * n)
         d_z = d * (state - n) * z * (1 - z)
         d_r = d_n * inner * r * (1 - r)
         g = np.concatenate([d_r, d_z, d_n * r], 1)
         d_given[t, :, : 2 * h], d_given[t, :, 2 * h :] = g[:, : 2 * h], d_n
         d_u += state.T @ g
-        carry = d * z + g @ p["u"].T
+        carry = d * z
+        carry += g @ p["u"].T
+        np.clip(carry, -10, 10, out=carry)  # gradients may grow over a long window
     flat, words = d_given.reshape(-1, 3 * h), inputs.reshape(-1)
-    order = np.argsort(words, kind="stable")
+    order = np.argsort(narrow(words, len(p["x"])), kind="stable")
     firsts = np.flatnonzero(np.diff(words[order], prepend=-1))
-    return {"u": d_u, "rows": words[order][firsts], "x": np.add.reduceat(flat[order], firsts, 0)}
+    step("u", slice(None), d_u)
+    step("x", words[order][firsts], np.add.reduceat(flat[order], firsts, 0))
 
 
 def lanes(documents: list[np.ndarray], shape: Shape) -> Iterator[np.ndarray]:
@@ -165,47 +197,51 @@ def windows(documents: list[np.ndarray], end: int, cells: int, shortest: int) ->
         first = int(np.searchsorted(lengths, at, side="right"))
 
 
-def score(p: dict, shape: Shape, documents: list[np.ndarray], end: int, cells: int = 1 << 15) -> np.ndarray:
+def score(p: dict, starts: np.ndarray, shape: Shape, documents: list[np.ndarray], end: int, cells: int = 1 << 15) -> np.ndarray:
     """Natural log probability of each document, its state carried over all its windows."""
     out = np.zeros(len(documents))
     for block in lanes(documents, shape):
         state = np.zeros((len(block), shape.hidden), np.float32)
         for inputs, target, real, first in windows([documents[k] for k in block], end, cells, shape.window):
             hidden, _ = forward(p, inputs, state[len(state) - inputs.shape[1] :])
-            state = hidden[-1]
-            logp, _, _ = output(p, shape, hidden[real], target[real], False)
+            state = hidden[-1, :, : shape.hidden]
+            logp, _ = output(p, starts, hidden[real], target[real])
             out[block[first:]] += np.bincount(np.nonzero(real)[1], weights=logp, minlength=inputs.shape[1])
     return out
 
 
 class Trainer:
-    """Adagrad over windows; the state flows on, the gradient stops at a window's edge."""
+    """Adagrad over windows."""
 
-    def __init__(self, p: dict, shape: Shape, rate: float):
-        self.p, self.shape, self.rate, self.tokens = {k: v.copy() for k, v in p.items()}, shape, rate, 0
+    def __init__(self, p: dict, starts: np.ndarray, shape: Shape, rate: float):
+        self.p, self.starts, self.shape, self.rate, self.tokens = {k: v.copy() for k, v in p.items()}, starts, shape, np.float32(rate), 0
         self.speed = {k: np.full_like(v, 1e-2) for k, v in p.items()}
-
-    def step(self, name: str, g: np.ndarray, rows=slice(None)) -> None:
-        self.speed[name][rows] += g * g
-        self.p[name][rows] += self.rate * g / np.sqrt(self.speed[name][rows])
-
-    def learn(self, documents: list[np.ndarray], end: int, longest: int = 1024) -> None:
-        """One pass; a document beyond `longest` tokens is learnt from in parts of that length, so that lanes stay full."""
-        parts = [d[k : k + longest] for d in documents for k in range(0, len(d), longest)]
-        for block in lanes(parts, self.shape):
+        # The same for all windows, so that those of few tokens move little.
+        self.scale = np.float32(1 / np.sqrt(shape.lanes * shape.window))
+        self.rng = np.random.default_rng(3)
+
+    def step(self, name: str, rows: np.ndarray | slice, g: np.ndarray) -> None:
+        g = g * self.scale
+        speed = self.speed[name][rows]
+        speed += g * g
+        g *= self.rate
+        g /= np.sqrt(speed)
+        if isinstance(rows, slice):  # speed was a view
+            self.p[name][rows] += g
+        else:
+            self.speed[name][rows] = speed
+            self.p[name][rows] += g
+
+    def learn(self, documents: list[np.ndarray], end: int) -> None:
+        """One pass, over blocks of documents of about one length in random order."""
+        blocks = list(lanes(documents, self.shape))
+        for number in self.rng.permutation(len(blocks)).tolist():
+            block = blocks[number]
             state = np.zeros((len(block), self.shape.hidden), np.float32)
-            for inputs, target, real, _ in windows([parts[k] for k in block], end, 0, self.shape.window):
+            for inputs, target, real, _ in windows([documents[k] for k in block], end, self.shape.cells, self.shape.window):
                 hidden, kept = forward(self.p, inputs, state[len(state) - inputs.shape[1] :])
-                state = hidden[-1]
-                _, back, grads = output(self.p, self.shape, hidden[real], target[real], True)
+                state = hidden[-1, :, : self.shape.hidden]
                 d_out = np.zeros_like(hidden)
-                d_out[real] = back
-                found = backward(self.p, inputs, kept, d_out)
-                scale = np.float32(1 / np.sqrt(max(1, real.sum())))
-                self.step("x", found["x"] * scale, found["rows"])
-                self.step("u", found["u"] * scale)
-                for k in ("c", "cb"):
-                    self.step(k, grads[k] * scale)
-                for k in ("w", "wb"):
-                    self.step(k, grads[k] * scale, grads["classes"])
+                _, d_out[real] = output(self.p, self.starts, hidden[real], target[real], self.step)
+                backward(self.p, inputs, kept, d_out, self.step)
                 self.tokens += int(real.sum())

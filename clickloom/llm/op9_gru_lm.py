@@ -3,106 +3,165 @@
 1. Training documents are counted in full: every distinct word, wherever it occurs.
 2. The most frequent words form the classes of the network's output softmax; end of text and "any
    other word" are words of it too. The network is trained by truncated backpropagation on all
-   training documents: partitions learn in parallel from the same parameters, which are averaged by
-   tokens between rounds; each document is learnt from once.
+   training documents: learners (one for each `learner_bytes` of text) begin a round with the same parameters
+   and send how they changed, which is averaged by tokens; each document is learnt from once, from its
+   beginning to its end.
 3. Every document is scored in full, the state carried from window to window. Another word costs the
    network's probability of "any other" times its add-one share among such words.
 
 Sizes that tasks receive are bounded by parameters: the network, and the counts of `frequent` words.
-Counts of rarer words reach the documents by a join, so the vocabulary may grow without bound.
+Counts of rarer words reach the documents by a join, so the vocabulary may grow without bound. Changes are
+added up in steps of `fan` learners each, in streams, so that no task holds those of many.
 
 Edge cases: null and empty texts are one token, the end; ids may be null or repeat, each row being a
-document of its own; without training documents the counts are zero and the network is untrained;
-an empty table gives an empty result; other columns are not read.
+document of its own; very long texts run through the same windows as others, in fewer lanes; without training
+documents the counts are zero and the network is untrained; an empty table gives an empty result; other columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from dataclasses import replace
-from math import ceil, sqrt
+from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import gru
-from .common import id_crc_mod, ids_back, ids_of, lower_words, save
+from .common import id_crc_mod, ids_back, ids_of, save, shuffle_partitions, text_slices, words_of
 
 _END, _OTHER = 0, 1
-_PIECE = 1 << 12  # parameters that a message between tasks holds
+_PIECE = 1 << 14  # parameters that a message between tasks holds
 _SLICE = 8192  # documents that are run together, by length
+_CHANGES = "name string, piece long, learner long, tokens long, v binary"
 
 
-def count_words(docs: DataFrame, flush: int = 500_000) -> DataFrame:
+def count_words(docs: DataFrame, flush: int = 1_000_000) -> DataFrame:
     """word, n over all documents: counted in each task first."""
 
-    def run(batches):
-        seen: Counter = Counter()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pa.table({"word": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
+        for batch in text_slices(batches, _SLICE):
+            words, _ = words_of(batch.column(0))
+            seen = words.value_counts()
+            one = pa.table({"word": seen.field("values"), "n": seen.field("counts")})
+            held = pa.concat_tables([held, one]).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
+            if len(held) > flush:
+                yield from held.to_batches()
+                held = held.slice(0, 0)
+        yield from held.to_batches()
 
-        def rows():
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
-        for batch in batches:
-            for text in batch.column(0):
-                seen.update(lower_words(text.as_py()))
-                if len(seen) > flush:
-                    yield rows()
-                    seen.clear()
-        yield rows()
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def frequent_words(counts: DataFrame, frequent: int) -> list:
+    """Rows of the `frequent` most frequent words (ties by the word), most frequent first.
+
+    All words above a count, and of those of that very count the first ones: counts come in few values, so the table of values is small.
+    """
+    values = counts.groupBy("n").count().orderBy(F.desc("n")).limit(frequent).collect()
+    held, floor = 0, None
+    for row in values:
+        if held + row["count"] > frequent:
+            floor = row.n
+            break
+        held += row["count"]
+    least = F.lit(floor) if floor is not None else F.lit(values[-1].n - 1 if values else 0)
+    top = counts.filter(F.col("n") > least).collect()
+    if floor is not None:
+        top += counts.filter(F.col("n") == floor).orderBy("word").limit(frequent - held).collect()
+    return sorted(top, key=lambda r: (-r.n, r.word.encode()))
+
+
+class Words:
+    """Numbers of the frequent words."""
+
+    def __init__(self, top: list[str]):
+        self.top = pa.array(top, pa.string())
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """The rank of each word, or -1."""
+        return pc.index_in(words, value_set=self.top).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def documents(self, texts: pa.Array) -> list[np.ndarray]:
+        """Numbers of the words of each text, then the end."""
+        words, n = words_of(texts)
+        rank = self.find(words)
+        return with_end(np.where(rank >= 0, rank + 2, _OTHER), n)
 
 
-def encode(texts: list[str | None], index: dict[bytes, int], other: int) -> list[np.ndarray]:
-    """Word numbers of each text, then the end."""
-    return [np.array([index.get(w, other) for w in lower_words(t)] + [_END], np.int64) for t in texts]
+def with_end(numbers: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    ends = np.cumsum(n)
+    return np.split(np.insert(numbers, ends, _END), (ends + np.arange(1, len(n) + 1))[:-1]) if len(n) else []
 
 
-def train(docs: DataFrame, index: dict[bytes, int], counts: np.ndarray, shape: gru.Shape, rounds: int, rate: float) -> dict[str, np.ndarray]:
+def added(changes: DataFrame, partitions: int) -> DataFrame:
+    """Sums of v over the rows of equal (name, piece, learner), one row in hand at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list] = {}
+        for batch in batches:
+            for name, piece, learner, tokens, v in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                x = np.frombuffer(v, np.float32)
+                one = held.setdefault((name, piece, learner), [0, np.zeros(len(x))])
+                one[0] += tokens
+                one[1] += x
+        for (name, piece, learner), (tokens, v) in held.items():
+            columns = [pa.array([x], t) for x, t in ((name, pa.string()), (piece, pa.int64()), (learner, pa.int64()), (tokens, pa.int64()), (v.astype(np.float32).tobytes(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["name", "piece", "learner", "tokens", "v"])
+
+    return changes.repartition(partitions, "name", "piece", "learner").mapInArrow(run, _CHANGES)
+
+
+def train(docs: DataFrame, words: Words, counts: np.ndarray, shape: gru.Shape, rounds: int, rate: float, learners: int, fan: int = 64) -> dict[str, np.ndarray]:
     """Parameters after `rounds` rounds; round k learns from the documents whose text hashes to k."""
-    p = gru.begin(shape, counts)
-    names = list(p)
+    p, starts = gru.begin(shape, counts), gru.classes(counts)
+    spark = docs.sparkSession
 
     for k in range(rounds):
-        sent = docs.sparkSession.sparkContext.broadcast((p, index))
-
-        def learn(batches, sent=sent):
-            start, words = sent.value
-            trainer = gru.Trainer(start, shape, rate)
-            held: list[str] = []
-            for batch in batches:
-                held += batch.column(0).to_pylist()
-                while len(held) >= _SLICE:
-                    trainer.learn(encode(held[:_SLICE], words, _OTHER), _END)
-                    held = held[_SLICE:]
+        sent = spark.sparkContext.broadcast((p, starts, words))
+
+        def learn(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+
+            begun, starts, words = sent.value
+            trainer, learner = gru.Trainer(begun, starts, shape, rate), TaskContext.get().partitionId()
+            held: list[np.ndarray] = []
+            size = 0
+            for batch in text_slices(batches, _SLICE):
+                held += words.documents(batch.column(0))
+                size += len(batch)
+                if size >= _SLICE:
+                    trainer.learn(held, _END)
+                    held, size = [], 0
             if held:
-                trainer.learn(encode(held, words, _OTHER), _END)
+                trainer.learn(held, _END)
             if trainer.tokens:
-                for name in names:
-                    flat = trainer.p[name].ravel() * np.float32(trainer.tokens)
+                for name, value in trainer.p.items():
+                    flat = ((value - begun[name]).ravel() * np.float32(trainer.tokens)).astype(np.float32)
                     values = [flat[a : a + _PIECE].tobytes() for a in range(0, len(flat), _PIECE)]
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(values)), pa.array(range(len(values)), pa.int64()), pa.array([trainer.tokens] * len(values), pa.int64()), pa.array(values, pa.binary())], names=["name", "piece", "tokens", "v"])
-
-        def add(pdf: pd.DataFrame) -> pd.DataFrame:
-            total = np.zeros(len(pdf["v"].iloc[0]) // 4)
-            for v in pdf["v"]:
-                total += np.frombuffer(v, np.float32)
-            return pd.DataFrame({"name": pdf["name"].iloc[:1], "piece": pdf["piece"].iloc[:1], "tokens": [pdf["tokens"].sum()], "v": [total.astype(np.float32).tobytes()]})
+                    n = len(values)
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(range(n), pa.int64()), pa.array([learner] * n, pa.int64()), pa.array([trainer.tokens] * n, pa.int64()), pa.array(values, pa.binary())], names=["name", "piece", "learner", "tokens", "v"])
 
         part = docs.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-        # Sums are taken piece by piece, so that no task gathers the parameters of all others and they are sent once.
-        schema = "name string, piece long, tokens long, v binary"
-        learnt = part.mapInArrow(learn, schema)
-        for row in learnt.groupBy("name", "piece").applyInPandas(add, schema).collect():
+        changes, left = part.coalesce(learners).mapInArrow(learn, _CHANGES), learners
+        while left > 1:
+            left = ceil(left / fan)
+            changes = added(changes.withColumn("learner", F.floor(F.col("learner") / fan)), shuffle_partitions(spark))
+            if left > 1:
+                changes = save(changes, "changes")
+        p = {name: value.copy() for name, value in p.items()}
+        for row in changes.toLocalIterator():
             mean = np.frombuffer(row.v, np.float32) / np.float32(row.tokens)
-            p[row.name].reshape(-1)[row.piece * _PIECE : row.piece * _PIECE + len(mean)] = mean
+            p[row.name].reshape(-1)[row.piece * _PIECE : row.piece * _PIECE + len(mean)] += mean
+        sent.unpersist()
     return p
 
 
-def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: gru.Shape = gru.Shape(), rounds: int = 2, rate: float = 0.2, frequent: int = 1 << 16) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: gru.Shape = gru.Shape(), rounds: int = 2, rate: float = 0.4, frequent: int = (1 << 16) - 2, learner_bytes: int = 16 << 20) -> DataFrame:
     """docs: doc_id, text; learns from documents outside fold `held_out` of crc32(doc_id) modulo folds.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
@@ -110,71 +169,53 @@ def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: g
     spark = docs.sparkSession
     learnt = docs.filter(id_crc_mod("doc_id", folds) != held_out)
     counts = save(count_words(learnt), "counts")
-    n_docs, totals = learnt.count(), counts.agg(F.sum("n"), F.count(F.lit(1))).first()
+    n_docs, n_bytes = learnt.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.col("text").cast("string")))).first()
+    totals = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     n_words, n_distinct = totals[0] or 0, totals[1]
     n, v = n_words + n_docs, n_distinct + (1 if n_docs else 0)
-    # Words by bands of counts (at most a few hundred bands), from the top as long as they are `frequent` at most.
-    band = F.floor(F.log2("n") * 8)
-    held, floor = 0, None
-    for row in counts.groupBy(band.alias("band")).count().orderBy(F.desc("band")).collect():
-        held += row["count"]
-        if held > frequent:
-            break
-        floor = row.band
-    top = counts.filter(band >= floor).collect() if floor is not None else []
-    top.sort(key=lambda r: (-r.n, bytes(r.word)))
-    ranks = {bytes(r.word): k for k, r in enumerate(top)}
+    top = frequent_words(counts, frequent)
     top_n = np.array([r.n for r in top], np.int64)
-    # The network's vocabulary grows with the corpus, up to its full shape.
-    side = max(2, ceil(sqrt(len(top) + 2)))
-    shape = replace(shape, classes=min(shape.classes, side), per_class=min(shape.per_class, side))
-    inside = min(len(top), shape.words - 2)
-    index = {w: k + 2 for w, k in ranks.items() if k < inside}
-    known = np.zeros(shape.words)
-    known[_END], known[_OTHER] = n_docs, n_words - top_n[:inside].sum()
-    known[2 : 2 + inside] = top_n[:inside]
-    p = train(learnt, index, known, shape, rounds, rate)
-    sent = spark.sparkContext.broadcast((p, ranks, top_n))
+    words = Words([r.word for r in top])
+    known = np.concatenate([[n_docs, n_words - top_n.sum()], top_n]).astype(float)
+    starts = gru.classes(known)
+    p = train(learnt, words, known, shape, rounds, rate, max(1, ceil((n_bytes or 0) / rounds / learner_bytes)))
+    sent = spark.sparkContext.broadcast((p, words, top_n))
     all_log = float(np.log10(n + v + 1))
-    other_log = float(np.log10(max(0, n_words - int(top_n[:inside].sum())) + (n_distinct - inside) + 1))
+    other_log = float(np.log10(n_words - int(top_n.sum()) + (n_distinct - len(top)) + 1))
     end_log = float(np.log10(n_docs + 1)) - all_log
 
-    schema = "row long, doc_id long, n_tokens long, n_known long, base double, score double, rare array<struct<word:binary,times:int>>"
-    rare_type = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int32())]))
+    schema = "row long, doc_id long, n_tokens long, n_known long, base double, score double, rare array<struct<word:string,times:long>>"
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        p, ranks, top_n = sent.value
+        p, words, top_n = sent.value
         logs = np.log10(top_n + 1.0)
         row = TaskContext.get().partitionId() << 40
-        for whole in batches:
-            for batch in (whole.slice(k, _SLICE) for k in range(0, len(whole), _SLICE)):
-                texts = batch.column(1).to_pylist()
-                tokens, n_known, base, score, rare = [], [], [], [], []
-                for text in texts:
-                    words = lower_words(text)
-                    # Ranks of frequent words; the others are counted for the join.
-                    at = np.array([ranks.get(w, -1) for w in words], np.int64)
-                    seen = at >= 0
-                    others = Counter(w for w, s in zip(words, seen.tolist(), strict=True) if not s) if not seen.all() else {}
-                    rare.append([{"word": w, "times": k} for w, k in others.items()])
-                    n_known.append(int(seen.sum()) + (n_docs > 0))
-                    base.append(float(logs[at[seen]].sum()) - int(seen.sum()) * all_log + end_log)
-                    deep = at[at >= inside]
-                    score.append(float(logs[deep].sum()) - len(deep) * other_log)
-                    tokens.append(np.append(np.where(seen & (at < inside), at + 2, _OTHER), _END))
-                found = gru.score(p, shape, tokens, _END) / np.log(10) + np.array(score)
-                rows = np.arange(row, row + len(texts))
-                row += len(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows), ids_back(ids_of(batch.column(0))), pa.array([len(t) for t in tokens], pa.int64()), pa.array(n_known, pa.int64()), pa.array(base), pa.array(found), pa.array(rare, rare_type)],
-                    names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "rare"],
-                )
+        for batch in text_slices(batches, _SLICE):
+            found, sizes = words_of(batch.column(1))
+            rank = words.find(found)
+            seen = rank >= 0
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            n_seen = np.bincount(of[seen], minlength=len(sizes))
+            base = np.bincount(of[seen], weights=logs[rank[seen]], minlength=len(sizes)) - n_seen * all_log + end_log
+            # The others are counted for the join.
+            mask = pa.array(~seen)
+            rare = pa.table({"of": pa.array(of).filter(mask), "word": found.filter(mask)}).group_by(["of", "word"], use_threads=False).aggregate([([], "count_all")]).sort_by("of").combine_chunks()
+            ends = np.concatenate([[0], np.cumsum(np.bincount(rare["of"].to_numpy(), minlength=len(sizes)))])
+            pairs = pa.StructArray.from_arrays([pa.concat_arrays([pa.array([], pa.string()), *rare["word"].chunks]), pa.concat_arrays([pa.array([], pa.int64()), *rare["count_all"].chunks])], names=["word", "times"])
+            tokens = with_end(np.where(seen, rank + 2, _OTHER), sizes)
+            score = gru.score(p, starts, shape, tokens, _END) / np.log(10)
+            rows = np.arange(row, row + len(sizes))
+            row += len(sizes)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows), ids_back(ids_of(batch.column(0))), pa.array(sizes + 1, pa.int64()), pa.array(n_seen + (n_docs > 0), pa.int64()), pa.array(base), pa.array(score), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)],
+                names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "rare"],
+            )
 
     scored = save(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema), "scored")
-    words = scored.select("row", F.explode("rare").alias("e")).select("row", "e.word", "e.times")
-    joined = words.join(counts, "word", "left").select("row", "times", F.coalesce("n", F.lit(0)).alias("n"))
+    each = scored.select("row", F.explode("rare").alias("e")).select("row", "e.word", "e.times")
+    joined = each.join(counts, "word", "left").select("row", "times", F.coalesce("n", F.lit(0)).alias("n"))
     logs = F.log10(F.col("n") + F.lit(1.0))
     by_row = joined.groupBy("row").agg(F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("r_known"), F.sum(F.col("times") * (logs - all_log)).alias("r_base"), F.sum(F.col("times") * (logs - other_log)).alias("r_score"))
     whole = scored.drop("rare").join(by_row, "row", "left")

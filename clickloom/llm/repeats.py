@@ -29,12 +29,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import winnow
-from .common import NULL_ID, ids_of, save, save_bucketed, shuffle_partitions
+import uuid
+
+from ..sources import scratch
+from .common import NULL_ID, ids_of, save, shuffle_partitions
 
 CHUNK = "chunk long, n_bytes long, ids binary, ends binary, data binary, rest binary"
 _CHUNK = pa.schema([("chunk", pa.int64()), ("n_bytes", pa.int64()), ("ids", pa.binary()), ("ends", pa.binary()), ("data", pa.binary()), ("rest", pa.binary())])
 
 
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Like save(), hash-bucketed by key, so that later joins on key do not shuffle this side."""
+    spark, path = df.sparkSession, scratch.path(df.sparkSession, name)
+    table = f"clickloom_{name}_{uuid.uuid4().hex}"
+    (df.write.option("compression", "none").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    return spark.table(table)
+
+
 @dataclass(frozen=True)
 class Units:
     """What a window is made of: window units, of which gram at a time are hashed; words or bytes."""

@@ -6,11 +6,12 @@ from collections import Counter
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.llm import op1_minhash, op2_url_filter, op3_substring, op4_decontaminate, op5_toxicity, op6_license, op7_pivot_index, op8_packing, op9_gru_lm, op10_suffix_array
-from clickloom.llm.common import lower_words
+from clickloom.llm import gru, op1_minhash, op2_url_filter, op3_substring, op4_decontaminate, op5_toxicity, op6_license, op7_pivot_index, op8_packing, op9_gru_lm, op10_suffix_array
+from clickloom.llm.common import lower_words, words_of
 from clickloom.llm.components import components
 from clickloom.llm.fmindex import FMIndex, repeated_windows
 from clickloom.llm.repeats import Sizes
@@ -303,18 +304,119 @@ def test_language_model(spark, docs, none):
     assert op9_gru_lm.score_documents(none).count() == 0
 
 
-def test_network_knows_all_frequent_words(spark, monkeypatch):
+def test_network_knows_the_most_frequent_words(spark, monkeypatch):
     seen = {}
 
-    def train(docs, index, counts, shape, rounds, rate):
-        seen.update(index=index, shape=shape)
-        return op9_gru_lm.gru.begin(shape, counts)
+    def train(docs, words, counts, *rest):
+        seen.update(top=words.top.to_pylist(), counts=counts.tolist())
+        return op9_gru_lm.gru.begin(op9_gru_lm.gru.Shape(), counts)
 
     monkeypatch.setattr(op9_gru_lm, "train", train)
     words = [f"v{k}" for k in range(3000)]
-    table = spark.createDataFrame([(0, " ".join(words)), (1, "v5 v2999")], "doc_id long, text string")
-    assert op9_gru_lm.score_documents(table).count() == 2
-    assert set(seen["index"]) == {w.encode() for w in words} and seen["shape"].words <= 3136
+    table = spark.createDataFrame([(0, " ".join(words)), (2, "v5 v2999")], "doc_id long, text string")
+    assert op9_gru_lm.score_documents(table).count() == 2 and set(seen["top"]) == set(words)
+    # A flat vocabulary: the first of the words of one count fill what is left.
+    assert op9_gru_lm.score_documents(table, frequent=10).count() == 2
+    assert seen["top"] == ["v2999", "v5", *sorted(words)[:8]] and seen["counts"] == [2, 2992, 2, 2, *[1] * 8]
+
+
+def test_words_of_texts():
+    texts = ["a  b\x0bC\x1cd\x85e", "", None, "  lead Ä B ", "\t\n"]
+    words, n = words_of(pa.array(texts))
+    assert [w.encode() for w in words.to_pylist()] == [w for t in texts for w in lower_words(t)] and n.tolist() == [len(lower_words(t)) for t in texts]
+
+
+def toy_network(hidden=3, words=40, seed=1):
+    rng = np.random.default_rng(seed)
+    counts = np.sort(rng.integers(1, 200, words))[::-1].astype(float)
+    shape = gru.Shape(hidden=hidden, window=4, lanes=3, cells=0)
+    p = {k: (v + rng.normal(0, 0.3, v.shape)).astype(np.float32) for k, v in gru.begin(shape, counts).items()}
+    return p, gru.classes(counts), shape, rng
+
+
+def plain_score(p, starts, h, words, end=0):
+    """A token at a time, by the formulas."""
+    state, before, total = np.zeros(h), end, 0.0
+    p = {k: v.astype(float) for k, v in p.items()}
+    for word in words:
+        given, inner = p["x"][before], state @ p["u"]
+        r, z = (1 / (1 + np.exp(-(given[k * h : (k + 1) * h] + inner[k * h : (k + 1) * h]))) for k in (0, 1))
+        n = np.tanh(given[2 * h :] + r * inner[2 * h :])
+        state = (1 - z) * n + z * state
+        one = np.append(state, 1)
+        k = np.searchsorted(starts, word, side="right") - 1
+        by_class, within = p["c"] @ one, p["w"][starts[k] : starts[k + 1]] @ one
+        total += by_class[k] - np.log(np.exp(by_class).sum()) + within[word - starts[k]] - np.log(np.exp(within).sum())
+        before = word
+    return total
+
+
+def test_network_scores_as_the_formulas_say():
+    p, starts, shape, rng = toy_network()
+    documents = [np.append(rng.integers(1, 40, n), 0) for n in (0, 1, 7, 30, 3, 11, 64)]
+    assert np.allclose(gru.score(p, starts, shape, documents, 0, cells=16), [plain_score(p, starts, 3, d) for d in documents], atol=1e-3)
+    # The probabilities of all next words sum to one.
+    total = sum(np.exp(plain_score(p, starts, 3, [5, 9, w]) - plain_score(p, starts, 3, [5, 9])) for w in range(40))
+    assert abs(total - 1) < 1e-6
+
+
+def test_network_slopes_are_right():
+    p, starts, shape, rng = toy_network()
+    inputs, target = rng.integers(0, 40, (4, 3)), rng.integers(0, 40, (4, 3))
+    p = {k: v.astype(np.float64) for k, v in p.items()}
+    found = {k: np.zeros_like(v) for k, v in p.items()}
+
+    def step(name, rows, g):
+        found[name][rows] += g
+
+    def total():
+        hidden, kept = gru.forward(p, inputs, np.zeros((3, 3)))
+        return gru.output(p, starts, hidden.reshape(-1, 4), target.reshape(-1))[0].astype(float).sum(), hidden, kept
+
+    _, hidden, kept = total()
+    _, back = gru.output(p, starts, hidden.reshape(-1, 4), target.reshape(-1), step)
+    gru.backward(p, inputs, kept, back.reshape(4, 3, 4), step)
+    for name, value in p.items():
+        used = np.argwhere(np.abs(found[name]) > 1e-3)
+        for at in used[rng.permutation(len(used))[:6]]:
+            keep, at = value[tuple(at)], tuple(at)
+            value[at] = keep + 1e-2
+            up = total()[0]
+            value[at] = keep - 1e-2
+            down = total()[0]
+            value[at] = keep
+            assert abs((up - down) / 2e-2 - found[name][at]) < 2e-2 * max(1, abs(found[name][at])), name
+
+
+def test_training_carries_the_state(monkeypatch):
+    """A long document is learnt from as one sequence: every window after the first begins where the last one ended."""
+    p, starts, shape, rng = toy_network()
+    begun, ended = [], []
+    forward = gru.forward
+
+    def watched(p, inputs, state):
+        out = forward(p, inputs, state)
+        begun.append(state.copy())
+        ended.append(out[0][-1, :, :3].copy())
+        return out
+
+    monkeypatch.setattr(gru, "forward", watched)
+    gru.Trainer(p, starts, shape, 0.1).learn([np.append(rng.integers(1, 40, 3000), 0)], 0)
+    assert len(begun) == 751 and not begun[0].any() and all((a == b).all() for a, b in zip(begun[1:], ended, strict=False))
+
+
+def test_training_learns(spark):
+    table = spark.createDataFrame([(k, " ".join("abcdefgh"[j % 8] for j in range(k % 5, 40 + k % 7))) for k in range(300)], "doc_id long, text string").repartition(3)
+    got = op9_gru_lm.score_documents(table, rounds=2, learner_bytes=4000).collect()
+    assert sum(r.score for r in got if r.held_out) > 0.8 * sum(r.base_score for r in got if r.held_out)
+
+
+def test_changes_are_added_in_steps(spark):
+    rows = [("x", k % 3, k, 2, np.full(4, k, np.float32).tobytes()) for k in range(50)]
+    table = spark.createDataFrame(rows, op9_gru_lm._CHANGES).withColumn("learner", F.floor(F.col("learner") / 10))
+    got = {(r.piece, r.learner): (r.tokens, np.frombuffer(r.v, np.float32).tolist()) for r in op9_gru_lm.added(table, 3).collect()}
+    want = {(a, b): (2 * len(s), [float(sum(s))] * 4) for a in range(3) for b in range(5) if (s := [k for k in range(50) if k % 3 == a and k // 10 == b])}
+    assert got == want
 
 
 def test_indexes():
