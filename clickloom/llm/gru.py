@@ -20,7 +20,7 @@ import numpy as np
 class Shape:
     hidden: int = 16
     window: int = 32  # steps, or more where lanes are few
-    lanes: int = 512
+    lanes: int = 1024
     cells: int = 8192  # that a window of training has, about, where lanes are few
 
 
@@ -51,7 +51,7 @@ def begin(shape: Shape, counts: np.ndarray, seed: int = 7) -> dict[str, np.ndarr
     zeros = np.zeros((len(by), h)), np.zeros((len(counts), h))
     return {
         "x": rng.normal(0, 0.3, (len(counts), 3 * h)).astype(np.float32),
-        "u": rng.normal(0, 0.5 / np.sqrt(h), (h, 3 * h)).astype(np.float32),
+        "u": rng.normal(0, 0.5 / np.sqrt(h), (3 * h, h)).astype(np.float32),
         "c": np.column_stack([zeros[0], np.log(by / by.sum())]).astype(np.float32),
         "w": np.column_stack([zeros[1], np.log(within)]).astype(np.float32),
     }
@@ -66,20 +66,30 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def forward(p: dict, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, list]:
-    """Hidden states after each input (window x lanes x hidden + 1), and what the backward pass needs."""
-    h = state.shape[1]
-    out, kept = np.ones((*inputs.shape, h + 1), np.float32), []
-    given = p["x"][inputs]
-    for t in range(len(inputs)):
-        inner = state @ p["u"]
-        gates = _sigmoid(given[t, :, : 2 * h] + inner[:, : 2 * h])
-        r, z = gates[:, :h], gates[:, h:]
-        n = np.tanh(given[t, :, 2 * h :] + r * inner[:, 2 * h :])
-        kept.append((state, r, z, n, inner[:, 2 * h :]))
-        state = n + z * (state - n)
-        out[t, :, :h] = state
-    return out, kept
+def forward(p: dict, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, tuple]:
+    """Hidden states after each input (window x lanes x hidden + 1), and what the backward pass needs.
+
+    state is hidden x lanes: within the loop lanes come last, so that gates are contiguous.
+    """
+    h, steps = len(state), len(inputs)
+    gates = np.ascontiguousarray(p["x"][inputs].transpose(0, 2, 1))
+    states = np.empty((steps + 1, *state.shape), np.float32)
+    fresh, inner = np.empty((2, steps, *state.shape), np.float32)
+    states[0] = state
+    for t in range(steps):
+        both = p["u"] @ states[t]
+        gates[t, : 2 * h] += both[: 2 * h]
+        _sigmoid(gates[t, : 2 * h])
+        inner[t] = both[2 * h :]
+        n = np.multiply(gates[t, :h], inner[t], out=fresh[t])
+        n += gates[t, 2 * h :]
+        np.tanh(n, out=n)
+        now = np.subtract(states[t], n, out=states[t + 1])
+        now *= gates[t, h : 2 * h]
+        now += n
+    out = np.ones((*inputs.shape, h + 1), np.float32)
+    out[:, :, :h] = states[1:].transpose(0, 2, 1)
+    return out, (states, gates, fresh, inner)
 
 
 def _softmax(weights: np.ndarray, wide: bool, hidden: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,25 +152,38 @@ def output(p: dict, starts: np.ndarray, hidden: np.ndarray, target: np.ndarray,
     return logp, back
 
 
-def backward(p: dict, inputs: np.ndarray, kept: list, d_out: np.ndarray, step: Step) -> None:
+def backward(p: dict, inputs: np.ndarray, kept: tuple, d_out: np.ndarray, step: Step) -> None:
     """Gradients by the recurrent parameters within one window."""
-    h = p["u"].shape[0]
-    carry = np.zeros((d_out.shape[1], h), np.float32)
-    d_given = np.empty((*inputs.shape, 3 * h), np.float32)
-    d_u = np.zeros_like(p["u"])
+    states, gates, fresh, inner = kept
+    h = states.shape[1]
+    d_out = np.ascontiguousarray(d_out[:, :, :h].transpose(0, 2, 1))
+    d_given = np.empty((len(inputs), 3 * h, inputs.shape[1]), np.float32)
+    d_u, both, carry = np.zeros_like(p["u"]), np.empty(d_given.shape[1:], np.float32), np.zeros_like(states[0])
+    back = np.ascontiguousarray(p["u"].T)
     for t in range(len(inputs) - 1, -1, -1):
-        state, r, z, n, inner = kept[t]
-        d = d_out[t, :, :h] + carry
-        d_n = d * (1 - z) * (1 - n * n)
-        d_z = d * (state - n) * z * (1 - z)
-        d_r = d_n * inner * r * (1 - r)
-        g = np.concatenate([d_r, d_z, d_n * r], 1)
-        d_given[t, :, : 2 * h], d_given[t, :, 2 * h :] = g[:, : 2 * h], d_n
-        d_u += state.T @ g
-        carry = d * z
-        carry += g @ p["u"].T
+        r, z, n = gates[t, :h], gates[t, h : 2 * h], fresh[t]
+        carry += d_out[t]
+        kept_off = 1 - z
+        d_r, d_z, d_n = (d_given[t, k * h : (k + 1) * h] for k in range(3))
+        np.multiply(n, n, out=d_n)
+        np.subtract(1, d_n, out=d_n)
+        d_n *= carry
+        d_n *= kept_off
+        np.subtract(states[t], n, out=d_z)
+        d_z *= carry
+        d_z *= z
+        d_z *= kept_off
+        np.subtract(1, r, out=d_r)
+        d_r *= r
+        d_r *= inner[t]
+        d_r *= d_n
+        both[: 2 * h] = d_given[t, : 2 * h]
+        np.multiply(d_n, r, out=both[2 * h :])
+        d_u += both @ states[t].T
+        carry *= z
+        carry += back @ both
         np.clip(carry, -10, 10, out=carry)  # gradients may grow over a long window
-    flat, words = d_given.reshape(-1, 3 * h), inputs.reshape(-1)
+    flat, words = d_given.transpose(0, 2, 1).reshape(-1, 3 * h), inputs.reshape(-1)
     order = np.argsort(narrow(words, len(p["x"])), kind="stable")
     firsts = np.flatnonzero(np.diff(words[order], prepend=-1))
     step("u", slice(None), d_u)
@@ -201,10 +224,10 @@ def score(p: dict, starts: np.ndarray, shape: Shape, documents: list[np.ndarray]
     """Natural log probability of each document, its state carried over all its windows."""
     out = np.zeros(len(documents))
     for block in lanes(documents, shape):
-        state = np.zeros((len(block), shape.hidden), np.float32)
+        state = np.zeros((shape.hidden, len(block)), np.float32)
         for inputs, target, real, first in windows([documents[k] for k in block], end, cells, shape.window):
-            hidden, _ = forward(p, inputs, state[len(state) - inputs.shape[1] :])
-            state = hidden[-1, :, : shape.hidden]
+            hidden, kept = forward(p, inputs, state[:, state.shape[1] - inputs.shape[1] :])
+            state = kept[0][-1]
             logp, _ = output(p, starts, hidden[real], target[real])
             out[block[first:]] += np.bincount(np.nonzero(real)[1], weights=logp, minlength=inputs.shape[1])
     return out
@@ -237,10 +260,10 @@ class Trainer:
         blocks = list(lanes(documents, self.shape))
         for number in self.rng.permutation(len(blocks)).tolist():
             block = blocks[number]
-            state = np.zeros((len(block), self.shape.hidden), np.float32)
+            state = np.zeros((self.shape.hidden, len(block)), np.float32)
             for inputs, target, real, _ in windows([documents[k] for k in block], end, self.shape.cells, self.shape.window):
-                hidden, kept = forward(self.p, inputs, state[len(state) - inputs.shape[1] :])
-                state = hidden[-1, :, : self.shape.hidden]
+                hidden, kept = forward(self.p, inputs, state[:, state.shape[1] - inputs.shape[1] :])
+                state = kept[0][-1]
                 d_out = np.zeros_like(hidden)
                 _, d_out[real] = output(self.p, self.starts, hidden[real], target[real], self.step)
                 backward(self.p, inputs, kept, d_out, self.step)

@@ -1,7 +1,7 @@
 """Language-model scoring: a gated recurrent network over the frequent words, exact counts for the rest.
 
 1. Training documents are counted in full: every distinct word, wherever it occurs.
-2. The most frequent words form the classes of the network's output softmax; end of text and "any
+2. The most frequent words (`inside` of them) form the classes of the network's output softmax; end of text and "any
    other word" are words of it too. The network is trained by truncated backpropagation on all
    training documents: learners (one for each `learner_bytes` of text) begin a round with the same parameters
    and send how they changed, which is averaged by tokens; each document is learnt from once, from its
@@ -43,16 +43,21 @@ def count_words(docs: DataFrame, flush: int = 1_000_000) -> DataFrame:
     """word, n over all documents: counted in each task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.table({"word": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
+        held: list[pa.Table] = []
+
+        def merged() -> Iterator[pa.RecordBatch]:
+            whole = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            held.clear()
+            return whole.rename_columns(["word", "n"]).to_batches()
+
         for batch in text_slices(batches, _SLICE):
             words, _ = words_of(batch.column(0))
             seen = words.value_counts()
-            one = pa.table({"word": seen.field("values"), "n": seen.field("counts")})
-            held = pa.concat_tables([held, one]).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
-            if len(held) > flush:
-                yield from held.to_batches()
-                held = held.slice(0, 0)
-        yield from held.to_batches()
+            held.append(pa.table({"word": seen.field("values"), "n": seen.field("counts")}))
+            if sum(map(len, held)) > flush:
+                yield from merged()
+        if held:
+            yield from merged()
 
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -77,20 +82,23 @@ def frequent_words(counts: DataFrame, frequent: int) -> list:
 
 
 class Words:
-    """Numbers of the frequent words."""
+    """The frequent words; the first `inside` of them are the network's."""
 
-    def __init__(self, top: list[str]):
-        self.top = pa.array(top, pa.string())
+    def __init__(self, top: list[str], inside: int):
+        self.top, self.inside = pa.array(top, pa.string()), inside
 
     def find(self, words: pa.Array) -> np.ndarray:
         """The rank of each word, or -1."""
         return pc.index_in(words, value_set=self.top).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
 
+    def numbers(self, rank: np.ndarray) -> np.ndarray:
+        """What the network calls them."""
+        return np.where((rank >= 0) & (rank < self.inside), rank + 2, _OTHER)
+
     def documents(self, texts: pa.Array) -> list[np.ndarray]:
         """Numbers of the words of each text, then the end."""
         words, n = words_of(texts)
-        rank = self.find(words)
-        return with_end(np.where(rank >= 0, rank + 2, _OTHER), n)
+        return with_end(self.numbers(self.find(words)), n)
 
 
 def with_end(numbers: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
@@ -161,9 +169,10 @@ def train(docs: DataFrame, words: Words, counts: np.ndarray, shape: gru.Shape, r
     return p
 
 
-def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: gru.Shape = gru.Shape(), rounds: int = 2, rate: float = 0.4, frequent: int = (1 << 16) - 2, learner_bytes: int = 16 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: gru.Shape = gru.Shape(), rounds: int = 2, rate: float = 0.5, frequent: int = 1 << 16, inside: int = (1 << 15) - 2, learner_bytes: int = 16 << 20) -> DataFrame:
     """docs: doc_id, text; learns from documents outside fold `held_out` of crc32(doc_id) modulo folds.
 
+    The network knows the first `inside` words; the counts of `frequent` words are sent to the tasks, those of others are joined.
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
     """
     spark = docs.sparkSession
@@ -175,13 +184,13 @@ def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: g
     n, v = n_words + n_docs, n_distinct + (1 if n_docs else 0)
     top = frequent_words(counts, frequent)
     top_n = np.array([r.n for r in top], np.int64)
-    words = Words([r.word for r in top])
-    known = np.concatenate([[n_docs, n_words - top_n.sum()], top_n]).astype(float)
+    words = Words([r.word for r in top], min(inside, len(top)))
+    known = np.concatenate([[n_docs, n_words - top_n[:inside].sum()], top_n[:inside]]).astype(float)
     starts = gru.classes(known)
     p = train(learnt, words, known, shape, rounds, rate, max(1, ceil((n_bytes or 0) / rounds / learner_bytes)))
     sent = spark.sparkContext.broadcast((p, words, top_n))
     all_log = float(np.log10(n + v + 1))
-    other_log = float(np.log10(n_words - int(top_n.sum()) + (n_distinct - len(top)) + 1))
+    other_log = float(np.log10(n_words - int(top_n[:inside].sum()) + (n_distinct - words.inside) + 1))
     end_log = float(np.log10(n_docs + 1)) - all_log
 
     schema = "row long, doc_id long, n_tokens long, n_known long, base double, score double, rare array<struct<word:string,times:long>>"
@@ -204,8 +213,9 @@ def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: g
             rare = pa.table({"of": pa.array(of).filter(mask), "word": found.filter(mask)}).group_by(["of", "word"], use_threads=False).aggregate([([], "count_all")]).sort_by("of").combine_chunks()
             ends = np.concatenate([[0], np.cumsum(np.bincount(rare["of"].to_numpy(), minlength=len(sizes)))])
             pairs = pa.StructArray.from_arrays([pa.concat_arrays([pa.array([], pa.string()), *rare["word"].chunks]), pa.concat_arrays([pa.array([], pa.int64()), *rare["count_all"].chunks])], names=["word", "times"])
-            tokens = with_end(np.where(seen, rank + 2, _OTHER), sizes)
-            score = gru.score(p, starts, shape, tokens, _END) / np.log(10)
+            deep = rank >= words.inside
+            spread = np.bincount(of[deep], weights=logs[rank[deep]] - other_log, minlength=len(sizes))
+            score = gru.score(p, starts, shape, with_end(words.numbers(rank), sizes), _END) / np.log(10) + spread
             rows = np.arange(row, row + len(sizes))
             row += len(sizes)
             yield pa.RecordBatch.from_arrays(
