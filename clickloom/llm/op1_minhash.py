@@ -6,8 +6,8 @@
 3. Band keys shared by several classes are candidates. First every class is compared with the least
    class of each of its bands (a link for each band and class at most), the pairs are confirmed on
    the full sets, and components are found.
-4. Only bands that still hold more than one component are searched further: their members are dealt
-   into square blocks, signatures are compared by counting equal packed digits, and pairs of different
+4. Only bands that still hold more than one component are searched further: their members outside the largest
+   component meet all others in blocks, signatures are compared by counting equal packed digits, and pairs of different
    components whose collision-corrected similarity may reach the threshold are confirmed there and then, the
    likeliest first, until the components are joined or no pair is left.
 
@@ -18,8 +18,8 @@ deviations in both.
 
 Edge cases: null and empty texts have an empty set and link with nothing; with fewer than five words the
 whole sequence is the one shingle; rows with the same doc_id are one node (linked if any of their texts
-is); a null doc_id links with nothing and is kept, with a null component; an empty table gives an empty
-result; other columns are not read.
+is); a null doc_id links with nothing and is kept, with a null component; very long texts are hashed whole, a text
+at a time; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,8 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import winnow
-from .common import lower_ascii, mix64, save, shuffle_partitions
+from .common import lower_words, mix64, save, shuffle_partitions, words_of
 from .components import components
 
 SKETCH = "doc_id long, words binary, n_shingles long, keys array<long>, digits binary"
@@ -55,13 +54,16 @@ def shingle_sets(texts: list[str | None], size: int, piece_chars: int = 1 << 19)
     return np.concatenate([v for v, _, _ in parts]), np.concatenate([e + k for (_, e, _), k in zip(parts, base, strict=True)]), [w for _, _, ws in parts for w in ws]
 
 
+def word_digests(words: pa.Array) -> np.ndarray:
+    """64 bits of BLAKE2b of every word, taken once for each distinct one."""
+    coded = words.dictionary_encode()
+    digests = b"".join(hashlib.blake2b(w.encode(), digest_size=8).digest() for w in coded.dictionary.to_pylist())
+    return np.frombuffer(digests, np.uint64)[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.uint64)
+
+
 def _shingle_sets(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    raw = [(t or "").encode() for t in texts]
-    ends = np.cumsum([len(b) for b in raw], dtype=np.int64)
-    data = lower_ascii(np.frombuffer(b"".join(raw), np.uint8))
-    starts, stops, unit_ends = winnow.word_spans(data, ends)
-    words = winnow.word_hashes(data, starts, stops)
-    counts = np.diff(np.concatenate([[0], unit_ends]))
+    found, counts = words_of(pa.array(texts, pa.string()))
+    words, unit_ends = word_digests(found), np.cumsum(counts)
     n = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     of = np.repeat(np.arange(len(texts)), n)
     at = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(unit_ends - counts, n)
@@ -74,9 +76,7 @@ def _shingle_sets(texts: list[str | None], size: int) -> tuple[np.ndarray, np.nd
     value, of = value[order], of[order]
     fresh = np.ones(len(of), bool)
     fresh[1:] = (value[1:] != value[:-1]) | (of[1:] != of[:-1])
-    lower = data.tobytes()
-    cuts = [0, *ends.tolist()]
-    return value[fresh], np.cumsum(np.bincount(of[fresh], minlength=len(texts))), [b" ".join(lower[a:b].split()) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return value[fresh], np.cumsum(np.bincount(of[fresh], minlength=len(texts))), [b" ".join(lower_words(t)) for t in texts]
 
 
 def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
@@ -145,6 +145,7 @@ def equal_digits(packed: np.ndarray, one: np.ndarray, minima: int) -> np.ndarray
 def links_between(square: pd.DataFrame, size: int, percent: int, least: float, minima: int) -> list[tuple[int, int]]:
     """Confirmed links between different components in one square of a bucket, as few as join them.
 
+    side: 0 rows, members outside the bucket's largest component; 1 columns of that component; 2 other columns.
     The estimate takes off what chance makes equal, one digit in 16. A pair is looked at in the first bucket it
     shares only, and not at all once a link found before has joined its components.
     """
@@ -154,12 +155,11 @@ def links_between(square: pd.DataFrame, size: int, percent: int, least: float, m
     width = (minima + 1) // 2
     packed[:, :width] = np.frombuffer(b"".join(square["digits"]), np.uint8).reshape(len(square), width)
     packed = packed.view(np.uint64)
-    columns = np.flatnonzero(side != 0)
+    columns = np.flatnonzero(side > 0)
     pairs = []
-    for k in np.flatnonzero(side != 1).tolist():
+    for k in np.flatnonzero(side == 0).tolist():
         other = columns[label[columns] != label[k]]
-        if side[k] == 2:
-            other = other[other > k]
+        other = other[(side[other] == 1) | (node[other] > node[k])]
         near = (equal_digits(packed[other], packed[k], minima) / minima - 1 / 16) / (1 - 1 / 16)
         other, near = other[near >= least], near[near >= least]
         first = (keys[other] == keys[k]).argmax(1) == band[k]
@@ -198,15 +198,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     stars = save(members.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "stars")
     wanted = stars.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = save(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted, "doc_id"), "texts")
-    links = save(confirm(stars, texts, size, percent), "links")
+    # Classes of one id are one node.
+    named = sketch.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(classes.select("words", "node"), "words").select("doc_id", "node").distinct()
+    several = named.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("x")).filter("b < x").select("doc_id", "b")
+    same_id = named.join(several, "doc_id").select(F.col("node").alias("a"), "b").filter("a <> b").distinct()
+    links = save(confirm(stars, texts, size, percent).union(same_id), "links")
     labels = save(components(links), "labels")
 
     labelled = members.join(labels, "node", "left").select("key", "node", "members", F.coalesce("component", "node").alias("label"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
-    # A bucket is a square of blocks; a member goes to the squares of its block's row and column.
-    n = F.ceil(F.col("members") / block)
-    own = F.pmod(F.xxhash64("node"), n)
-    squares = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda k: F.struct(F.least(k, own).alias("row"), F.greatest(k, own).alias("column"), F.when(k == own, 2).when(own < k, 0).otherwise(1).alias("side"))))
+    # Only members outside the largest component of a bucket are compared with all: a straggler in a bucket of a million costs a million rows, not a square.
+    parts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("key").agg(F.max(F.struct("n", F.col("label").alias("most"))).alias("x"), F.sum("n").alias("all")).select("key", "x.most", (F.col("all") - F.col("x.n")).alias("outside")).filter("outside > 0")
+    n_rows, n_columns = F.ceil(F.col("outside") / block), F.ceil(F.col("members") / block)
+    apart, own_row, own_column = F.col("label") != F.col("most"), F.pmod(F.xxhash64("node"), n_rows), F.pmod(F.xxhash64("node", F.lit(1)), n_columns)
+    as_column = F.transform(F.sequence(F.lit(0).cast("long"), n_rows - 1), lambda k: F.struct(k.alias("row"), own_column.alias("column"), F.when(apart, 2).otherwise(1).alias("side")))
+    as_row = F.transform(F.sequence(F.lit(0).cast("long"), n_columns - 1), lambda k: F.struct(own_row.alias("row"), k.alias("column"), F.lit(0).alias("side")))
+    squares = F.explode(F.concat(as_column, F.when(apart, as_row).otherwise(F.slice(as_row, 1, 0))))
     dealt = save(labelled.join(mixed, "key").select("key", "node", "label", squares.alias("s")).select("key", "node", "label", "s.*"), "squares")
     # Several squares make a group, so that small buckets do not cost a call each.
     groups = max(2 * shuffle_partitions(docs.sparkSession), dealt.count() // 2048)

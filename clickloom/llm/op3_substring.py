@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from .common import ids_back
 from .fmindex import FMIndex, repeated_windows
@@ -48,13 +48,12 @@ def substring_dedup(docs: DataFrame, window: int = 35, gram: int = 8, sizes: Siz
     """Removes every word in a window of `window` words that starts anywhere else too.
 
     docs: doc_id, text. Returns doc_id, n_words, n_removed, kept_text (kept words joined by a
-    space), and the columns named in others as they are. With as_it_was, a text that loses nothing is
+    space), and the columns named in others as they are, in one struct `others`, so that no name clashes. With as_it_was, a text that loses nothing is
     kept byte for byte (a null one as the empty text).
     """
-    extra = [docs.schema[c] for c in others]
+    extra = [StructField("others", StructType([docs.schema[c] for c in others]))] if others else []
     schema = StructType([*_parse_datatype_string(SCHEMA).fields, *extra])
 
-
     def finish(chunk, gone):
         before = np.concatenate([[0], np.cumsum(gone)])
         ends = np.concatenate([[0], chunk.unit_ends])

@@ -5,13 +5,12 @@ of it is left whole in any such match; an automaton over all pieces finds every
 pass over a document, and Myers' bit-parallel distance verifies the item around each find.
 
 Items and documents are compared as lower-case words: ASCII other than letters and digits counts as white
-space, and white space as one space. Items are sent to the tasks in blocks of bounded size, with one
-pass over the documents for each block; documents are never shuffled.
+space, and white space as one space. Items are sent to the tasks in blocks of bounded size; documents are never shuffled.
 
 Edge cases: null and empty texts match nothing, null or empty items are skipped; items under `budget`
 characters must occur exactly; equal items match under each of their ids; repeated or null doc_ids
-are rows of their own; an empty benchmark or table gives rows without hits, or none; the columns that are
-added replace any of the same name.
+are rows of their own; very long texts are searched whole, in one pass of the automaton; an empty benchmark or table
+gives rows without hits, or none; a column `hits` is replaced, any other extra column stays, whatever its name.
 """
 
 from __future__ import annotations
@@ -24,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import save, unused
+
 _SPACES = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _HITS = "array<struct<item_id:bigint,distance:int,end:int>>"
 _HITS_ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("end", pa.int32())]))
@@ -137,21 +138,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, budget: int = 12, block
     """docs: doc_id, text and any more; benchmark: item_id, text.
 
     Returns docs with hits: an array of item_id, distance and end (in the plain text), the best match of each item found.
+    A benchmark beyond one block takes a pass for each: its hits are written before the next block is read, so that
+    driver, tasks and plan hold one block at a time, whatever the size of the benchmark.
     """
     rest = [c for c in docs.columns if c.lower() != "hits"]
     out = docs.select(*rest).withColumn("hits", F.array().cast(_HITS))
+    name = unused(out, "found")
+    at = [c.lower() for c in out.columns].index("text")
+    schema = T.StructType([*out.schema.fields, T.StructField(name, T._parse_datatype_string(_HITS))])
+    sent = None
     for block in item_blocks(benchmark, block_chars):
+        if sent is not None:
+            out = save(out, "hits")
+            sent.unpersist()
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches, sent=sent):
             found = finder(sent.value, budget)
             for batch in batches:
-                texts = batch.column("text")
-                hits = pa.array([found.hits(plain(t.as_py())) for t in texts], _HITS_ARROW)
-                yield pa.RecordBatch.from_arrays([*batch.columns, hits], names=[*batch.schema.names, "_found"])
+                hits = pa.array([found.hits(plain(t.as_py())) for t in batch.column(at)], _HITS_ARROW)
+                yield pa.RecordBatch.from_arrays([*batch.columns, hits], names=[*batch.schema.names, name])
 
-        schema = T.StructType([*out.schema.fields, T.StructField("_found", T._parse_datatype_string(_HITS))])
-        out = out.mapInArrow(run, schema).withColumn("hits", F.concat("hits", "_found")).drop("_found")
+        out = out.mapInArrow(run, schema).withColumn("hits", F.concat("hits", name)).drop(name)
     return out
 
 

@@ -303,10 +303,10 @@ def covered(chunk: Chunk, row: dict, shards: int, by_document: bool) -> np.ndarr
 
 
 def find(docs: DataFrame, units: Units, index: Index, finish: Callable, schema: str, by_document: bool, sizes: Sizes = Sizes(), others: tuple[str, ...] = ()) -> DataFrame:
-    """docs: doc_id, text and the others, which finish() finds in chunk.others(). finish(chunk, covered units) gives the Arrow columns of schema, a row for each document of the chunk."""
+    """docs: doc_id, text and the others, which finish() finds as one struct in chunk.others(). finish(chunk, covered units) gives the Arrow columns of schema, a row for each document of the chunk."""
     spark = docs.sparkSession
     buckets = shuffle_partitions(spark)
-    chunks = save_bucketed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *others).mapInArrow(lambda it: pack(it, sizes.chunk_bytes), CHUNK), "chunks", "chunk", buckets)
+    chunks = save_bucketed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *([F.struct(*others).alias("others")] if others else [])).mapInArrow(lambda it: pack(it, sizes.chunk_bytes), CHUNK), "chunks", "chunk", buckets)
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(2 * buckets, total // sizes.shard_bytes)
     keys = chunks.mapInArrow(lambda it: send_keys(it, units, shards), "shard long, chunk long, keys binary, counts binary")
