@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import save
+from clickloom.llm.common import save, unused
 from clickloom.llm.op1_minhash import near_duplicates
 from clickloom.llm.op3_substring import substring_dedup
 from clickloom.llm.op4_decontaminate import contamination
@@ -19,34 +19,56 @@ from clickloom.llm.op8_packing import pack_documents, tokenizer_path
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score as toxic go."""
+    """Documents that score as toxic go.
+
+    Null and empty texts stay; without labels of both classes all stay; texts of any length are scored whole; rows
+    with one id, or null ids, are scored each; extra columns stay, whatever their names; an empty table stays empty.
+    """
     return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group (similar by 80 percent or more) stays; of equal rows, one."""
+    """The document with the smallest id of each near-duplicate group (similar by 80 percent or more) stays; of equal rows, one.
+
+    Null and empty texts and null ids link with nothing and stay; rows with one id are one document: they stay or go
+    together, as their texts link; texts of any length are hashed whole; an empty table stays empty.
+    """
     gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words in repeated passages go; a document of which nothing is left goes too. Others keep their text as it is."""
+    """Words in repeated passages go; a document of which nothing is left goes too. Others keep their text as it is.
+
+    Empty texts stay, null ones as empty; a row is a document of its own, whatever its id; texts of any length are
+    searched whole; extra columns stay, whatever their names (n_chars is counted anew where words go); an empty table stays empty.
+    """
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     left = substring_dedup(docs, others=others, as_it_was=True).filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
-    new = {"text": F.col("kept_text")}
+    new = {c: F.col("others").getField(c) for c in others} | {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": F.col("kept_text")}
     if "n_chars" in others:
-        new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return left.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+        new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(new["n_chars"])
+    return left.select(*[new[c].alias(c) for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.filter(F.size("hits") == 0).select(*docs.columns)
+    """Documents that hold a benchmark item go.
+
+    Null and empty texts hold none and stay; without items all stay; rows with one id, or null ids, are judged each;
+    texts of any length are searched whole; extra columns stay, whatever their names; an empty table stays empty.
+    """
+    name = unused(docs, "was_hits")
+    found = contamination(docs.withColumnRenamed("hits", name), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    kept = found.filter(F.size("hits") == 0).drop("hits").withColumnRenamed(name, "hits") if "hits" in docs.columns else found.filter(F.size("hits") == 0)
+    return kept.select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of full training sequences."""
+    """Pieces of full training sequences.
+
+    A null or empty text is a document of one token; rows with one id, or null ids, are documents each; long texts are
+    cut over many sequences; extra columns are not read; an empty table gives no pieces.
+    """
     return pack_documents(docs, tokenizer_path())
 
 
