@@ -12,7 +12,8 @@ so a step of the chain is one fraction, taken for many documents at once.
 
 Edge cases: null and empty texts have no tokens and get the score of no evidence; without labelled
 documents of both classes every score is 0; labels that are null are not used; of a repeated
-doc_id every row is scored and the least text is learnt from; extra columns are ignored; empty tables give an empty result.
+doc_id every row is scored and the least text is learnt from; very long texts are scored whole, in blocks of their own;
+extra columns are ignored; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_crc_mod
+from .common import id_crc_mod, save
 
 SCHEMA = "doc_id long, score double, spans array<struct<start:int,end:int,marginal:double>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())]))
@@ -37,8 +38,8 @@ _TOKEN = re.compile(r"\w+")
 
 
 def features(word: str) -> list[str]:
-    """The word, and its beginnings of four and five letters."""
-    return [word] + [f"{word[:n]}*" for n in (4, 5) if len(word) > n]
+    """The word, and its beginnings of three to eight letters."""
+    return [word] + [f"{word[:n]}*" for n in range(3, min(9, len(word)))]
 
 
 @dataclass
@@ -141,11 +142,13 @@ def fit(texts: list[str], toxic: list[int], evidence_g: float = 15.0, odds: floa
     group = near_copies(texts)
     held = (group * 2654435761 >> 7) % 4 == 3
     seen: list[Counter] = [Counter(), Counter()]
+    known: dict[str, list[str]] = {}
     order = np.argsort(group, kind="stable")
     for members in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
         for c in (0, 1):
             of = [k for k in members if y[k] == c and not held[k]]
-            seen[c].update({f for x in {x for k in of for x in _TOKEN.findall(texts[k].lower())} for f in features(x)})
+            words = {x for k in of for x in _TOKEN.findall(texts[k].lower())}
+            seen[c].update({f for x in words for f in known.get(x) or known.setdefault(x, features(x))})
     n = [max(1, len(set(group[(y == c) & ~held].tolist()))) for c in (0, 1)]
     share = n[1] / sum(n)
 
@@ -249,8 +252,11 @@ def score_batches(batches: Iterator[pa.RecordBatch], model: Model, with_spans: b
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array(spans, _SPANS)], names=["doc_id", "score", "spans"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, folds: int = 5) -> Model:
-    """Fits on at most sample_rows toxic and three times as many clean documents, taken by a hash of the id, outside fold 0."""
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, folds: int = 5, sample_bytes: int = 64 << 20) -> Model:
+    """Fits on at most sample_rows toxic and three times as many clean documents, taken by a hash of the id, outside fold 0.
+
+    Of these, each class keeps what fits into sample_bytes, in that order; a text that does not fit is passed over.
+    """
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     rows = rows.filter(F.col("toxic").isin(0, 1) & (id_crc_mod("doc_id", folds) != 0) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), "doc_id"]
@@ -258,9 +264,17 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, folds: in
     # Four times sample_rows ids at most: small enough to broadcast at any input size.
     found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).dropna().join(F.broadcast(picked), "doc_id")
     # One text for each id, so that an id on very many rows does not fill the driver.
-    found = found.groupBy("doc_id").agg(F.min(F.struct("text", "toxic")).alias("r")).select("doc_id", "r.*").collect()
-    found.sort(key=lambda r: (r.doc_id * 2654435761 % 2**32, r.doc_id))
-    return fit([r.text for r in found], [r.toxic for r in found])
+    found = save(found.groupBy("doc_id").agg(F.min(F.struct("text", "toxic")).alias("r")).select("doc_id", "r.*"), "sample")
+    held, chosen = [0, 0], []
+    for row in found.select("doc_id", "toxic", F.octet_length("text").alias("n")).orderBy(*order).collect():
+        if held[row.toxic] + row.n <= sample_bytes:
+            held[row.toxic] += row.n
+            chosen.append((row.doc_id,))
+    if not chosen:
+        return Model()
+    rows = found.join(F.broadcast(found.sparkSession.createDataFrame(chosen, "doc_id long")), "doc_id").collect()
+    rows.sort(key=lambda r: (r.doc_id * 2654435761 % 2**32, r.doc_id))
+    return fit([r.text for r in rows], [r.toxic for r in rows])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, folds: int = 5, with_spans: bool = True) -> DataFrame:

@@ -8,8 +8,10 @@ Sentences that are not known are passed over, so a rule may span text of other k
 functions are used, a row at a time: no shuffle at all. n_sentences counts a line's end as a sentence's end,
 so that each line of a wrapped sentence counts.
 
-Edge cases: null and empty texts have no sentences and no licence; ids may be null or repeat; an
-empty table gives an empty result; other columns are not read.
+The version of a licence comes from a sentence that states it; a notice that states none is named without one.
+
+Edge cases: null and empty texts have no sentences and no licence; texts of any length are searched whole; ids may be
+null or repeat, each row being a document of its own; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -42,6 +44,31 @@ SENTENCES = {
     21: "spdx license identifier gpl 3 0 or later",
     22: "this work is licensed under a creative commons attribution 4 0 international license",
     23: "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
+    24: "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    25: "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    26: "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    27: "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    28: "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    29: "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    30: "this source code form is subject to the terms of the mozilla public license v",
+    31: "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    32: "this is free and unencumbered software released into the public domain",
+    33: "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    34: "this software is provided as is without any express or implied warranty",
+    35: "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    36: "you may obtain a copy of the license at https www apache org licenses license 2 0",
+    37: "spdx license identifier bsd 2 clause",
+    38: "spdx license identifier bsd 3 clause",
+    39: "spdx license identifier gpl 2 0 only",
+    40: "spdx license identifier gpl 2 0 or later",
+    41: "spdx license identifier gpl 3 0 only",
+    42: "spdx license identifier lgpl 2 1 or later",
+    43: "spdx license identifier agpl 3 0 or later",
+    44: "spdx license identifier mpl 2 0",
+    45: "spdx license identifier isc",
+    46: "spdx license identifier unlicense",
+    47: "spdx license identifier zlib",
+    48: "spdx license identifier cc0 1 0",
 }
 
 # Licence, and the sentences that show it, in order.
@@ -49,22 +76,53 @@ RULES = (
     ("Apache-2.0", (1,)),
     ("Apache-2.0", (10, 11)),
     ("Apache-2.0", (10, 12)),
+    ("Apache-2.0", (10, 36)),
     ("Apache-2.0", (20,)),
+    ("AGPL-3.0-or-later", (29,)),
+    ("AGPL-3.0-or-later", (43,)),
     ("BSD-2-Clause", (17, 18)),
+    ("BSD-2-Clause", (37,)),
+    ("BSD-3-Clause", (17, 18, 33)),
+    ("BSD-3-Clause", (38,)),
+    ("CC0-1.0", (48,)),
     ("CC-BY-4.0", (5,)),
     ("CC-BY-4.0", (22,)),
     ("CC-BY-NC-4.0", (4,)),
     ("CC-BY-SA-4.0", (6,)),
     ("GPL-3.0", (2,)),
-    ("GPL-3.0-or-later", (14, 15, 16)),
+    ("GPL", (14, 15, 16)),
+    ("GPL-2.0-only", (26,)),
+    ("GPL-2.0-only", (39,)),
+    ("GPL-2.0-or-later", (25,)),
+    ("GPL-2.0-or-later", (40,)),
+    ("GPL-3.0-only", (41,)),
+    ("GPL-3.0-or-later", (13, 14)),
     ("GPL-3.0-or-later", (21,)),
+    ("GPL-3.0-or-later", (24,)),
+    ("ISC", (31,)),
+    ("ISC", (45,)),
+    ("LGPL-2.1-or-later", (27,)),
+    ("LGPL-2.1-or-later", (42,)),
+    ("LGPL-3.0-or-later", (28,)),
     ("MIT", (3,)),
     ("MIT", (7,)),
     ("MIT", (9, 23)),
     ("MIT", (19,)),
+    ("MPL-2.0", (30,)),
+    ("MPL-2.0", (44,)),
     ("Proprietary", (8,)),
+    ("Unlicense", (32,)),
+    ("Unlicense", (46,)),
+    ("Zlib", (34, 35)),
+    ("Zlib", (47,)),
 )
 
+# A licence whose sentences are part of longer notices, and the licences of those notices, beside which it is not named.
+PART_OF = {
+    "BSD-2-Clause": ("BSD-3-Clause",),
+    "GPL": ("GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"),
+}
+
 _STOP = r"[.!?][ \t\r\n]+"
 
 
@@ -91,7 +149,10 @@ def license_scan(docs: DataFrame, known: dict[int, str] = SENTENCES, rules: tupl
     seen = split.select("doc_id", F.size(lines).cast("long").alias("n_sentences"), ids.alias("sentence_ids"))
     line = F.concat(F.lit(","), F.array_join(F.col("sentence_ids").cast("array<string>"), ","), F.lit(","))
     found = F.array_compact(F.array(*[F.when(line.contains("," + ",".join(map(str, seq)) + ","), name) for name, seq in rules]))
-    return seen.withColumn("licenses", F.array_sort(F.array_distinct(found)))
+    names = F.array_sort(F.array_distinct(found))
+    for part, whole in PART_OF.items():
+        names = F.when(F.arrays_overlap(names, F.array(*map(F.lit, whole))), F.array_remove(names, part)).otherwise(names)
+    return seen.withColumn("licenses", names)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +163,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     table = "MAP {" + ", ".join(f"'{s}': {k}" for k, s in SENTENCES.items()) + "}"
     rules = ", ".join(f"CASE WHEN contains(line, ',{','.join(map(str, seq))},') THEN '{name}' END" for name, seq in RULES)
+    names = f"list_sort(list_distinct(list_filter([{rules}], lambda x: x IS NOT NULL)))"
+    for part, whole in PART_OF.items():
+        names = f"list_filter({names}, lambda x: x <> '{part}' OR NOT list_has_any([{rules}], {list(whole)}))"
     return f"""
 WITH s AS (
   SELECT doc_id, list_filter(list_transform(string_split(lower(regexp_replace(regexp_replace(coalesce(text, ''), '[.!?][ \t\r\n]+|\n+', chr(1), 'g'),
@@ -109,7 +173,7 @@ WITH s AS (
 k AS (SELECT doc_id, len(sentences) AS n, list_filter(list_transform(sentences, lambda x: {table}[x]), lambda x: x IS NOT NULL) AS ids FROM s),
 l AS (SELECT *, ',' || array_to_string(ids, ',') || ',' AS line FROM k)
 SELECT doc_id, n::BIGINT AS n_sentences, array_to_string(ids, ',') AS sentence_ids,
-  array_to_string(list_sort(list_distinct(list_filter([{rules}], lambda x: x IS NOT NULL))), ',') AS licenses
+  array_to_string({names}, ',') AS licenses
 FROM l
 """
 
