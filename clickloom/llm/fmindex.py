@@ -59,6 +59,27 @@ class FMIndex:
         return first + low - start, first + high - start
 
 
+def occurrences(index: FMIndex, text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """How often each pattern text[start : start + length] occurs in the index, once under two counted as it is left."""
+    query = np.argsort(-lengths, kind="stable")
+    low, high = np.zeros(len(query), np.int64), np.full(len(query), index.size, np.int64)
+    out = np.full(len(query), index.size, np.int64)
+    done = np.zeros(len(query), np.int64)
+    while len(query):
+        going = done < lengths[query]
+        if not going.all():
+            out[query[~going]] = (high - low)[~going]
+            query, low, high, done = query[going], low[going], high[going], done[going]
+            continue
+        low, high = index.step(low, high, text[starts[query] + lengths[query] - 1 - done])
+        done += 1
+        few = high - low < 2
+        if few.any():
+            out[query[few]] = (high - low)[few]
+            query, low, high, done = query[~few], low[~few], high[~few], done[~few]
+    return out
+
+
 def repeated_windows(index: FMIndex, text: np.ndarray, starts: np.ndarray, counts: np.ndarray, width: int) -> np.ndarray:
     """Which windows of the queries occur at least twice in the index.
 

@@ -7,7 +7,7 @@ of equal strings; the smallest document of a group decides. The sort is distribu
 shard holds whole groups, so no order across shards is needed.
 
 Edge cases: null and empty texts have no bytes; texts under 50 bytes lose nothing; rows with the same
-doc_id never remove from each other; a null doc_id counts as larger than any other; an empty table
+doc_id never remove from each other; very long texts are searched whole, as chunks of their own; a null doc_id counts as larger than any other; an empty table
 gives an empty result; other columns are not read.
 """
 

@@ -2,12 +2,12 @@
 
 ``repeats`` brings all contexts that could share a window to one shard. There an FM-index over the
 distinct contexts (wavelet matrix of the Burrows-Wheeler transform) is searched backwards, and the
-matching statistics say which windows occur a second time. Identical contexts are one pattern of the
-index with a count.
+matching statistics say which windows occur a second time. A context that comes several times is in the index twice and
+searched once as a whole.
 
 Edge cases: null and empty texts have no words and keep the sha256 of the empty string; texts shorter
-than a window lose nothing; ids may be null or repeat (each row is a document of its own); repeats
-within a document count; an empty table gives an empty result; other columns are not read.
+than a window lose nothing; very long texts are searched whole, as chunks of their own; ids may be null or repeat (each row is a document of its own); repeats
+within a document count; an empty table gives an empty result; other columns are not read unless they are named.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from .common import ids_back
-from .fmindex import FMIndex, repeated_windows
+from .fmindex import FMIndex, occurrences, repeated_windows
 from .repeats import Shard, Sizes, Units, find
 
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_text string"
@@ -30,15 +30,20 @@ SCHEMA = "doc_id long, n_words long, n_removed long, kept_text string"
 def word_index(width: int):
     def index(shard: Shard) -> np.ndarray:
         """True for each window that occurs at least twice among the documents."""
-        value = np.repeat(shard.count >= 2, shard.width)
         words = [text.split() for text in shard.texts]
         codes, names = pd.factorize(np.array([w for text in words for w in [*text, b"\n"]], object))
         text = codes.astype(np.int64) + 1
         lengths = np.array([len(x) for x in words]) + 1
         starts = np.cumsum(lengths) - lengths
-        # Identical contexts are in the index once, so all of their windows repeat if there are several.
-        counts = np.where(shard.count >= 2, 0, shard.width)
-        value[np.repeat(shard.count < 2, shard.width)] = repeated_windows(FMIndex(text, len(names)), text, starts, counts, width)
+        # A context that comes several times is in the index twice, which is all that a search for two needs.
+        several = np.flatnonzero(shard.count >= 2)
+        twice = np.repeat(starts[several], lengths[several]) + np.arange(lengths[several].sum()) - np.repeat(np.cumsum(lengths[several]) - lengths[several], lengths[several])
+        fm = FMIndex(np.concatenate([text, text[twice]]), len(names))
+        # Where a whole context occurs twice all of its windows do; the others are searched window by window.
+        whole = np.zeros(len(words), bool)
+        whole[several] = occurrences(fm, text, starts[several], lengths[several] - 1) >= 2
+        value = np.repeat(whole, shard.width)
+        value[~value] = repeated_windows(fm, text, starts, np.where(whole, 0, shard.width), width)
         return value
 
     return index

@@ -7,12 +7,13 @@ shuffle). Windows are split into runs by their minimal q-gram hash (``winnow``),
    than once in the corpus, and which have very many contexts;
 2. each chunk sends the contexts of repeated minima to shards, identical contexts of a chunk once.
    Minima with very many contexts (a hot passage with ever different surroundings) are dealt window
-   by window instead, by the hash of the window, so no shard gathers a hot key;
+   by window instead, by the hash of the window, so the texts of a hot passage are spread;
 3. a shard runs the index of the operator (suffix sort or FM-index) over its contexts and answers
    with one bit a window;
 4. the chunk turns the bits into covered units and the units into what is left of each document.
 
-What moves between chunks and shards are packed arrays, a row for each pair of chunk and shard.
+What moves between chunks and shards are packed arrays, a row for each pair of chunk and shard that have a minimum in common,
+so never more rows than minima. Shards and buckets of chunks grow in number with the text, not in size.
 """
 
 from __future__ import annotations
@@ -57,10 +58,11 @@ class Units:
 
 @dataclass(frozen=True)
 class Sizes:
-    """Bytes of text in a chunk and, about, in a shard; contexts from which a minimum is dealt window by window."""
+    """Bytes of text in a chunk and, about, in a shard and a bucket of chunks; contexts from which a minimum is dealt window by window."""
 
     chunk_bytes: int = 2 << 20
     shard_bytes: int = 4 << 20
+    bucket_bytes: int = 32 << 20
     heavy: int = 4096
 
 
@@ -305,10 +307,10 @@ def covered(chunk: Chunk, row: dict, shards: int, by_document: bool) -> np.ndarr
 def find(docs: DataFrame, units: Units, index: Index, finish: Callable, schema: str, by_document: bool, sizes: Sizes = Sizes(), others: tuple[str, ...] = ()) -> DataFrame:
     """docs: doc_id, text and the others, which finish() finds as one struct in chunk.others(). finish(chunk, covered units) gives the Arrow columns of schema, a row for each document of the chunk."""
     spark = docs.sparkSession
-    buckets = shuffle_partitions(spark)
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    buckets = max(shuffle_partitions(spark), size // sizes.bucket_bytes)
     chunks = save_bucketed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *([F.struct(*others).alias("others")] if others else [])).mapInArrow(lambda it: pack(it, sizes.chunk_bytes), CHUNK), "chunks", "chunk", buckets)
-    total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
-    shards = max(2 * buckets, total // sizes.shard_bytes)
+    shards = max(2 * shuffle_partitions(spark), size // sizes.shard_bytes)
     keys = chunks.mapInArrow(lambda it: send_keys(it, units, shards), "shard long, chunk long, keys binary, counts binary")
     flags = save(keys.groupBy("shard").applyInPandas(lambda pdf: answer_keys(pdf, sizes.heavy), "chunk long, shard long, flags binary"), "flags")
     answers = flags.groupBy("chunk").agg(F.collect_list(F.struct("shard", "flags")).alias("answers"))

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from clickloom.llm import gru, op1_minhash, op2_url_filter, op3_substring, op4_decontaminate, op5_toxicity, op6_license, op7_pivot_index, op8_packing, op9_gru_lm, op10_suffix_array
 from clickloom.llm.common import lower_words, words_of
 from clickloom.llm.components import components
-from clickloom.llm.fmindex import FMIndex, repeated_windows
-from clickloom.llm.repeats import Sizes
+from clickloom.llm.fmindex import FMIndex, occurrences, repeated_windows
+from clickloom.llm.repeats import Shard, Sizes
 from clickloom.llm.suffix import suffix_array
 
 RNG = np.random.default_rng(3)
@@ -528,6 +528,10 @@ def test_indexes():
     x = RNG.integers(1, 5, 400)
     flags = repeated_windows(FMIndex(x, 4), x, np.array([0]), np.array([396]), 5)
     seen = Counter(tuple(x[i : i + 5]) for i in range(396))
+    starts, lengths = RNG.integers(0, 300, 80), RNG.integers(0, 9, 80)
+    times = [sum((x[i : i + n] == x[a : a + n]).all() for i in range(401 - n)) for a, n in zip(starts, lengths, strict=True)]
+    got = occurrences(FMIndex(x, 4), x, starts, lengths)
+    assert [min(a, 2) if b < 2 else a for a, b in zip(times, got.tolist(), strict=True)] == got.tolist()
     assert flags.tolist() == [seen[tuple(x[i : i + 5])] > 1 for i in range(396)]
 
 
@@ -655,3 +659,13 @@ def test_very_long_texts(spark):
     page = spark.createDataFrame([(1, "http://a.example.net/x", f'{LONG}<link rel="canonical" href="http://b.com/de/">'), (2, None, None)], "page_id long, url string, html string")
     assert {r.page_id: r.verdict for r in op2_url_filter.url_filter(page).collect()} == {1: "block", 2: "allow"}
     assert op2_url_filter.url_filter(page.limit(0)).count() == 0
+
+
+def test_copies_are_found_by_the_index(spark, monkeypatch):
+    """Only whole copies: their contexts are searched in the index, and the result is brute force's."""
+    asked = []
+    monkeypatch.setattr(op3_substring, "occurrences", lambda fm, text, starts, lengths: asked.append(len(starts)) or occurrences(fm, text, starts, lengths))
+    shard = Shard([PASSAGE.encode(), BASE.encode()], np.array([1, 2]), np.array([2, 1]), np.array([26, 86]))
+    assert op3_substring.word_index(35)(shard).tolist() == [True] * 26 + [False] * 86 and asked == [1]
+    table = spark.createDataFrame([(k, PASSAGE) for k in range(5)], "doc_id long, text string")
+    assert {(r.n_words, r.n_removed) for r in op3_substring.substring_dedup(table).collect()} == {(60, 60)}
