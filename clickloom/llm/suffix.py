@@ -20,6 +20,16 @@ def _ranks(key: np.ndarray) -> np.ndarray:
     return names
 
 
+def _order(key: np.ndarray, bits: int) -> np.ndarray:
+    """The order of keys under 2**bits; with the places packed below the keys where both fit, as plain sorts are the faster ones."""
+    low = len(key).bit_length()
+    if bits + low > 64:
+        return np.argsort(key)
+    packed = (key << np.uint64(low)) | np.arange(len(key), dtype=np.uint64)
+    packed.sort()
+    return (packed & np.uint64((1 << low) - 1)).astype(np.int64)
+
+
 def _joined(columns: list[np.ndarray], bits: int) -> np.ndarray:
     """One key for columns of values under 2**bits (32 at most) that compares as they do: packed, or ranked where that needs over 64 bits."""
     key, width = columns[0], bits
@@ -31,13 +41,12 @@ def _joined(columns: list[np.ndarray], bits: int) -> np.ndarray:
     return key
 
 
-def _names(s: np.ndarray, sample: np.ndarray) -> np.ndarray:
-    """Dense ranks (from 1) of the triples that start at sample."""
-    base = int(s.max()) + 1
+def _names(triple: list[np.ndarray], base: int) -> np.ndarray:
+    """Dense ranks (from 1) of triples of symbols under base, given as three columns."""
     if base**3 > 1 << 25:
-        return _ranks(_joined([s[sample + k] for k in range(3)], (base - 1).bit_length()))
+        return _ranks(_joined(triple, (base - 1).bit_length()))
     # Few triples are possible: they are ranked by a table of those that occur.
-    key = ((s[sample] * np.uint64(base) + s[sample + 1]) * np.uint64(base) + s[sample + 2]).astype(np.int64)
+    key = ((triple[0] * np.uint64(base) + triple[1]) * np.uint64(base) + triple[2]).astype(np.int64)
     seen = np.zeros(base**3, bool)
     seen[key] = True
     return np.cumsum(seen, dtype=np.int32)[key].astype(np.uint64)
@@ -51,42 +60,42 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     s = np.zeros(n + 3, np.uint64)
     s[:n] = symbols
     # One extra position of padding where n is 1 modulo 3 keeps the two sampled classes apart.
-    ones, twos = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
-    sample = np.concatenate([ones, twos])
-    names = _names(s, sample)
-    if int(names.max()) < len(sample):
+    n_ones, n_twos, n_zeros = (n + 1) // 3 + (n % 3 == 1), n // 3, (n + 2) // 3
+    third = [s[k : k + 3 * n_zeros : 3] for k in range(3)] + [s[3::3], s[4::3]]
+    triple = [np.concatenate([third[1 + k][:n_ones], third[2 + k][:n_twos]]) for k in range(3)]
+    names = _names(triple, int(s.max()) + 1)
+    if int(names.max()) < len(names):
         order = suffix_array(names)
-        rank_of = np.empty(len(sample), np.uint64)
-        rank_of[order] = np.arange(1, len(sample) + 1, dtype=np.uint64)
+        rank_of = np.empty(len(names), np.uint64)
+        rank_of[order] = np.arange(1, len(names) + 1, dtype=np.uint64)
     else:
-        order, rank_of = np.argsort(names), names
+        order, rank_of = _order(names, int(len(names)).bit_length()), names
     rank = np.zeros(n + 3, np.uint64)
-    rank[sample] = rank_of
-    sampled = sample[order]
-    sampled = sampled[sampled < n]
-    zeros = np.arange(0, n, 3)
-    shift = np.uint64(32)
-    key0 = (s[zeros] << shift) | rank[zeros + 1]
-    zeros = zeros[np.argsort(key0)]
-    key0 = (s[zeros] << shift) | rank[zeros + 1]
-    in1 = sampled % 3 == 1
+    rank[1::3][:n_ones], rank[2::3][:n_twos] = rank_of[:n_ones], rank_of[n_ones:]
+    in1 = order < n_ones
+    sampled = np.where(in1, 3 * order + 1, 3 * (order - n_ones) + 2)
+    bits, low = int(s.max()).bit_length(), len(names).bit_length()
+    # A remaining suffix is compared with one of either class by a symbol, or two, and a rank.
+    key0 = (third[0][:n_zeros] << np.uint64(low)) | rank[1::3][:n_zeros]
+    by_key = _order(key0, bits + low)
+    key0, zeros = key0[by_key], 3 * by_key
     one, two = sampled[in1], sampled[~in1]
-    key1 = (s[one] << shift) | rank[one + 1]
-    # Two symbols and a rank; the pairs of symbols are ranked first where the three do not fit into 64 bits.
-    bits, low = int(s.max()).bit_length(), len(sample).bit_length()
+    one = one[one < n]
+    key1 = (s[one] << np.uint64(low)) | rank[one + 1]
     pair = (s[:-1] << np.uint64(bits)) | s[1:]
-    both = pair[np.concatenate([zeros, two])]
+    pair0, pair2 = pair[zeros], pair[two]
+    # The pairs of symbols are ranked first where the three do not fit into 64 bits.
     if 2 * bits + low > 64:
-        both, low = _ranks(both), 32
-    pair0 = (both[: len(zeros)] << np.uint64(low)) | rank[zeros + 2]
-    pair2 = (both[len(zeros) :] << np.uint64(low)) | rank[two + 2]
+        both, low = _ranks(np.concatenate([pair0, pair2])), 32
+        pair0, pair2 = both[: len(zeros)], both[len(zeros) :]
+    pair0 = (pair0 << np.uint64(low)) | rank[zeros + 2]
+    pair2 = (pair2 << np.uint64(low)) | rank[two + 2]
     out = np.empty(n, np.int64)
-    at_zero = np.arange(len(zeros)) + np.searchsorted(key1, key0) + np.searchsorted(pair2, pair0)
-    before = np.empty(len(sampled), np.int64)
-    before[in1] = np.searchsorted(key0, key1, side="right")
-    before[~in1] = np.searchsorted(pair0, pair2, side="right")
+    at_zero = np.arange(n_zeros) + np.searchsorted(key1, key0) + np.searchsorted(pair2, pair0)
+    free = np.ones(n, bool)
+    free[at_zero] = False
     out[at_zero] = zeros
-    out[np.arange(len(sampled)) + before] = sampled
+    out[free] = sampled[sampled < n]
     return out
 
 

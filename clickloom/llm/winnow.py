@@ -51,28 +51,47 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.n
     return mix64((total[stops] - total[starts]) * unpower[starts] + (stops - starts).astype(np.uint64))
 
 
-def runs(units: np.ndarray, ends: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(minimum, first window, one past the last window) of each run over units of documents that end at ends.
-
-    A window never crosses a document's end.
-    """
-    none = np.zeros(0, np.int64)
-    if len(units) < window:
-        return np.zeros(0, np.uint64), none, none
-    h, n, k = units.astype(np.uint64) + np.uint64(1), 1, 0
+def mixed_grams(units: np.ndarray, gram: int) -> np.ndarray:
+    """A 64-bit hash of every gram of units."""
+    h, n, k = units.astype(np.uint64), 1, 0
+    h += np.uint64(1)
     while n < gram:
         step = min(n, gram - n)
         h = h[:-step] * _MULT[k] + h[step:]
         h ^= h >> np.uint64(29)
         n, k = n + step, k + 1
-    h = mix64(h)
+    return mix64(h)
+
+
+def _minima(units: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """The minimal gram hash of each window of units, and whether it is that of the window's first gram."""
+    h = mixed_grams(units, gram)
     width = window - gram + 1
     low, w = h, 1
     while w * 2 <= width:
         low, w = np.minimum(low[:-w], low[w:]), w * 2
     if w < width:
         low = np.minimum(low[: len(h) - width + 1], low[width - w :])
+    return low, h[: len(low)] == low
+
+
+#: Windows whose hashes are made at a time, so that they stay in a core's cache.
+_BLOCK = 1 << 15
+
+
+def runs(units: np.ndarray, ends: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(minimum, first window, one past the last window) of each run over units of documents that end at ends.
+
+    A window never crosses a document's end.
+    """
+    none = np.zeros(0, np.int64)
+    if len(units) < window:
+        return np.zeros(0, np.uint64), none, none
     count = len(units) - window + 1
+    low, own = np.empty(count, np.uint64), np.empty(count, bool)
+    for at in range(0, count, _BLOCK):
+        stop = min(at + _BLOCK, count)
+        low[at:stop], own[at:stop] = _minima(units[at : stop + window - 1], window, gram)
     lengths = np.diff(np.concatenate([[0], ends]))
     fits = lengths >= window
     # Valid window starts: all but the last window-1 of each document.
@@ -83,7 +102,7 @@ def runs(units: np.ndarray, ends: np.ndarray, window: int, gram: int) -> tuple[n
     valid = np.cumsum(mark[:-1]) > 0
     turn = np.ones(count, bool)
     # A new minimum, or the first one just left: so a run's windows all hold one occurrence, and differ.
-    turn[1:] = (low[1:] != low[:-1]) | (h[: count - 1] == low[:-1])
+    turn[1:] = (low[1:] != low[:-1]) | own[:-1]
     turn[firsts] = True
     turn &= valid
     first = np.flatnonzero(turn)

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.llm import gru, op1_minhash, op2_url_filter, op3_substring, op4_decontaminate, op5_toxicity, op6_license, op7_pivot_index, op8_packing, op9_gru_lm, op10_suffix_array
+from clickloom.llm import gru, op1_minhash, op2_url_filter, op3_substring, op4_decontaminate, op5_toxicity, op6_license, op7_pivot_index, op8_packing, op9_gru_lm, op10_suffix_array, winnow
 from clickloom.llm.common import lower_words, words_of
 from clickloom.llm.components import components
 from clickloom.llm.fmindex import FMIndex, occurrences, repeated_windows
@@ -669,3 +669,30 @@ def test_copies_are_found_by_the_index(spark, monkeypatch):
     assert op3_substring.word_index(35)(shard).tolist() == [True] * 26 + [False] * 86 and asked == [1]
     table = spark.createDataFrame([(k, PASSAGE) for k in range(5)], "doc_id long, text string")
     assert {(r.n_words, r.n_removed) for r in op3_substring.substring_dedup(table).collect()} == {(60, 60)}
+
+
+@pytest.mark.parametrize("top", [2, 5, 257, 2**21, 2**32 - 1])
+def test_suffixes_of_small_and_large_alphabets(top):
+    r = np.random.default_rng(top)
+    for n in [*range(40), 500, 501, 502]:
+        x = r.integers(1, top, n).astype(np.uint64)
+        x[n // 2 : n // 2 + n // 4] = x[: n // 4]
+        assert suffix_array(x).tolist() == sorted(range(n), key=lambda i: x[i:].tolist())
+
+
+@pytest.mark.parametrize(("window", "gram"), [(50, 20), (9, 3), (8, 8)])
+def test_runs_do_not_depend_on_blocks(monkeypatch, window, gram):
+    r = np.random.default_rng(window)
+    units = r.integers(0, 4, 3000).astype(np.uint8)
+    units[2000:2300] = units[100:400]
+    ends = np.array([0, 7, 900, 900, 1900, 3000])
+    whole = winnow.runs(units, ends, window, gram)
+    minima = [min(winnow.mixed_grams(units[k : k + window], gram)) for k in range(len(units) - window + 1)]
+    for block in (1, 13, 1024):
+        monkeypatch.setattr(winnow, "_BLOCK", block)
+        for a, b in zip(whole, winnow.runs(units, ends, window, gram), strict=True):
+            assert a.tolist() == b.tolist()
+    key, first, stop = whole
+    starts = [s for a, b in zip([0, *ends], ends) for s in range(a, b - window + 1)]
+    assert [s for a, b in zip(first.tolist(), stop.tolist()) for s in range(a, b)] == starts
+    assert all(minima[s] == k for k, a, b in zip(key.tolist(), first.tolist(), stop.tolist()) for s in range(a, b))
