@@ -39,7 +39,10 @@ def digest(text: Column) -> Column:
 
 
 class DigestIndex:
-    """A folder of known texts. buckets is fixed when the folder is new; later sessions must pass the same number."""
+    """A folder of known texts. buckets is fixed when the folder is new; later sessions must pass the same number.
+
+    With fewer buckets than shuffle partitions Spark shuffles the index in joins, too.
+    """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark, self.path, self.buckets = spark, path, buckets or shuffle_partitions(spark)

@@ -63,7 +63,7 @@ def test_later_batches_meet_the_index(spark):
 
 def test_index_is_read_by_its_buckets(spark):
     """The anti-join shuffles the batch, not the index, and runs no Python."""
-    with op11.DigestIndex(spark, scratch.path(spark, "index"), 3) as index:
+    with op11.DigestIndex(spark, scratch.path(spark, "index"), 8) as index:
         op11.deduplicate(table(spark, TEXTS), index)
         groups = op11.first_of_equals(spark.createDataFrame([], "doc_id long, chars int, digest binary"))
         plan = groups.join(index.known().hint("merge"), "digest", "left_anti")._jdf.queryExecution().toString()
