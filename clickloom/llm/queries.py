@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_minhash, op2_url_filter, op3_substring, op4_decontaminate, op5_toxicity, op6_license, op7_pivot_index, op8_packing, op9_gru_lm, op10_suffix_array, op11_digest_index
+from . import op1_minhash, op2_url_filter, op3_substring, op4_decontaminate, op5_toxicity, op6_license, op7_pivot_index, op8_packing, op9_gru_lm, op10_suffix_array, op11_digest_index, op12_hard_negatives
 
 QUERIES = {
     "op1_near_duplicates": op1_minhash.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_lm_scores": op9_gru_lm.query,
     "op10_suffix_array_dedup": op10_suffix_array.query,
     "op11_exact_dedup": op11_digest_index.query,
+    "op12_hard_negatives": op12_hard_negatives.query,
 }
 
 ORACLES = {
@@ -26,4 +27,5 @@ ORACLES = {
     "op7_exact_top_k": op7_pivot_index.SQL,
     "op10_suffix_array_dedup": op10_suffix_array.SQL,
     "op11_exact_dedup": op11_digest_index.SQL,
+    "op12_hard_negatives": op12_hard_negatives.SQL,
 }
