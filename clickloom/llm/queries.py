@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_minhash, op2_url_filter, op3_substring, op4_decontaminate, op5_toxicity, op6_license, op7_pivot_index, op8_packing, op9_gru_lm, op10_suffix_array, op11_digest_index, op12_hard_negatives
+from . import op1_minhash, op2_url_filter, op3_substring, op4_decontaminate, op5_toxicity, op6_license, op7_pivot_index, op8_packing, op9_gru_lm, op10_suffix_array, op11_digest_index, op12_hard_negatives, op13_dual_tree
 
 QUERIES = {
     "op1_near_duplicates": op1_minhash.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_suffix_array_dedup": op10_suffix_array.query,
     "op11_exact_dedup": op11_digest_index.query,
     "op12_hard_negatives": op12_hard_negatives.query,
+    "op13_dual_tree_clustering": op13_dual_tree.query,
 }
 
 ORACLES = {
@@ -28,4 +29,5 @@ ORACLES = {
     "op10_suffix_array_dedup": op10_suffix_array.SQL,
     "op11_exact_dedup": op11_digest_index.SQL,
     "op12_hard_negatives": op12_hard_negatives.SQL,
+    "op13_dual_tree_clustering": op13_dual_tree.SQL,
 }
