@@ -42,7 +42,21 @@ class Streaming:
     trigger: str = "30 seconds"
 
 
-SECTIONS = {"zscore": ZScore(), "features": Features(), "ensemble": Ensemble(), "streaming": Streaming()}
+@dataclass(frozen=True)
+class Adaptive:
+    """Thresholds that follow a brand: quantiles of its last hours, once it has enough of them."""
+
+    lookback_hours: int = 168
+    low: float = 0.05
+    high: float = 0.95
+    min_history: int = 3
+
+    def __post_init__(self):
+        if not 0 <= self.low <= self.high <= 1:
+            raise ValueError(f"quantiles {self.low} and {self.high} are not in order")
+
+
+SECTIONS = {"zscore": ZScore(), "features": Features(), "ensemble": Ensemble(), "streaming": Streaming(), "adaptive": Adaptive()}
 
 
 def get_config(section: str) -> dict:
