@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import expr
 from ..settings import Features
 from ..sources.events import require_columns, with_columns_or
+from . import ranks
 
 
 def time_features(df: DataFrame) -> DataFrame:
@@ -70,3 +71,8 @@ def train_split(df: DataFrame, share: float = 0.8) -> DataFrame:
     """
     cut = df.agg(F.expr(f"percentile_disc({share}) WITHIN GROUP (ORDER BY unix_timestamp(window_start))").alias("cut"))
     return df.join(F.broadcast(cut)).withColumn("is_train", F.unix_timestamp("window_start") <= F.col("cut")).drop("cut")
+
+
+def train_rows(df: DataFrame, share: float = 0.8) -> DataFrame:
+    """is_train: exactly floor(share * n) rows, the first ones by window and brand, whatever windows they cut."""
+    return ranks.first_share(df, [F.col("window_start"), F.col("brand")], share)

@@ -31,6 +31,6 @@ def merged(parts: DataFrame, *by: str, order: str) -> DataFrame:
     """Moments of each group from those of its parts (a few hundred days, say), in the order given, so that runs agree to the last bit."""
     one = F.struct(*FIELDS)
     listed = parts.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("at"), one.alias("x")))).alias("parts"))
-    kind = parts.select(one.alias("x")).schema["x"].dataType
+    kind = parts.select(one.alias("x")).schema["x"].dataType.simpleString()  # every field may be null
     whole = F.aggregate("parts", F.lit(None).cast(kind), lambda found, part: add(found, part["x"]).cast(kind))
     return listed.select(*by, whole.alias("x")).select(*by, *[F.col(f"x.{f}").alias(f) for f in FIELDS])

@@ -2,27 +2,79 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import anomaly, changepoints, ensemble, features, forest, funnel, seasonal, sequences, stored
 from ..settings import Ensemble, Features, ZScore
-from ..sources import events, sinks
+from ..sources import events, manifest, sinks
 
 GOLD = {"hourly_brand": (funnel.hourly_brand, "window_date"), "daily_brand": (funnel.daily_brand, "date"), "daily_category": (funnel.daily_category, "date"), "hourly_price_band": (funnel.hourly_price_band, "window_date")}
 
 
-def build(spark: SparkSession, raw_glob: str, root: str, gate: ZScore = ZScore()) -> dict[str, str]:
-    """Writes all tables below root; silver is de-duplicated once, not again for each gold table."""
+BY = {"bronze": "event_date", "silver": "event_date", "anomalies": "window_date"} | {name: by for name, (_, by) in GOLD.items()}
+
+
+def raw_or_none(spark: SparkSession, glob: str) -> DataFrame | None:
+    """Raw files, or None where there are none: then bronze is the source, and is not written onto itself."""
+    try:
+        return events.read_csv(spark, glob)
+    except AnalysisException:
+        return None
+
+
+def build(spark: SparkSession, raw_glob: str, root: str, gate: ZScore = ZScore(), whole: bool = True) -> dict[str, str]:
+    """Brings all tables below root up to the raw files, and touches only the days that differ; returns their paths.
+
+    whole: the raw files are all there is, so days that they lack go from every table; else they are added to what is
+    there, and replace the days that they hold. Bronze, silver and gold depend on their own day only; anomalies are measured against
+    all days, so that table is written anew each time.
+
+    Before a table is touched the days to be changed leave the manifest, and they come back when all tables are written: a run that
+    dies leaves them marked, and the next one builds them again from bronze, even if its raw files hold other days.
+    """
     paths = {name: f"{root}/{name}" for name in ("bronze", "silver", "anomalies", *GOLD)}
-    sinks.ingest(events.source_or_bronze(spark, raw_glob, paths["bronze"]), paths["bronze"])
-    sinks.write_partitioned(funnel.dedup(funnel.clean(spark.read.parquet(paths["bronze"]))), paths["silver"], "event_date")
-    silver = spark.read.parquet(paths["silver"])
-    for name, (make, by) in GOLD.items():
-        sinks.write_partitioned(make(silver), paths[name], by)
-    sinks.write_partitioned(anomaly.zscore_anomalies(spark.read.parquet(paths["hourly_brand"]), gate), paths["anomalies"], "window_date")
+    book = manifest.Manifest(spark, f"{root}/manifest")
+    raw, known = raw_or_none(spark, raw_glob), book.read()
+    there = manifest.days_of(spark, paths["bronze"], "event_date")
+    if raw is None and not there:
+        raise ValueError(f"neither raw files at {raw_glob} nor a bronze table below {root}")
+    now = manifest.fingerprints(raw if raw is not None else spark.read.parquet(paths["bronze"]), "event_date")
+    changed = {d for d, mark in now.items() if known.get(d) != mark}
+    gone = (there | set(known)) - set(now) if whole and raw is not None else set()
+    unfinished = there.union(*(manifest.days_of(spark, paths[n], BY[n]) for n in ("silver", *GOLD))) - set(known)
+    touched = changed | gone | unfinished
+    if touched:
+        clean = {d: mark for d, mark in known.items() if d not in touched}
+        book.write(clean)
+        if raw is not None:
+            manifest.drop_days(spark, paths["bronze"], "event_date", gone)
+            if changed:
+                sinks.ingest(manifest.within(raw, "event_date", changed), paths["bronze"])
+        bronze = events.safe_parquet(spark, paths["bronze"])
+        refresh(spark, paths, "silver", touched, bronze, "bronze", lambda rows: funnel.dedup(funnel.clean(rows)))
+        silver = events.safe_parquet(spark, paths["silver"])
+        for name, (make, _) in GOLD.items():
+            refresh(spark, paths, name, touched, silver, "silver", make)
+        # Days that are built from bronze alone stay marked until their raw files are seen again.
+        book.write(clean | {d: now[d] for d in touched & set(now)})
+    hourly = events.safe_parquet(spark, paths["hourly_brand"])
+    if hourly is None:
+        manifest.delete(spark, paths["anomalies"])
+    else:
+        sinks.write_partitioned(anomaly.zscore_anomalies(hourly, gate), paths["anomalies"], BY["anomalies"], whole=True)
     return paths
 
 
+def refresh(spark: SparkSession, paths: dict[str, str], name: str, days: set, source: DataFrame | None, of: str, make: Callable[[DataFrame], DataFrame]) -> None:
+    """Builds these days of a table anew from the same days of its source; those without rows there go."""
+    manifest.drop_days(spark, paths[name], BY[name], days)
+    if source is not None:
+        sinks.write_partitioned(make(manifest.within(source, BY[of], days)), paths[name], BY[name])
+
+
 def train(rows: DataFrame, share: float = 0.8, plan: sequences.Plan = sequences.Plan(), forest_rows: int = 100) -> DataFrame:
     """Models of all kinds from the earliest share of the rows."""
     part = features.train_split(rows, share).filter("is_train")

@@ -294,4 +294,4 @@ FINAL SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, brand,
 add("batch_stream_parity", lambda s, d: reports.parity(closed(hourly_brand(s, d), s, d), closed(streamed(s, d, streaming.tumbling), s, d)).agg(F.count(F.lit(1)).alias("windows"), F.count_if(F.abs("views_diff") + F.abs("carts_diff") + F.abs("purchases_diff") + F.abs("revenue_diff") > 0).alias("differences")), HOURLY + f"\nFINAL SELECT count(*) AS windows, 0::BIGINT AS differences FROM gold WHERE {CLOSED}")
 add("stream_batch_zscores", lambda s, d: streaming.batch_zscores(hourly_brand(s, d).select("brand", "window_start", "views"), 2.0).select("brand", "window_start", "views", "z_score"), HOURLY + ", t AS (SELECT brand, window_start, views, avg(views) OVER w AS m, stddev_samp(views) OVER w AS sd FROM gold WINDOW w AS (PARTITION BY brand)), u AS (SELECT brand, window_start, views, CASE WHEN sd IS NULL OR sd = 0 THEN 0 ELSE round((views - m) / sd, 9) END AS z_score FROM t)\nFINAL SELECT * FROM u WHERE abs(z_score) > 2", ("z_score",))
 
-from . import routes, stateful  # noqa: E402, F401  registers the routes, streams and models
+from . import rebuilds, routes, stateful  # noqa: E402, F401  registers the routes, streams and models

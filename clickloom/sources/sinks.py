@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, path: str, by: str) -> None:
-    """Replaces only the partitions that df holds. Rows go to the writers by partition and a salt, so a day is a few files and no hot task."""
+def write_partitioned(df: DataFrame, path: str, by: str, whole: bool = False) -> None:
+    """Replaces only the partitions that df holds, or the whole table. Rows go to the writers by partition and a salt, so a day is a few files and no hot task."""
     salted = df.repartition(F.col(by), F.pmod(F.xxhash64(*df.columns[:2]), F.lit(8)))
-    salted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    salted.write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic").partitionBy(by).parquet(path)
 
 
 def ingest(df: DataFrame, path: str, by: str = "event_date") -> None:
