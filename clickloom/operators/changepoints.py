@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import stored
+
 
 class Squares:
     """Squared deviation from the segment's mean."""
@@ -135,12 +137,20 @@ def segment_ends(x: np.ndarray, penalty: float, least: int, search: str = "pelt"
 def changepoints(df: DataFrame, least: int = 24, penalty: float = 10.0, min_change: float = 0.15, search: str = "pelt", cost: str = "rbf") -> DataFrame:
     """brand, changepoint_time, mean_before, mean_after, magnitude: where the mean conversion shifts by min_change or more.
 
+    A brand whose search raises has one row, without a time, and the reason in `error`.
+
     The series is standardised for squared costs (the kernel has its own width), so that one penalty fits all brands.
     """
     if search not in SEARCHES or cost not in COSTS:
         raise ValueError(f"unknown search or cost: {search}, {cost}")
 
     def find(pdf: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return shifts(pdf).assign(error=None)
+        except Exception as error:  # of this brand alone
+            return pd.DataFrame([(pdf["brand"].iloc[0], None, None, None, None, stored.reason(error))], columns=["brand", "changepoint_time", "mean_before", "mean_after", "magnitude", "error"])
+
+    def shifts(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.dropna(subset=["conversion_rate"]).sort_values("window_start")
         x = pdf["conversion_rate"].to_numpy(float)
         scaled = (x - x.mean()) / x.std() if cost == "l2" and len(x) and x.std() > 0 else x
@@ -155,7 +165,7 @@ def changepoints(df: DataFrame, least: int = 24, penalty: float = 10.0, min_chan
 
     kind = df.schema["window_start"].dataType.simpleString()
     series = df.select("brand", "window_start", "conversion_rate").filter("brand IS NOT NULL")
-    return series.groupBy("brand").applyInPandas(find, f"brand string, changepoint_time {kind}, mean_before double, mean_after double, magnitude double")
+    return series.groupBy("brand").applyInPandas(find, f"brand string, changepoint_time {kind}, mean_before double, mean_after double, magnitude double, error string")
 
 
 def flag_changepoints(df: DataFrame, points: DataFrame, hours: int = 2) -> DataFrame:
@@ -173,4 +183,5 @@ def flag_changepoints(df: DataFrame, points: DataFrame, hours: int = 2) -> DataF
 
 
 def summary(points: DataFrame) -> DataFrame:
-    return points.withColumn("direction", F.when(F.col("mean_after") > F.col("mean_before"), "increase").otherwise("decrease")).orderBy("brand", "changepoint_time")
+    """Points in order of brand and time; brands whose search failed have none."""
+    return points.filter(F.col("changepoint_time").isNotNull()).drop("error").withColumn("direction", F.when(F.col("mean_after") > F.col("mean_before"), "increase").otherwise("decrease")).orderBy("brand", "changepoint_time")

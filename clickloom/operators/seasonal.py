@@ -93,7 +93,7 @@ def _from_models(models: DataFrame, periods: int, fields: str, make) -> DataFram
         t = float(model["last"]) + 1 + np.arange(periods)
         return pd.DataFrame({"brand": pdf["brand"].iloc[0], "window_start": pd.Timestamp("2000-01-01") + pd.to_timedelta(t, unit="h")} | make(t, model))
 
-    return models.filter(F.col("kind") == "prophet").groupBy("brand").applyInPandas(run, f"brand string, window_start timestamp_ntz, {fields}")
+    return stored.fitted(models).filter(F.col("kind") == "prophet").groupBy("brand").applyInPandas(run, f"brand string, window_start timestamp_ntz, {fields}")
 
 
 def unpacked_of(pdf: pd.DataFrame) -> dict:

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import anomaly, changepoints, ensemble, features, forest, funnel, seasonal, sequences, stored
 from ..settings import Ensemble, Features, ZScore
-from ..sources import events, manifest, sinks
+from ..sources import events, manifest, scratch, sinks
 
 GOLD = {"hourly_brand": (funnel.hourly_brand, "window_date"), "daily_brand": (funnel.daily_brand, "date"), "daily_category": (funnel.daily_category, "date"), "hourly_price_band": (funnel.hourly_price_band, "window_date")}
 
@@ -76,23 +77,31 @@ def refresh(spark: SparkSession, paths: dict[str, str], name: str, days: set, so
 
 
 def train(rows: DataFrame, share: float = 0.8, plan: sequences.Plan = sequences.Plan(), forest_rows: int = 100) -> DataFrame:
-    """Models of all kinds from the earliest share of the rows."""
-    part = features.train_split(rows, share).filter("is_train")
+    """Models of all kinds from the earliest share of the rows, by position; rows of one window and brand are one."""
+    part = scratch.save(features.train_rows(rows, share).filter("is_train"), "train")  # read once for each kind
     return forest.fit(part, forest_rows).unionByName(seasonal.fit(part)).unionByName(sequences.fit(part, plan))
 
 
 def detect(rows: DataFrame, models: DataFrame, points: DataFrame, cfg: Ensemble = Ensemble(), plan: sequences.Plan = sequences.Plan()) -> DataFrame:
-    """Scores of the four models, their ensemble and the money."""
+    """Scores of the four models, their ensemble and the money. A brand that a model fails on is scored by the others (see ``stored``)."""
     scored = sequences.score(seasonal.score(forest.score(rows, models), models), models, plan)
     scored = changepoints.flag_changepoints(scored, points)
     return ensemble.kind(ensemble.severity(ensemble.impact(ensemble.combine(scored, cfg)), cfg))
 
 
 def advanced(gold: DataFrame, root: str, cfg: Ensemble = Ensemble(), gate: ZScore = ZScore(), wanted: Features = Features(), plan: sequences.Plan = sequences.Plan(), forest_rows: int = 100, search: dict | None = None) -> DataFrame:
-    """Features, models and points are written below root (the models once more replace those of another run), then read to score all rows."""
+    """Features, models and points are written below root (the models once more replace those of another run), then read to score all rows.
+
+    Scored rows are written, too, and with them failures: brand, model, stage and reason of whatever raised.
+    """
     spark = gold.sparkSession
     features.all_features(anomaly.reliable(gold, gate), wanted).write.mode("overwrite").parquet(f"{root}/features")
     rows = spark.read.parquet(f"{root}/features")
     stored.write(train(rows, plan=plan, forest_rows=forest_rows), f"{root}/models")
     changepoints.changepoints(rows, **(search or {})).write.mode("overwrite").parquet(f"{root}/changepoints")
-    return detect(rows, stored.read(spark, f"{root}/models"), spark.read.parquet(f"{root}/changepoints"), cfg, plan)
+    models, points = stored.read(spark, f"{root}/models"), spark.read.parquet(f"{root}/changepoints")
+    detect(rows, models, points, cfg, plan).write.mode("overwrite").parquet(f"{root}/scored")
+    scored = spark.read.parquet(f"{root}/scored")
+    lost = points.filter("error IS NOT NULL").select("brand", F.lit("changepoint").alias("kind"), F.lit("search").alias("stage"), F.col("error").alias("reason"))
+    stored.failures(models, scored).unionByName(lost).write.mode("overwrite").parquet(f"{root}/failures")
+    return scored

@@ -250,7 +250,8 @@ SMALL = sequences.Plan(steps=24, units=(8, 4), code=4, epochs=3)
 
 
 def rows_of(s: SparkSession, d: str) -> DataFrame:
-    return features.all_features(by_hour(s, d))
+    """Written once: models are fitted on it and then score it."""
+    return scratch.save(features.all_features(by_hour(s, d)), "features")
 
 
 def kept_models(s: SparkSession, d: str, *made: DataFrame) -> DataFrame:
@@ -266,6 +267,11 @@ def forest_scores(s: SparkSession, d: str) -> DataFrame:
     return forest.score(rows, kept_models(s, d, forest.fit(rows))).select("brand", "window_start", *forest.NOTHING)
 
 
+def updated_forests(s: SparkSession, d: str) -> DataFrame:
+    rows = rows_of(s, d)
+    return forest.update(rows.filter("brand < 'm'"), kept_models(s, d, forest.fit(rows)))
+
+
 def seasonal_models(s: SparkSession, d: str) -> DataFrame:
     return kept_models(s, d, seasonal.fit(by_hour(s, d)))
 
@@ -275,7 +281,7 @@ def advanced(s: SparkSession, d: str) -> DataFrame:
 
 
 add("iforest_scores", forest_scores)
-add("iforest_updated", lambda s, d: forest.update(rows_of(s, d).filter("brand < 'm'"), kept_models(s, d, forest.fit(rows_of(s, d)))).select("brand", "kind", "rows"))
+add("iforest_updated", lambda s, d: updated_forests(s, d).select("brand", "kind", "rows"))
 for _search in changepoints.SEARCHES:
     add(f"changepoints_{_search}", lambda s, d, search=_search: changepoints.summary(changepoints.changepoints(by_hour(s, d), 24, 2.0, 0.05, search)))
 add("seasonal_scores", lambda s, d: seasonal.score(by_hour(s, d), seasonal_models(s, d)).select("brand", "window_start", "prophet_expected", "prophet_lower", "prophet_upper", "prophet_anomaly_score", "prophet_is_anomaly"))

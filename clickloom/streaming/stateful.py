@@ -74,7 +74,7 @@ class LastHours(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.hours.clear()
-        yield pd.DataFrame({c.split()[0]: [] for c in LIMITS.split(", ")})
+        return iter(())
 
     def close(self) -> None:
         pass
