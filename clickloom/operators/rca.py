@@ -56,7 +56,7 @@ def first_of_severity(anomalies: DataFrame, severity: str = "critical", n: int =
 
 
 def export(df: DataFrame, mode: str = "dataframe") -> DataFrame:
-    """dataframe: the report's columns; summary: counts by severity; any other mode: df as it is."""
+    """dataframe: the report's columns; summary: counts by severity; json (and any other mode): df as it is, nested fields and all, for `sinks.export_json`."""
     if mode == "dataframe":
         wanted = ("window_start", "brand", "anomaly_type", "severity", "conversion_rate", "expected_conversion", "deviation_pct", "views", "purchases", "revenue", "revenue_impact", "conversion_loss", "ensemble_score", "confidence")
         return df.select(*[c for c in wanted if c in df.columns])

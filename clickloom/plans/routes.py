@@ -89,6 +89,17 @@ add("safe_reads", safe_reads, "WITH v AS (VALUES ('there', true), ('missing', fa
 REPORT = "window_start, brand, anomaly_type, severity, conversion_rate, expected_conversion, deviation_pct, views, purchases, revenue, revenue_impact, conversion_loss, ensemble_score, confidence"
 REPORTED = ("conversion_rate", "deviation_pct", "revenue", "revenue_impact", "conversion_loss", "ensemble_score", "confidence")
 add("report_csv", exported, ESQL + f"\nFINAL SELECT {REPORT} FROM s WHERE is_anomaly", REPORTED)
+def exported_json(s: SparkSession, d: str) -> DataFrame:
+    """Alerts with their nested fields, a JSON object each, and back."""
+    at = scratch.path(s, "report")
+    history = scores(s, d).withColumn("avg_order_value", F.when(F.col("purchases") > 0, F.col("revenue") / F.col("purchases")))
+    found = rca.export(rca.alerts(history.filter("is_anomaly"), history), "json")
+    sinks.export_json(found, at)
+    back = s.read.schema(found.schema).json(at)
+    return back.select("alert_id", "brand", "window_start", "severity", "revenue_impact", F.col("model_scores.prophet_anomaly_score").alias("prophet_anomaly_score"), F.col("when.is_weekend").alias("is_weekend"))
+
+
+add("report_json", exported_json, ESQL + "\nFINAL SELECT brand || '_' || strftime(window_start, '%Y-%m-%d %H:%M:%S') AS alert_id, brand, window_start, severity, revenue_impact, p AS prophet_anomaly_score, dayofweek(window_start) IN (0, 6) AS is_weekend FROM s WHERE is_anomaly", ("revenue_impact", "prophet_anomaly_score"))
 add("lakehouse_tables", lakehouse_tables, DENSE_HOURLY + ",\n" + _gold("db", None, "brand_norm", "brand") + ",\n" + _gold("dc", None, "category_root", "category_root") + ",\n" + _gold("pb", "hour_start", "price_band", "price_band") + "," + ZPROD + """
 FINAL SELECT 'bronze' AS table_name, count(*) AS n_rows FROM raw UNION ALL SELECT 'silver', count(*) FROM silver UNION ALL SELECT 'anomalies', count(*) FROM a UNION ALL SELECT 'hourly_brand', count(*) FROM gold
   UNION ALL SELECT 'daily_brand', count(*) FROM db UNION ALL SELECT 'daily_category', count(*) FROM dc UNION ALL SELECT 'hourly_price_band', count(*) FROM pb""")
@@ -123,6 +134,18 @@ def latest_alerts(s: SparkSession, d: str) -> DataFrame:
     return rca.latest(rca.alerts(history.filter("is_anomaly"), history)).select("alert_id", "window_start", "priority", "text", "ensemble_score")
 
 
+def alert_records(s: SparkSession, d: str) -> DataFrame:
+    """Every field of every alert, nested ones side by side."""
+    history = scores(s, d).withColumn("avg_order_value", F.when(F.col("purchases") > 0, F.col("revenue") / F.col("purchases")))
+    return rca.alerts(history.filter("is_anomaly"), history).select("*", "model_scores.*", "when.*").drop("model_scores", "when")
+
+
+PRIORITY = "CASE WHEN severity = 'critical' OR abs(revenue_impact) > 10000 THEN 'high' WHEN severity = 'high' OR abs(revenue_impact) > 1000 THEN 'medium' ELSE 'low' END AS priority"
+TOLD = "anomaly_type, severity, confidence, ensemble_score, conversion_rate, expected_conversion, deviation_pct, views, purchases, revenue, revenue_impact, conversion_loss"
+add("alert_records", alert_records, RCA + f"""
+FINAL SELECT brand || '_' || strftime(window_start, '%Y-%m-%d %H:%M:%S') AS alert_id, brand, window_start, {TOLD}, {PRIORITY}, array_to_string(list_transform(o[1:3], lambda x: x.metric), ',') AS top_metrics, upper(severity) || ': ' || brand || ' - ' || {WORDS} AS text,
+  p AS prophet_anomaly_score, i AS isolation_forest_anomaly_score, c AS changepoint_anomaly_score, hour(window_start) < 6 OR hour(window_start) > 22 AS is_off_peak, hour(window_start) BETWEEN 9 AND 17 AS is_business_hours, dayofweek(window_start) IN (0, 6) AS is_weekend FROM rk""",
+    ("confidence", "ensemble_score", "conversion_rate", "expected_conversion", "deviation_pct", "revenue", "revenue_impact", "conversion_loss", "prophet_anomaly_score", "isolation_forest_anomaly_score", "changepoint_anomaly_score"))
 add("latest_alerts", latest_alerts, RCA + f"\nFINAL SELECT brand || '_' || strftime(window_start, '%Y-%m-%d %H:%M:%S') AS alert_id, window_start, CASE WHEN severity = 'critical' OR abs(revenue_impact) > 10000 THEN 'high' WHEN severity = 'high' OR abs(revenue_impact) > 1000 THEN 'medium' ELSE 'low' END AS priority, upper(severity) || ': ' || brand || ' - ' || {WORDS} AS text, ensemble_score FROM rk ORDER BY window_start DESC, brand LIMIT 20", ("ensemble_score",))
 add("cause_texts", lambda s, d: causes(s, d).select("brand", "window_start", "summary"), RCA + f"\nFINAL SELECT brand, window_start, {WORDS} AS summary FROM rk")
 

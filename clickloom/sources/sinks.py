@@ -26,6 +26,11 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def export_json(df: DataFrame, path: str) -> None:
+    """An object a line; nested fields stay nested, and nulls stay."""
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
 def send_batch(messages: DataFrame, servers: str, topic: str) -> None:
     messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
