@@ -28,13 +28,18 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group (similar by 80 percent or more) stays; of equal rows, one.
+    """The document with the smallest id of each near-duplicate group (similar by 80 percent or more) stays; of rows equal in every column, one.
 
-    Null and empty texts and null ids link with nothing and stay; rows with one id are one document: they stay or go
-    together, as their texts link; texts of any length are hashed whole; an empty table stays empty.
+    Null and empty texts link with nothing and stay; rows without an id are documents of their own and all stay, equal or
+    not; rows with one id are one document: they stay or go together, as their texts link, and rows of an id that differ
+    in any column all stay; texts of any length are hashed whole; an empty table stays empty.
     """
     gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # Only rows whose id comes again can be equal; texts of all others are not compared.
+    again = kept.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    once = kept.join(again, "doc_id", "left_anti").select(*docs.columns)
+    return once.union(kept.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates())
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
