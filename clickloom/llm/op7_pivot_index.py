@@ -1,198 +1,38 @@
 """Exact top-k by integer inner product over a pivot-distance index.
 
-Every indexed vector gets one more coordinate that brings all norms to the largest one, queries get 0 there; then the
-squared Euclidean distance is a constant of the query less twice the inner product, so the nearest vectors are those of
-the highest products, and the triangle inequality applies. The index keys each vector by its nearest pivot and
-its distance from it: neighbouring distance rings of a pivot are joined to annuli of `rows_of` rows or more, and an annulus of
-more than `block` rows is cut into blocks. A search
-
-1. visits whole annuli, nearest first, until they hold k others, which gives a first bound on the k-th distance;
-2. expands to every annulus of every pivot that comes closer than that bound, and no other.
-
-Pivots are as many as the square root of the rows, from `pivots` to `most_pivots`, and lie far apart among eight times as many
-vectors taken by a hash of the id; the table of annuli is no larger than pivots times rings. Both are therefore safe to send to every task at any
-input size. Every row is indexed.
-
-Edge cases: vectors that are null, or hold null or non-finite components, take part in nothing; vectors of several
-lengths are refused with a ValueError, as no product of them is defined; very long vectors only make blocks larger; ties go
-to the smaller id; equal vectors are kept apart by id; rows that repeat an id are candidates each, but never of that id's
-own queries; a null vec_id takes no part; fewer than k candidates give fewer rows; an empty table gives an empty
-result; other columns are not read.
+The index keys each vector by its nearest pivot and its distance from it; a search expands the annuli around each query
+in rounds, nearest first, tightens the bound on the k-th distance after each, and stops when the triangle inequality says that no
+annulus left can hold a better one (``distance_keys``, where the bounds are explained).
+
+Edge cases: vectors that are null or empty, or hold null or non-finite components, or whose squared length (of integers)
+reaches 2**50 take part in nothing; vectors of another length than the query's have no product with it; ties go to the
+smaller id; equal vectors are kept apart by id; rows that repeat an id are candidates each, but never of that id's own query, and as a
+query an id counts once, with its least vector; a null vec_id takes no part; fewer than k candidates give fewer rows;
+an empty table gives an empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
-from math import ceil, sqrt
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import save, shuffle_partitions
-
-#: Slack on distances, for rounding in double precision (squared lengths stay under 2**40).
-_SLACK = 1e-3
-
-
-def integer_vectors(rows: DataFrame, scale: int) -> DataFrame:
-    """id, v (array of integers) of the rows that take part."""
-    x = F.transform("embedding", lambda c: c.cast("double"))
-    good = F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.col("vec_id").isNotNull()
-    good &= F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    return rows.select(F.col("vec_id").cast("long").alias("id"), F.when(good, F.transform(x, lambda c: F.floor(c * scale))).alias("v")).filter("v IS NOT NULL")
-
-
-def _matrix(column) -> np.ndarray:
-    return np.array(column.tolist(), np.int64) if len(column) else np.zeros((0, 0), np.int64)
-
-
-def _distances(x: np.ndarray, y: np.ndarray, top: int, query: bool) -> np.ndarray:
-    """Distances between rows of x and indexed rows y, whose squared norms one more coordinate brings to top; queries have 0 there."""
-    a, b = x.astype(float), y.astype(float)
-    one, product = (a * a).sum(1), a @ b.T
-    if query:
-        return np.sqrt(np.maximum(top + one[:, None] - 2.0 * product, 0))
-    extra_a, extra_b = np.sqrt(np.maximum(top - one, 0)), np.sqrt(np.maximum(top - (b * b).sum(1), 0))
-    return np.sqrt(np.maximum(2.0 * top - 2.0 * (product + np.outer(extra_a, extra_b)), 0))
-
-
-def far_apart(x: np.ndarray, n: int) -> np.ndarray:
-    """n rows of x (or all), each the one farthest from those before it, so that every cluster has a pivot."""
-    a, least, chosen = x.astype(float), np.full(len(x), np.inf), [0]
-    norms = (a * a).sum(1)
-    while len(chosen) < min(n, len(x)):
-        k = chosen[-1]
-        least = np.minimum(least, norms + norms[k] - 2 * (a @ a[k]))
-        chosen.append(int(least.argmax()))
-    return x[chosen]
+from . import distance_keys
+from .common import save
 
 
-def annuli(table: pd.DataFrame, rows_of: int) -> tuple[pd.DataFrame, pd.DataFrame]:
-    """Rings (pivot, ring, n, low, high) joined to annuli of rows_of rows or more: (annulus of each ring, the annuli)."""
-    table = table.sort_values(["pivot", "ring"]).reset_index(drop=True)
-    number, held, out = -1, 0, []
-    last = None
-    for pivot, n in zip(table["pivot"].tolist(), table["n"].tolist(), strict=True):
-        if pivot != last or held >= rows_of:
-            number, held, last = number + 1, 0, pivot
-        held += n
-        out.append(number)
-    table["annulus"] = out
-    joined = table.groupby("annulus").agg(pivot=("pivot", "first"), n=("n", "sum"), low=("low", "min"), high=("high", "max"))
-    return table[["pivot", "ring", "annulus"]], joined
-
-
-def top_products(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, pivots: int = 64, most_pivots: int = 4096, rings: int = 48, rows_of: int = 512, block: int = 2048, batch: int = 64) -> DataFrame:
-    """rows: vec_id, embedding; is_query: which rows are queries, by a condition on vec_id.
+def top_products(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, first: int = 4096, **sizes: int) -> DataFrame:
+    """rows: vec_id, embedding; is_query: a condition on id; first: rows that the first round scans for a query; sizes: of the index.
 
     Returns query_id, rank, vec_id, score: each query's k highest inner products over all other rows.
     """
     spark = rows.sparkSession
-    vectors = save(integer_vectors(rows, scale), "vectors")
-    length = F.aggregate("v", F.lit(0).cast("long"), lambda s, c: s + c * c)
-    seen = vectors.agg(F.max(length).alias("top"), F.count(F.lit(1)).alias("n"), F.min(F.size("v")).alias("short"), F.max(F.size("v")).alias("long")).first()
-    schema = "query_id long, rank int, vec_id long, score long"
-    if not seen.n:
-        return spark.createDataFrame([], schema)
-    if seen.short != seen.long:
-        raise ValueError(f"vectors of {seen.short} to {seen.long} components have no inner products")
-    top = seen.top
-    wanted = min(most_pivots, max(pivots, ceil(sqrt(seen.n))))
-    centres = far_apart(_matrix(pd.Series([r.v for r in vectors.orderBy(F.xxhash64("id"), "id").limit(8 * wanted).select("v").collect()], dtype=object)), wanted)
-    width = 2 * np.sqrt(float(top)) / rings + 1e-9
-
-    def place(batches):
-        for pdf in batches:
-            d = _distances(_matrix(pdf["v"]), centres, top, False)
-            near = d.argmin(1)
-            far = d[np.arange(len(d)), near]
-            yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "pivot": near.astype(np.int32), "ring": (far / width).astype(np.int32), "far": far})
-
-    placed = save(vectors.mapInPandas(place, "id long, v array<long>, pivot int, ring int, far double"), "placed")
-    # At most pivots * rings rows.
-    table = placed.groupBy("pivot", "ring").agg(F.count(F.lit(1)).alias("n"), F.min("far").alias("low"), F.max("far").alias("high")).toPandas()
-    of_ring, found = annuli(table, rows_of)
-    a_pivot, a_n, low, high = (found[c].to_numpy() for c in ("pivot", "n", "low", "high"))
-    cuts = np.ceil(a_n / block).astype(np.int64)
-    named = spark.createDataFrame(of_ring.assign(cuts=cuts[of_ring["annulus"]]), "pivot int, ring int, annulus int, cuts long")
-    dealt = placed.join(F.broadcast(named), ["pivot", "ring"]).withColumn("cut", F.pmod(F.xxhash64("id"), F.col("cuts")))
-    blocks = dealt.select("annulus", "cut", F.col("id").alias("vec_id"), "v")
-
-    def least(q: np.ndarray) -> np.ndarray:
-        """Least distance that each query can have to the members of each annulus."""
-        d = _distances(q, centres, top, True)[:, a_pivot]
-        return np.maximum(np.maximum(d - high, low - d), 0) - _SLACK
-
-    def visits(pdf: pd.DataFrame, chosen: np.ndarray) -> pd.DataFrame:
-        """A row for each query and each block of its chosen annuli."""
-        of, annulus = np.nonzero(chosen)
-        each = np.repeat(np.arange(len(of)), cuts[annulus])
-        cut = np.arange(len(each)) - np.repeat(np.cumsum(cuts[annulus]) - cuts[annulus], cuts[annulus])
-        of, annulus = of[each], annulus[each]
-        return pd.DataFrame({"annulus": annulus.astype(np.int32), "cut": cut, "query_id": pdf["query_id"].to_numpy()[of], "q": pdf["q"].to_numpy()[of], "worst": pdf["worst"].to_numpy()[of]})
-
-    visit = "annulus int, cut long, query_id long, q array<long>, worst long"
-
-    def first(batches):
-        for whole in batches:
-            for at in range(0, len(whole), batch):
-                pdf = whole.iloc[at : at + batch]
-                near = least(_matrix(pdf["q"]))
-                # Whole annuli, nearest first, until they hold k besides the query itself.
-                order = np.argsort(near, axis=1, kind="stable")
-                held = np.take_along_axis(np.broadcast_to(a_n, near.shape), order, 1).cumsum(1)
-                chosen = np.zeros(near.shape, bool)
-                np.put_along_axis(chosen, order, held - a_n[order] < k + 1, 1)
-                yield visits(pdf.assign(worst=-(2**62)), chosen)
-
-    def rest(batches):
-        for whole in batches:
-            for at in range(0, len(whole), batch):
-                pdf = whole.iloc[at : at + batch]
-                q = _matrix(pdf["q"])
-                worst = pdf["worst"].to_numpy().astype(float)
-                reach = np.where(worst > -(2**61), np.sqrt(np.maximum(top + (q.astype(float) ** 2).sum(1) - 2.0 * worst, 0)) + _SLACK, np.inf)
-                yield visits(pdf, least(q) <= reach[:, None])
-
-    def search(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """The k best of a block for each of its visitors, none worse than what the visitor has."""
-        found = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0, np.int64)})]
-        if len(left) and len(right):
-            ids, m = right["vec_id"].to_numpy(), _matrix(right["v"])
-            order = np.argsort(ids, kind="stable")
-            ids, m = ids[order], m[order].astype(float)
-            for at in range(0, len(left), 256):
-                part = left.iloc[at : at + 256]
-                query, worst = part["query_id"].to_numpy(), part["worst"].to_numpy()
-                # Sums of products of integers this small are exact in double precision.
-                score = (_matrix(part["q"]).astype(float) @ m.T).astype(np.int64)
-                score[query[:, None] == ids[None, :]] = -(2**62) - 1
-                best = np.argsort(-score, axis=1, kind="stable")[:, :k]
-                value = np.take_along_axis(score, best, 1)
-                of, at_rank = np.nonzero((value >= worst[:, None]) & (value > -(2**62)))
-                found.append(pd.DataFrame({"query_id": query[of], "vec_id": ids[best[of, at_rank]], "score": value[of, at_rank]}))
-        return pd.concat(found)
-
-    def visited(asked: DataFrame) -> DataFrame:
-        # A block has at most about `block` rows; visitors are dealt into groups of bounded size as well.
-        hits = asked.join(asked.groupBy("annulus", "cut").agg(F.ceil(F.count(F.lit(1)) / block).alias("parts")), ["annulus", "cut"])
-        salted = hits.withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("parts")))
-        keys = salted.select("annulus", "cut", "parts").distinct()
-        copied = blocks.join(keys, ["annulus", "cut"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
-        by = ["annulus", "cut", "part"]
-        return salted.drop("parts").groupBy(by).cogroup(copied.groupBy(by)).applyInPandas(search, "query_id long, vec_id long, score long")
-
-    queries = placed.filter(is_query).select(F.col("id").alias("query_id"), F.col("v").alias("q")).repartition(shuffle_partitions(spark))
-    begun = visited(queries.mapInPandas(first, visit))
-    # The k-th best so far: at most k rows a visit come in.
-    ranked = begun.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list("score"), False), 1, k).alias("s"))
-    worst = save(ranked.select("query_id", F.when(F.size("s") == k, F.element_at("s", -1)).otherwise(F.lit(-(2**62))).alias("worst")), "worst")
-    asked = save(queries.join(worst, "query_id", "left").fillna(-(2**62), ["worst"]).mapInPandas(rest, visit), "visits")
-    scored = visited(asked)
-    entry = F.struct((-F.col("score")).alias("x"), F.col("vec_id").alias("y"))
-    lists = scored.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(entry)), 1, k).alias("best"))
-    return lists.select("query_id", F.posexplode("best").alias("p", "e")).select("query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("e.y").alias("vec_id"), (-F.col("e.x")).alias("score"))
+    index = distance_keys.build(save(distance_keys.integer_vectors(rows, scale), "vectors"), **sizes)
+    if index is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    one = index.rows.filter(is_query).groupBy(F.col("id").alias("query_id")).agg(F.min("data").alias("data"))
+    bounds = {name: F.array(F.lit(x).cast("long")) for name, x in zip(("lo", "hi"), distance_keys.ANY, strict=True)}
+    found = distance_keys.search(index, one.withColumns({"label": F.lit(0)} | bounds), k, first=first)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,11 +6,12 @@ from collections import Counter
 from math import log10
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.llm import gru, op1_minhash, op2_url_filter, op3_substring, op4_decontaminate, op5_toxicity, op6_license, op7_pivot_index, op8_packing, op9_gru_lm, op10_suffix_array, winnow
+from clickloom.llm import distance_keys, gru, op1_minhash, op2_url_filter, op3_substring, op4_decontaminate, op5_toxicity, op6_license, op7_pivot_index, op8_packing, op9_gru_lm, op10_suffix_array, winnow
 from clickloom.llm.common import lower_words, words_of
 from clickloom.llm.components import components
 from clickloom.llm.fmindex import FMIndex, occurrences, repeated_windows
@@ -307,7 +308,7 @@ def test_top_products(spark):
     df = spark.createDataFrame(vectors + bad, "vec_id long, embedding array<float>")
     whole = np.floor(256 * np.array([v for _, v in vectors], np.float32).astype(float)).astype(int)
     got = {}
-    for r in op7_pivot_index.top_products(df, F.col("id") % 50 == 0, block=64, rows_of=10).collect():
+    for r in op7_pivot_index.top_products(df, F.col("id") % 50 == 0, first=16, shelf_rows=64, least_rows=10).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     assert set(got) == set(range(0, 420, 50))
     for q, found in got.items():
@@ -316,36 +317,46 @@ def test_top_products(spark):
         assert sorted(found) == [(i + 1, k, -s) for i, (s, k) in enumerate(best)]
     assert op7_pivot_index.top_products(df.limit(0), F.col("id") % 50 == 0).count() == 0
     assert op7_pivot_index.top_products(df.filter("vec_id < 2"), F.col("id") == 0).count() == 1
-    with pytest.raises(ValueError):
-        op7_pivot_index.top_products(df.union(spark.createDataFrame([(1008, [1.0, 2.0])], df.schema)), F.col("id") == 0)
+    # Vectors of another length have products among themselves only; a clashing column is not read.
+    shorter = spark.createDataFrame([(1008, [1.0, 2.0]), (1009, [1.0, 2.0])], df.schema)
+    mixed = op7_pivot_index.top_products(df.union(shorter).withColumn("data", F.lit("x")).withColumn("rank", F.lit("y")), F.col("id").isin(0, 1008)).collect()
+    assert sorted(tuple(r) for r in mixed if r.query_id == 0) == sorted((0, *x) for x in got[0])
+    assert [tuple(r) for r in mixed if r.query_id == 1008] == [(1008, 1, 1009, 256 * 256 * 5)]
 
 
 def test_products_fall_as_distances_grow():
-    x, q = RNG.integers(-50, 50, (200, 6)), RNG.integers(-20, 20, (5, 6))
-    top = int((x * x).sum(1).max())
-    d = op7_pivot_index._distances(q, x, top, True)
-    assert np.allclose(d**2, top + (q * q).sum(1)[:, None] - 2 * (q @ x.T))
+    x, q = RNG.integers(-50, 50, (200, 6)).astype(float), RNG.integers(-20, 20, (5, 6)).astype(float)
+    top = float((x * x).sum(1).max())
+    rings = distance_keys.Rings(top, True, {6: x[:20].astype(np.int64)}, {})
     lifted = np.column_stack([x, np.sqrt(top - (x * x).sum(1))])
-    assert np.allclose(op7_pivot_index._distances(x, x, top, False), np.sqrt(((lifted[:, None] - lifted[None]) ** 2).sum(2)), atol=1e-4)
-    assert np.allclose(d, np.sqrt(((np.column_stack([q, np.zeros(5)])[:, None] - lifted[None]) ** 2).sum(2)))
+    away = np.sqrt(((np.column_stack([q, np.zeros(5)])[:, None] - lifted[None]) ** 2).sum(2))
+    assert np.allclose(rings.distance(q, q @ x.T), away)
+    near, far = rings.keys(x)
+    between = np.sqrt(((lifted[:, None] - lifted[None, :20]) ** 2).sum(2))
+    assert np.allclose(far, between.min(1), atol=1e-4) and np.allclose(between[np.arange(200), near], between.min(1), atol=1e-4)
+    table = pd.DataFrame({"pivot": near, "low": far, "high": far})
+    least, most = distance_keys.Rings(top, True, rings.pivots, {6: table}).bounds(q)
+    assert (least <= away + 1e-6).all() and (most >= away - 1e-6).all()
 
 
 def test_most_rows_are_never_visited(spark, monkeypatch):
     """On clustered vectors under half of all (query, row) pairs are looked at."""
     centres = RNG.normal(0, 1, (40, 16))
     rows = [(k, [float(v) for v in centres[k % 40] + RNG.normal(0, 0.05, 16)]) for k in range(4000)]
-    saved = {}
-    save = op7_pivot_index.save
+    saved = []
+    save = distance_keys.save
 
     def watched(df, name):
-        saved[name] = save(df, name)
-        return saved[name]
+        out = save(df, name)
+        if name == "visits":
+            saved.append(out)
+        return out
 
-    monkeypatch.setattr(op7_pivot_index, "save", watched)
+    monkeypatch.setattr(distance_keys, "save", watched)
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    assert op7_pivot_index.top_products(table, F.col("id") % 50 == 0).count() == 400
-    looked = saved["visits"].count() * 4000 / 64  # an annulus is a whole pivot here, of about so many rows
-    assert looked < 0.5 * 80 * 4000
+    assert op7_pivot_index.top_products(table, F.col("id") % 50 == 0, first=64, shelf_rows=64, least_rows=64).count() == 400
+    looked = {r.query_id: r.rows for df in saved for r in df.filter("shelf < 0").select("query_id", "rows").collect()}
+    assert len(looked) == 80 and sum(looked.values()) < 0.5 * 80 * 4000
 
 
 def test_marginals_against_all_paths():
