@@ -37,6 +37,11 @@ _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("margi
 _TOKEN = re.compile(r"\w+")
 
 
+def tokens(text: str | None) -> list[str]:
+    """Words of the text, each lower-cased by itself, so that places stay those of the text."""
+    return [w.lower() for w in _TOKEN.findall(text or "")]
+
+
 def features(word: str) -> list[str]:
     """The word, and its beginnings of three to eight letters."""
     return [word] + [f"{word[:n]}*" for n in range(3, min(9, len(word)))]
@@ -129,12 +134,44 @@ def near_copies(texts: list[str]) -> np.ndarray:
     return np.array([root(k) for k in range(len(texts))], np.int64)
 
 
-def fit(texts: list[str], toxic: list[int], evidence_g: float = 15.0, odds: float = 2.5, rounds: int = 20, chains: int = 1000) -> Model:
+def grids(lengths: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each block of chains their lengths and the places of their tokens, a column each; padding points behind the last token."""
+    begin, out = np.cumsum(lengths) - lengths, []
+    for block in blocks(lengths):
+        steps = np.arange(lengths[block].max())[:, None]
+        out.append((lengths[block], np.where(steps < lengths[block], begin[block] + steps, lengths.sum())))
+    return out
+
+
+def expectations(w: np.ndarray, bias: float, trans: np.ndarray, token: np.ndarray, feature: np.ndarray, tags: np.ndarray, laid: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all chains: the toxic marginal of each token, and transitions by label, as tagged and as expected.
+
+    token, feature: which token has which feature; laid: the grids of the chains. Tagged less expected is the slope of the log-likelihood.
+    """
+    ratio = np.append(np.exp(np.clip(bias + np.bincount(token, weights=w[feature], minlength=len(tags)), -30, 30)), 1.0)
+    p, expect, have = np.empty(len(tags) + 1), np.zeros((2, 2)), np.zeros((2, 2))
+    tagged, grid = np.append(tags, 0), np.exp(trans)
+    for lengths, place in laid:
+        r = ratio[place]
+        fw, bw, m = marginals(r, lengths, trans)
+        p[place] = m
+        if len(r) > 1:
+            inside = np.arange(1, len(r))[:, None] < lengths[None, :]
+            left, right = fw[:-1], r[1:] * bw[1:]
+            parts = [grid[0, 0] + 0 * left, grid[0, 1] * right, grid[1, 0] * left, grid[1, 1] * left * right]
+            total = np.where(inside, sum(parts), np.inf)
+            expect += np.array([(x / total).sum() for x in parts]).reshape(2, 2)
+            before, after = tagged[place[:-1]], tagged[place[1:]]
+            have += np.array([[((before == i) & (after == j) & inside).sum() for j in (0, 1)] for i in (0, 1)])
+    return p[:-1], have, expect
+
+
+def fit(texts: list[str], toxic: list[int], evidence_g: float = 10.0, odds: float = 2.5, rounds: int = 60, chains: int = 1000, piece: int = 512) -> Model:
     """A model from labelled documents; every fourth is kept for the calibration.
 
     A word or beginning is used if its document counts in the two classes differ by a log-likelihood
     ratio of evidence_g or more, and marks toxic tokens if it is also exp(odds) times likelier there. Near copies count as one
-    document. The chain itself is trained on at most `chains` documents of each class.
+    document. The chain itself is trained on at most `chains` documents of each class, whole, in pieces of `piece` tokens, so that many steps are taken at once.
     """
     y = np.array(toxic)
     if y.min(initial=1) == y.max(initial=0):
@@ -147,7 +184,7 @@ def fit(texts: list[str], toxic: list[int], evidence_g: float = 15.0, odds: floa
     for members in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
         for c in (0, 1):
             of = [k for k in members if y[k] == c and not held[k]]
-            words = {x for k in of for x in _TOKEN.findall(texts[k].lower())}
+            words = {x for k in of for x in tokens(texts[k])}
             seen[c].update({f for x in words for f in known.get(x) or known.setdefault(x, features(x))})
     n = [max(1, len(set(group[(y == c) & ~held].tolist()))) for c in (0, 1)]
     share = n[1] / sum(n)
@@ -161,7 +198,7 @@ def fit(texts: list[str], toxic: list[int], evidence_g: float = 15.0, odds: floa
     # Training sequences: clean documents, and toxic ones with a marked token.
     rows, gold, token, feature, base = [], [], [], [], 0
     for k in np.concatenate([np.flatnonzero((y == c) & ~held)[:chains] for c in (0, 1)]).tolist():
-        w = _TOKEN.findall(texts[k].lower())
+        w = tokens(texts[k])
         if not w:
             continue
         fs = [features(x) for x in w]
@@ -173,7 +210,7 @@ def fit(texts: list[str], toxic: list[int], evidence_g: float = 15.0, odds: floa
                 if f in names:
                     token.append(base + i)
                     feature.append(names[f])
-        rows.append(len(w))
+        rows += [piece] * (len(w) // piece) + [len(w) % piece] * (len(w) % piece > 0)
         gold.append(tags)
         base += len(w)
     model = Model()
@@ -181,31 +218,12 @@ def fit(texts: list[str], toxic: list[int], evidence_g: float = 15.0, odds: floa
         return model
     lengths, tags = np.array(rows), np.concatenate(gold)
     token, feature = np.array(token, np.int64), np.array(feature, np.int64)
-    begin = np.cumsum(lengths) - lengths
+    laid = grids(lengths)
     w, bias, trans = np.zeros(len(names)), -4.0, np.zeros((2, 2))
     speed = {k: 0.0 for k in "wbt"}
     speed["w"] = np.zeros(len(names))
     for step in range(rounds):
-        ratio = np.exp(np.clip(bias + np.bincount(token, weights=w[feature], minlength=len(tags)), -30, 30))
-        p, expect, have = np.empty(len(tags)), np.zeros((2, 2)), np.zeros((2, 2))
-        grid = np.exp(trans)
-        for block in blocks(lengths):
-            cells = [np.arange(begin[k], begin[k] + lengths[k]) for k in block]
-            r = matrix([ratio[c] for c in cells], 1.0)
-            fw, bw, m = marginals(r, lengths[block], trans)
-            for j, c in enumerate(cells):
-                p[c] = m[: len(c), j]
-            if len(r) > 1:
-                left, right = fw[:-1], r[1:] * bw[1:]
-                parts = [grid[0, 0] + 0 * left, grid[0, 1] * right, grid[1, 0] * left, grid[1, 1] * left * right]
-                total = np.where(np.arange(1, len(r))[:, None] < lengths[block][None, :], sum(parts), np.inf)
-                expect += np.array([(x / total).sum() for x in parts]).reshape(2, 2)
-        pairs = np.ones(len(tags), bool)
-        pairs[begin] = False
-        before = np.roll(tags, 1)
-        for i in (0, 1):
-            for j in (0, 1):
-                have[i, j] = ((before == i) & (tags == j) & pairs).sum()
+        p, have, expect = expectations(w, bias, trans, token, feature, tags, laid)
         scale = 1.0 / len(rows)
         slopes = {"w": np.bincount(feature, weights=(tags - p)[token], minlength=len(names)) * scale - 1e-4 * w, "b": (tags - p).sum() * scale, "t": (have - expect) * scale - 1e-3 * trans}
         rate = 0.5 if step < rounds * 2 // 3 else 0.15
@@ -219,7 +237,7 @@ def fit(texts: list[str], toxic: list[int], evidence_g: float = 15.0, odds: floa
     x, target = [], []
     emissions = Emissions(model)
     for k in np.flatnonzero(held):
-        r = np.array([emissions[t] for t in _TOKEN.findall(texts[k].lower())] or [0.0])
+        r = np.array([emissions[t] for t in tokens(texts[k])] or [0.0])
         x.append(evidence(marginals(r[:, None], np.array([len(r)]), trans)[2], np.array([len(r)]))[0])
         target.append(y[k])
     x, target = np.array(x), np.array(target, float)
@@ -238,7 +256,7 @@ def score_batches(batches: Iterator[pa.RecordBatch], model: Model, with_spans: b
             texts = [t or "" for t in batch.column(1).to_pylist()]
             score, spans = np.zeros(len(texts)), [[] for _ in texts]
             if model.calibration is not None:
-                words = [np.fromiter(map(emissions.__getitem__, _TOKEN.findall(t.lower())), float) for t in texts]
+                words = [np.fromiter(map(emissions.__getitem__, tokens(t)), float) for t in texts]
                 lengths = np.array([len(w) for w in words])
                 for block in blocks(np.maximum(lengths, 1)):
                     rows = [words[k] if lengths[k] else np.zeros(1) for k in block]
@@ -248,7 +266,7 @@ def score_batches(batches: Iterator[pa.RecordBatch], model: Model, with_spans: b
                         for j, k in enumerate(block):
                             hits = set(np.flatnonzero(p[:, j] > 0.5).tolist())
                             if hits:
-                                spans[k] = [{"start": m.start(), "end": m.end(), "marginal": float(p[i, j])} for i, m in enumerate(_TOKEN.finditer(texts[k].lower())) if i in hits]
+                                spans[k] = [{"start": m.start(), "end": m.end(), "marginal": float(p[i, j])} for i, m in enumerate(_TOKEN.finditer(texts[k])) if i in hits]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array(spans, _SPANS)], names=["doc_id", "score", "spans"])
 
 
@@ -299,4 +317,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sa
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return found.select("doc_id", (id_crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return found.select("doc_id", (id_crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
