@@ -99,19 +99,33 @@ class Finder:
         self.empty = not where
 
     def hits(self, text: str) -> list[dict]:
-        """The best match of each item in a plain text."""
-        found: dict[int, tuple[int, int]] = {}
-        tried = set()
+        """The best match of each item in a plain text.
+
+        Stretches of the text around the places of a piece are joined where they overlap, so a piece that is common in the
+        text has each character of it looked at once for an item, not once for each place.
+        """
+        spans: dict[int, list[list[int]]] = {}
         for end, (size, at) in [] if self.empty else self.machine.iter(text):
             for n, offset in at:
                 k, start = self.limits[n], end + 1 - size - offset
-                if found.get(n, (1, 0))[0] == 0 or (n, start) in tried:
-                    continue
-                tried.add((n, start))
-                first = max(0, start - k)
-                distance, stop = self.patterns[n].best(text[first : start + self.patterns[n].size + k], k)
-                if distance <= k and (n not in found or distance < found[n][0]):
+                first, last = max(0, start - k), min(len(text), start + self.patterns[n].size + k)
+                own = spans.setdefault(n, [])
+                # Places come by their end, pieces by offset: a stretch may begin before the ones known.
+                while own and first <= own[-1][1]:
+                    if own[-1][0] <= first:
+                        own[-1][1] = max(own[-1][1], last)
+                        break
+                    first, last = min(first, own[-1][0]), max(last, own.pop()[1])
+                else:
+                    own.append([first, last])
+        found: dict[int, tuple[int, int]] = {}
+        for n, own in spans.items():
+            for first, last in own:
+                distance, stop = self.patterns[n].best(text[first:last], self.limits[n])
+                if distance <= self.limits[n] and (n not in found or distance < found[n][0]):
                     found[n] = (distance, first + stop)
+                if distance == 0:
+                    break
         return [{"item_id": i, "distance": d, "end": e} for n, (d, e) in sorted(found.items()) for i in self.texts[self.known[n]]]
 
 

@@ -154,6 +154,21 @@ def test_decontamination(spark, docs, none):
     assert op4_decontaminate.contamination(docs, bench.limit(0)).filter("size(hits) > 0").count() == 0
 
 
+def test_places_of_a_common_piece_are_looked_at_together(monkeypatch):
+    """Distances equal a search of the whole text, and a hot piece has each character looked at about once."""
+    letters = np.array(list("ab cdefgh"))
+    for size in (3, 9):
+        items = [(k, p) for k in range(4) if (p := op4_decontaminate.plain("".join(RNG.choice(letters[:size], 45))))]
+        text = op4_decontaminate.plain("".join(RNG.choice(letters[:size], 400)) + " " + items[0][1][:20] + "x" + items[0][1][21:])
+        finder = op4_decontaminate.Finder(items, 12)
+        whole = {i: best[0] for n, t in enumerate(finder.known) if (best := finder.patterns[n].best(text, finder.limits[n]))[0] <= finder.limits[n] for i in finder.texts[t]}
+        assert {h["item_id"]: h["distance"] for h in finder.hits(text)} == whole and 0 in whole
+    seen, best = [], op4_decontaminate.Pattern.best
+    monkeypatch.setattr(op4_decontaminate.Pattern, "best", lambda self, text, limit: seen.append(len(text)) or best(self, text, limit))
+    hot = "abcdefghijkl " * 500
+    assert op4_decontaminate.Finder([(1, "abcdefghijkl " * 8 + "zz")], 12).hits(hot) and sum(seen) <= 1.1 * len(hot)
+
+
 def test_myers_against_the_plain_table():
     for _ in range(60):
         a, b = ("".join(RNG.choice(list("abc"), n)) for n in (RNG.integers(1, 12), RNG.integers(0, 25)))
