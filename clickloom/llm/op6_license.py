@@ -69,13 +69,14 @@ SENTENCES = {
     46: "spdx license identifier unlicense",
     47: "spdx license identifier zlib",
     48: "spdx license identifier cc0 1 0",
+    49: "licensed under the educational community license version 2 0",
+    50: "spdx license identifier ecl 2 0",
 }
 
 # Licence, and the sentences that show it, in order.
 RULES = (
     ("Apache-2.0", (1,)),
     ("Apache-2.0", (10, 11)),
-    ("Apache-2.0", (10, 12)),
     ("Apache-2.0", (10, 36)),
     ("Apache-2.0", (20,)),
     ("AGPL-3.0-or-later", (29,)),
@@ -89,6 +90,8 @@ RULES = (
     ("CC-BY-4.0", (22,)),
     ("CC-BY-NC-4.0", (4,)),
     ("CC-BY-SA-4.0", (6,)),
+    ("ECL-2.0", (49,)),
+    ("ECL-2.0", (50,)),
     ("GPL-3.0", (2,)),
     ("GPL", (14, 15, 16)),
     ("GPL-2.0-only", (26,)),

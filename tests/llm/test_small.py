@@ -300,6 +300,14 @@ def test_versions_and_longer_notices(spark):
     assert [(k, v) for k, v in got if k and v != [k]] == [] and (None, []) in got
 
 
+def test_headers_that_licences_share(spark):
+    """What several licences' headers say names none of them; a sentence of its own does."""
+    header = 'Licensed under the Educational Community License, Version 2.0 (the "License").\nyou may not use this file except in compliance with the License.\nSee the License for the specific language governing permissions and\nlimitations under the License.'
+    texts = [(1, header.replace(' (the "License")', "")), (2, header.split("\n", 1)[1]), (3, "// SPDX-License-Identifier: ECL-2.0")]
+    got = {r.doc_id: r.licenses for r in op6_license.license_scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == {1: ["ECL-2.0"], 2: [], 3: ["ECL-2.0"]}
+
+
 def test_license_with_clashing_names(spark):
     table = spark.createDataFrame([(1, "Released under the MIT License", "a", "b"), (1, "Released under the MIT License", "a", "b")], "doc_id long, text string, licenses string, stretches string")
     assert [list(r.licenses) for r in op6_license.license_scan(table).collect()] == [["MIT"], ["MIT"]]
