@@ -17,8 +17,17 @@ def test_without_sql(spark, name):
         rows = found.toPandas()
         score = 0.3 * rows.lstm_anomaly_score + 0.3 * rows.prophet_anomaly_score + 0.25 * rows.isolation_forest_anomaly_score + 0.15 * rows.changepoint_anomaly_score
         assert len(rows) and (score - rows.ensemble_score).abs().max() < 1e-5
-    else:
-        assert found.count() >= 0
+        return
+    rows = found.toPandas()
+    # A month of a few events an hour need not shift anywhere.
+    assert len(rows) or name.startswith("changepoints_")
+    for column in [c for c in rows.columns if c.endswith("_anomaly_score")]:
+        assert rows[column].between(0, 1).all(), column
+    if name in ("seasonal_scores", "seasonal_forecast"):
+        low, high = rows.filter(regex="lower$").iloc[:, 0], rows.filter(regex="upper$").iloc[:, 0]
+        assert (low.dropna() <= high.dropna()).all()
+    if name == "described_quantiles":
+        assert (rows[["least", "p25", "p50", "p75", "greatest"]].diff(axis=1).iloc[:, 1:] >= 0).all(axis=None)
 
 
 def test_entry(spark):

@@ -178,3 +178,19 @@ def test_a_failed_search_is_one_row(spark, monkeypatch):
     rows = series(spark).withColumn("conversion_rate", F.when(F.col("brand") == "good", F.col("conversion_rate")).otherwise(F.lit(float("inf"))))
     found = changepoints.changepoints(rows, cost="l2").collect()
     assert all(r.brand == "good" or (r.error and r.changepoint_time is None) for r in found)
+
+
+def test_routes_of_the_starter(spark, capfd):
+    """A file stream to the console, and names that are refused. Routes through a broker need its connector."""
+    at = scratch.path(spark, "t")
+    spark.createDataFrame([event(k) for k in range(5)], RAW).select("event_time", "event_type", "brand", "user_session", "price").coalesce(1).write.parquet(f"{at}/in")
+    query = streaming.start_pipeline(spark, "file", "console", path=f"{at}/in")
+    try:
+        query.processAllAvailable()
+        assert query.isActive and streaming.progress(query)["batch"] >= 0
+    finally:
+        streaming.stop_all(spark)
+    assert not spark.streams.active
+    for source, sink in (("tape", "console"), ("file", "printer")):
+        with pytest.raises(ValueError):
+            streaming.start_pipeline(spark, source, sink, path=f"{at}/in")
