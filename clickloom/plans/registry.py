@@ -66,6 +66,11 @@ def series(s: SparkSession, d: str) -> DataFrame:
     return funnel.windowed(funnel.enrich(silver(s, d)), F.col("category_root").alias("brand"), "6 hours")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """As a table: what reads a gold table several times reads it there, and not its events again."""
+    return scratch.save(df, name)
+
+
 def scores(s: SparkSession, d: str) -> DataFrame:
     """The series with made-up model scores, the same in SQL."""
     rows = series(s, d).filter("brand IS NOT NULL")
@@ -169,13 +174,18 @@ ZS = ("conv_mean_brand", "conv_std_brand", "conv_mean_brand_hour", "conv_std_bra
 
 
 def found(s: SparkSession, d: str) -> DataFrame:
-    return anomaly.zscore_anomalies(series(s, d), CFG)
+    return anomaly.zscore_anomalies(written(series(s, d), "series"), CFG)
+
+
+def overlaid(s: SparkSession, d: str) -> DataFrame:
+    gold = written(series(s, d), "series")
+    return anomaly.overlay(gold, anomaly.zscore_anomalies(gold, CFG))
 
 
 ZSQL = f"{SERIES},{Z}"
 COUNTS = "count(*) AS n, count(*) FILTER (anomaly_type = 'drop') AS drops, count(*) FILTER (anomaly_type = 'spike') AS spikes"
 SHOW = "brand, window_start, views, conversion_rate, z_brand"
-add("anomaly_baselines", lambda s, d: anomaly.with_zscores(series(s, d), CFG), ZSQL + "\nFINAL SELECT * FROM z", (*GOLD, *ZS))
+add("anomaly_baselines", lambda s, d: anomaly.with_zscores(written(series(s, d), "series"), CFG), ZSQL + "\nFINAL SELECT * FROM z", (*GOLD, *ZS))
 add("anomalies_zscore", found, ZSQL + "\nFINAL SELECT * FROM a", (*GOLD, *ZS))
 add("top_drops", lambda s, d: anomaly.worst_drops(found(s, d)).select(*SHOW.split(", ")), ZSQL + f"\nFINAL SELECT {SHOW} FROM a WHERE anomaly_type = 'drop' ORDER BY z_brand, brand, window_start LIMIT 10", ("conversion_rate", "z_brand"))
 add("top_spikes", lambda s, d: anomaly.top_spikes(found(s, d)).select(*SHOW.split(", ")), ZSQL + f"\nFINAL SELECT {SHOW} FROM a WHERE anomaly_type = 'spike' ORDER BY z_brand DESC, brand, window_start LIMIT 10", ("conversion_rate", "z_brand"))
@@ -183,9 +193,9 @@ for _name, _by in (("type", "anomaly_type"), ("brand", "brand"), ("day", "window
     add(f"anomalies_by_{_name}", lambda s, d, by=_by: anomaly.count_by(found(s, d), by), f"{ZSQL}\nFINAL SELECT {_by}, {COUNTS} FROM a GROUP BY 1")
 add("anomaly_pattern", lambda s, d: anomaly.pattern(found(s, d)), f"{ZSQL}, o AS (SELECT {COUNTS}, avg(abs(z_brand)) AS mean_abs_z, count(DISTINCT coalesce(brand, '')) AS brands FROM a)\nFINAL SELECT *, (SELECT hour_of_day FROM a GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS peak_hour, drops * 100.0 / n AS drop_pct, spikes * 100.0 / n AS spike_pct FROM o", ("mean_abs_z", "drop_pct", "spike_pct"))
 add("severity_labels", lambda s, d: anomaly.severity_label(found(s, d)).select("brand", "window_start", "severity"), ZSQL + "\nFINAL SELECT brand, window_start, CASE WHEN abs(z_brand) > 3 THEN 'High' WHEN abs(z_brand) > 2.5 THEN 'Medium' ELSE 'Low' END AS severity FROM a")
-add("overlay_brand_anomalies", lambda s, d: anomaly.overlay(series(s, d), found(s, d)), ZSQL + "\nFINAL SELECT gold.brand, gold.window_start, gold.conversion_rate, a.anomaly_type FROM gold LEFT JOIN a ON gold.brand = a.brand AND gold.window_start = a.window_start", ("conversion_rate",))
+add("overlay_brand_anomalies", lambda s, d: overlaid(s, d), ZSQL + "\nFINAL SELECT gold.brand, gold.window_start, gold.conversion_rate, a.anomaly_type FROM gold LEFT JOIN a ON gold.brand = a.brand AND gold.window_start = a.window_start", ("conversion_rate",))
 NATIVE = """, n AS (SELECT *, z_brand AS z_score, abs(z_brand) AS size FROM z)"""
-add("native_anomalies", lambda s, d: anomaly.native(series(s, d), CFG).select("brand", "window_start", "z_score", "ensemble_score", "anomaly_type", "severity", "is_anomaly", "confidence", "expected_conversion", "deviation_pct", "conversion_loss", "revenue_impact"), ZSQL + NATIVE + """
+add("native_anomalies", lambda s, d: anomaly.native(written(series(s, d), "series"), CFG).select("brand", "window_start", "z_score", "ensemble_score", "anomaly_type", "severity", "is_anomaly", "confidence", "expected_conversion", "deviation_pct", "conversion_loss", "revenue_impact"), ZSQL + NATIVE + """
 FINAL SELECT brand, window_start, z_score, (CASE WHEN size > 3 THEN 1.0 WHEN size > 2.5 THEN 0.8 WHEN size > 2 THEN 0.6 WHEN size > 1.5 THEN 0.4 ELSE 0 END)::DOUBLE AS ensemble_score,
   CASE WHEN z_score <= -1.1 THEN 'drop' WHEN z_score >= 1.1 THEN 'spike' ELSE 'none' END AS anomaly_type, CASE WHEN size >= 3 THEN 'critical' WHEN size >= 2.5 THEN 'high' WHEN size >= 2 THEN 'medium' WHEN size >= 1.5 THEN 'low' ELSE 'normal' END AS severity,
   views >= 2 AND size >= 1.1 AS is_anomaly, (CASE WHEN views >= 200 THEN 0.9 WHEN views >= 100 THEN 0.7 WHEN views >= 50 THEN 0.5 ELSE 0.3 END)::DOUBLE AS confidence, conv_mean_brand AS expected_conversion,
@@ -242,7 +252,7 @@ add("model_score_corr", lambda s, d: ensemble.score_correlations(scores(s, d), "
 
 
 def causes(s: SparkSession, d: str) -> DataFrame:
-    history = scores(s, d).withColumn("avg_order_value", F.when(F.col("purchases") > 0, F.col("revenue") / F.col("purchases")))
+    history = written(scores(s, d), "scores").withColumn("avg_order_value", F.when(F.col("purchases") > 0, F.col("revenue") / F.col("purchases")))
     return rca.priority(rca.root_causes(history.filter("is_anomaly"), history))
 
 

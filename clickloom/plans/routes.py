@@ -12,7 +12,7 @@ from ..streaming import funnel as streaming
 from . import lakehouse
 from .registry import (
     BANDS, BASE, CLOSED, DAILY_BRAND, DAILY_CATEGORY, ENS, ESQL, EVENT, FUNNEL, FUNNELS, GOLD, HOURLY, INTER, KPI, NATIVE, RCA, SERIES, SHOW, STAT, STATS, SUMS, TIME, Z, ZS, ZSQL, _gold, add, causes, closed,
-    daily_brand, daily_category, found, hourly_brand, plain_times, price_bands, raw, scores, series, stream_input, streamed,
+    daily_brand, daily_category, found, hourly_brand, plain_times, price_bands, raw, scores, series, stream_input, streamed, written,
 )
 
 # Sources and sinks: through files and back.
@@ -92,7 +92,7 @@ add("report_csv", exported, ESQL + f"\nFINAL SELECT {REPORT} FROM s WHERE is_ano
 def exported_json(s: SparkSession, d: str) -> DataFrame:
     """Alerts with their nested fields, a JSON object each, and back."""
     at = scratch.path(s, "report")
-    history = scores(s, d).withColumn("avg_order_value", F.when(F.col("purchases") > 0, F.col("revenue") / F.col("purchases")))
+    history = written(scores(s, d), "scores").withColumn("avg_order_value", F.when(F.col("purchases") > 0, F.col("revenue") / F.col("purchases")))
     found = rca.export(rca.alerts(history.filter("is_anomaly"), history), "json")
     sinks.export_json(found, at)
     back = s.read.schema(found.schema).json(at)
@@ -105,8 +105,8 @@ FINAL SELECT 'bronze' AS table_name, count(*) AS n_rows FROM raw UNION ALL SELEC
   UNION ALL SELECT 'daily_brand', count(*) FROM db UNION ALL SELECT 'daily_category', count(*) FROM dc UNION ALL SELECT 'hourly_price_band', count(*) FROM pb""")
 
 # Anomalies at the production grain and thresholds.
-add("anomalies_production", lambda s, d: anomaly.zscore_anomalies(dense_hourly(s, d)), DENSE_HOURLY + "," + ZPROD + "\nFINAL SELECT * FROM a", (*GOLD, *ZS))
-add("native_production", lambda s, d: anomaly.native(dense_hourly(s, d)).select("brand", "window_start", "z_score", "anomaly_type", "severity", "is_anomaly", "confidence"), DENSE_HOURLY + "," + ZPROD + NATIVE + """
+add("anomalies_production", lambda s, d: anomaly.zscore_anomalies(written(dense_hourly(s, d), "hourly")), DENSE_HOURLY + "," + ZPROD + "\nFINAL SELECT * FROM a", (*GOLD, *ZS))
+add("native_production", lambda s, d: anomaly.native(written(dense_hourly(s, d), "hourly")).select("brand", "window_start", "z_score", "anomaly_type", "severity", "is_anomaly", "confidence"), DENSE_HOURLY + "," + ZPROD + NATIVE + """
 FINAL SELECT brand, window_start, z_score, CASE WHEN z_score <= -2 THEN 'drop' WHEN z_score >= 2 THEN 'spike' ELSE 'none' END AS anomaly_type, CASE WHEN size >= 3 THEN 'critical' WHEN size >= 2.5 THEN 'high' WHEN size >= 2 THEN 'medium' WHEN size >= 1.5 THEN 'low' ELSE 'normal' END AS severity,
   views >= 50 AND size >= 2 AS is_anomaly, (CASE WHEN views >= 200 THEN 0.9 WHEN views >= 100 THEN 0.7 WHEN views >= 50 THEN 0.5 ELSE 0.3 END)::DOUBLE AS confidence FROM n""", ("z_score",))
 add("underperforming_production", lambda s, d: reports.underperforming(funnel.daily_brand(funnel.dedup(funnel.clean(dense(s, d))))), f"{DENSE},\n{_gold('gold', None, 'brand_norm', 'brand')},\n{KPI}, k AS (SELECT brand, views, carts, purchases, revenue, conversion_pct FROM kpi WHERE views >= 1000 AND conversion_pct IS NOT NULL), c AS (SELECT quantile_disc(conversion_pct, 0.25) AS cut FROM k)\nFINAL SELECT k.* FROM k, c WHERE conversion_pct < cut", ("revenue", "conversion_pct"))
@@ -130,13 +130,13 @@ WORDS = "array_to_string(list_transform(o[1:3], lambda x: CASE x.metric WHEN 'vi
 
 
 def latest_alerts(s: SparkSession, d: str) -> DataFrame:
-    history = scores(s, d).withColumn("avg_order_value", F.when(F.col("purchases") > 0, F.col("revenue") / F.col("purchases")))
+    history = written(scores(s, d), "scores").withColumn("avg_order_value", F.when(F.col("purchases") > 0, F.col("revenue") / F.col("purchases")))
     return rca.latest(rca.alerts(history.filter("is_anomaly"), history)).select("alert_id", "window_start", "priority", "text", "ensemble_score")
 
 
 def alert_records(s: SparkSession, d: str) -> DataFrame:
     """Every field of every alert, nested ones side by side."""
-    history = scores(s, d).withColumn("avg_order_value", F.when(F.col("purchases") > 0, F.col("revenue") / F.col("purchases")))
+    history = written(scores(s, d), "scores").withColumn("avg_order_value", F.when(F.col("purchases") > 0, F.col("revenue") / F.col("purchases")))
     return rca.alerts(history.filter("is_anomaly"), history).select("*", "model_scores.*", "when.*").drop("model_scores", "when")
 
 
