@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -196,7 +197,7 @@ def fit(texts: list[str], toxic: list[int], evidence_g: float = 10.0, odds: floa
     marks = {f for f, v in lift.items() if v >= odds}
     names = {f: k for k, f in enumerate(sorted(lift))}
     # Training sequences: clean documents, and toxic ones with a marked token.
-    rows, gold, token, feature, base = [], [], [], [], 0
+    rows, gold, token, feature, base = [], [], array("q"), array("q"), 0  # millions of features
     for k in np.concatenate([np.flatnonzero((y == c) & ~held)[:chains] for c in (0, 1)]).tolist():
         w = tokens(texts[k])
         if not w:
