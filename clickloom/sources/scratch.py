@@ -36,6 +36,12 @@ def save(df: DataFrame, name: str) -> DataFrame:
 
 
 def clear(spark: SparkSession) -> None:
-    """Deletes all scratch of the session; results that still read it must have been written elsewhere."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(folder(spark))
+    """Deletes all scratch of the session, and the names of tables that lie in it; results that still read it must have been written elsewhere."""
+    own = folder(spark)
+    for table in spark.catalog.listTables():
+        if table.name.startswith("clickloom_") and not table.isTemporary:
+            where = spark.sql(f"DESCRIBE TABLE EXTENDED {table.name}").filter("col_name = 'Location'").first()
+            if where and where.data_type.removeprefix("file:").lstrip("/").startswith(own.removeprefix("file:").lstrip("/") + "/"):
+                spark.sql(f"DROP TABLE {table.name}")
+    at = spark._jvm.org.apache.hadoop.fs.Path(own)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -194,3 +194,15 @@ def test_routes_of_the_starter(spark, capfd):
     for source, sink in (("tape", "console"), ("file", "printer")):
         with pytest.raises(ValueError):
             streaming.start_pipeline(spark, source, sink, path=f"{at}/in")
+
+
+def test_clear_drops_names_of_tables_in_scratch(spark, tmp_path):
+    """Tables of other folders stay, as those of other sessions would."""
+    rows = spark.range(5)
+    for name, path in (("clickloom_inside", scratch.path(spark, "t")), ("clickloom_outside", f"file://{tmp_path}/t")):
+        rows.write.option("path", path).bucketBy(2, "id").sortBy("id").saveAsTable(name)
+    scratch.clear(spark)
+    left = {t.name for t in spark.catalog.listTables()}
+    assert "clickloom_outside" in left and "clickloom_inside" not in left
+    spark.sql("DROP TABLE clickloom_outside")
+    scratch.clear(spark)  # nothing there any more
