@@ -86,6 +86,13 @@ def native(gold: DataFrame, cfg: ZScore = ZScore()) -> DataFrame:
     })
 
 
+def as_models(rows: DataFrame, cfg: ZScore = ZScore(), full: float = 4.0) -> DataFrame:
+    """z-scores as two models for the ensemble, `brand` and `brand_hour`: a score of 1 from `full` deviations on, a flag from the threshold on; the brand's mean is what is expected."""
+    size = {m: F.abs(f"z_{m}") for m in ("brand", "brand_hour")}
+    scores = {f"{m}_anomaly_score": F.least(z / full, F.lit(1.0)) for m, z in size.items()}
+    return rows.withColumns(scores | {f"{m}_is_anomaly": z >= cfg.threshold for m, z in size.items()} | {"brand_avg_conversion": F.col("conv_mean_brand")})
+
+
 def overlay(gold: DataFrame, anomalies: DataFrame) -> DataFrame:
     """The series with its anomaly markers."""
     marks = anomalies.select("brand", "window_start", "anomaly_type")

@@ -1,15 +1,15 @@
-"""Registered queries of tables that are built again, of exact ranks and splits, and of summaries kept by day."""
+"""Registered queries of tables that are built again, of exact ranks and splits, of summaries kept by day, and of ensembles over deviations."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import features, ranks, summary
-from ..settings import ZScore
+from ..operators import anomaly, ensemble, features, ranks, summary
+from ..settings import Ensemble, ZScore
 from ..sources import events, manifest, scratch, sinks
 from . import lakehouse
-from .registry import BASE, FUNNEL, HOURLY, SERIES, Z, _gold, add, funnel_rows, hourly_brand, raw
+from .registry import BASE, CFG, FUNNEL, HOURLY, SERIES, Z, ZSQL, _gold, add, funnel_rows, hourly_brand, raw, series, written
 from .routes import as_csv
 
 GATE = ZScore(min_baseline_views=1, min_flag_views=2, threshold=1.1)
@@ -107,3 +107,24 @@ EXACT = " UNION ALL ".join(map(exact, MEASURES))
 add("described_columns", lambda s, d: summary.described(kept_days(s, d)).select("column_name", "n", "mean", "stddev", "least", "greatest"), HOURLY + f", w AS (SELECT * FROM gold)\nFINAL {EXACT}", ("mean", "stddev", "least", "greatest"))
 add("described_range", lambda s, d: summary.described(kept_days(s, d), "2024-01-08", "2024-01-14").select("column_name", "n", "mean", "stddev", "least", "greatest"), HOURLY + f", w AS (SELECT * FROM gold WHERE window_date BETWEEN '2024-01-08' AND '2024-01-14')\nFINAL {EXACT}", ("mean", "stddev", "least", "greatest"))
 add("described_quantiles", lambda s, d: summary.described(kept_days(s, d)))
+
+# Ensembles of scores that the data gives: deviations from the brand, and from the brand at that hour.
+TWO = Ensemble(weights={"brand": 0.6, "brand_hour": 0.4}, threshold=0.25, severity=(("critical", 0.5), ("high", 0.4), ("medium", 0.3), ("low", 0.2)))
+
+
+def deviations(s: SparkSession, d: str) -> DataFrame:
+    rows = written(anomaly.as_models(anomaly.with_zscores(written(series(s, d), "series"), CFG), CFG), "models")
+    return ensemble.kind(ensemble.severity(ensemble.impact(ensemble.combine(rows, TWO)), TWO))
+
+
+DEVIATIONS = ZSQL + """, t AS (SELECT *, least(abs(z_brand) / 4, 1) AS p, least(abs(z_brand_hour) / 4, 1) AS i, conv_mean_brand AS expected_conversion FROM z),
+e AS (SELECT *, p * 0.6::DOUBLE + i * 0.4::DOUBLE AS ensemble_score, ((abs(z_brand) >= 1.1)::INTEGER + (abs(z_brand_hour) >= 1.1)::INTEGER)::INTEGER AS n_models_flagged FROM t),
+g AS (SELECT *, n_models_flagged / 2.0::DOUBLE AS confidence, ensemble_score > 0.25 AS is_anomaly FROM e),
+s AS (SELECT *, CASE WHEN ensemble_score >= 0.5 THEN 'critical' WHEN ensemble_score >= 0.4 THEN 'high' WHEN ensemble_score >= 0.3 THEN 'medium' WHEN ensemble_score >= 0.2 THEN 'low' ELSE 'normal' END AS severity,
+  CASE WHEN is_anomaly AND conversion_rate > 1.2 * expected_conversion THEN 'spike' WHEN is_anomaly AND conversion_rate < 0.8 * expected_conversion THEN 'drop' WHEN is_anomaly THEN 'anomaly' ELSE 'none' END AS anomaly_type,
+  (purchases - views * expected_conversion) * coalesce(CASE WHEN purchases > 0 THEN revenue / purchases END, CASE WHEN views > 0 THEN revenue / views END, 0) AS revenue_impact, views * expected_conversion - purchases AS conversion_loss FROM g)"""
+add("deviation_ensemble", lambda s, d: deviations(s, d).select("brand", "window_start", "ensemble_score", "n_models_flagged", "confidence", "is_anomaly", "severity", "anomaly_type", "revenue_impact", "conversion_loss"), DEVIATIONS + "\nFINAL SELECT brand, window_start, ensemble_score, n_models_flagged, confidence, is_anomaly, severity, anomaly_type, revenue_impact, conversion_loss FROM s", ("ensemble_score", "revenue_impact", "conversion_loss"))
+add("deviation_dashboard", lambda s, d: ensemble.dashboard(deviations(s, d)), DEVIATIONS + ", w AS (SELECT brand, window_start FROM s WHERE is_anomaly ORDER BY abs(revenue_impact) DESC, brand, window_start LIMIT 1)\nFINAL SELECT count(*) AS anomalies, count(*) FILTER (severity = 'critical') AS critical, count(*) FILTER (severity = 'high') AS high, sum(revenue_impact) AS revenue_impact, (SELECT brand FROM w) AS worst_brand, (SELECT window_start FROM w) AS worst_window FROM s WHERE is_anomaly", ("revenue_impact",))
+for _by in ("severity", "anomaly_type"):
+    add(f"deviation_impact_by_{_by}", lambda s, d, by=_by: ensemble.assessment(deviations(s, d), by), DEVIATIONS + f"\nFINAL SELECT {_by}, count(*) AS n, sum(revenue_impact) AS revenue_impact, avg(revenue_impact) AS mean_revenue_impact, sum(conversion_loss) AS conversion_loss FROM s WHERE is_anomaly GROUP BY 1", ("revenue_impact", "mean_revenue_impact", "conversion_loss"))
+add("deviation_correlation", lambda s, d: ensemble.score_correlations(deviations(s, d), "brand_anomaly_score", "brand_hour_anomaly_score"), DEVIATIONS + "\nFINAL SELECT corr(p, i) AS brand_anomaly_score__brand_hour_anomaly_score FROM s", ("brand_anomaly_score__brand_hour_anomaly_score",))
