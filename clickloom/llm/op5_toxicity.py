@@ -179,17 +179,27 @@ def fit(texts: list[str], toxic: list[int], evidence_g: float = 10.0, odds: floa
         return Model()
     group = near_copies(texts)
     held = (group * 2654435761 >> 7) % 4 == 3
-    seen: list[Counter] = [Counter(), Counter()]
-    known: dict[str, list[str]] = {}
     order = np.argsort(group, kind="stable")
-    for members in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
-        for c in (0, 1):
-            of = [k for k in members if y[k] == c and not held[k]]
-            words = {x for k in of for x in tokens(texts[k])}
-            seen[c].update({f for x in words for f in known.get(x) or known.setdefault(x, features(x))})
+    groups = np.split(order, np.flatnonzero(np.diff(group[order])) + 1)
     n = [max(1, len(set(group[(y == c) & ~held].tolist()))) for c in (0, 1)]
     share = n[1] / sum(n)
 
+    def documents(c: int) -> Iterator[set[str]]:
+        """Features of each group's documents of one class."""
+        for members in groups:
+            words = {x for k in members if y[k] == c and not held[k] for x in tokens(texts[k])}
+            if words:
+                yield {f for x in words for f in features(x)}
+
+    # In fewer toxic documents than this no feature can reach the evidence; of clean documents only the others are counted, as most words occur once.
+    least = evidence_g / (2 * np.log(1 / share))
+    seen: list[Counter] = [Counter(), Counter()]
+    for found in documents(1):
+        seen[1].update(found)
+    seen[1] = Counter({f: v for f, v in seen[1].items() if v >= least})
+    for found in documents(0):
+        seen[0].update(f for f in found if f in seen[1])
+
     def ratio(a: int, b: int) -> float:
         return 2 * sum(x * np.log(x / ((a + b) * q)) for x, q in ((a, share), (b, 1 - share)) if x)
 
