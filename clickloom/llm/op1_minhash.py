@@ -142,12 +142,11 @@ def equal_digits(packed: np.ndarray, one: np.ndarray, minima: int) -> np.ndarray
     return minima - np.bitwise_count(x).sum(1, dtype=np.int64)
 
 
-def links_between(square: pd.DataFrame, size: int, percent: int, least: float, minima: int) -> list[tuple[int, int]]:
-    """Confirmed links between different components in one square of a bucket, as few as join them.
+def likely_pairs(square: pd.DataFrame, least: float, minima: int) -> list[tuple[float, int, int]]:
+    """Pairs of places in one square of a bucket, in different components, whose estimate reaches least; the estimate comes first, negated.
 
     side: 0 rows, members outside the bucket's largest component; 1 columns of that component; 2 other columns.
-    The estimate takes off what chance makes equal, one digit in 16. A pair is looked at in the first bucket it
-    shares only, and not at all once a link found before has joined its components.
+    The estimate takes off what chance makes equal, one digit in 16. A pair is looked at in the first bucket it shares only.
     """
     node, label, side, band = (square[c].to_numpy() for c in ("node", "label", "side", "band"))
     keys = np.stack(square["keys"].to_list())
@@ -164,6 +163,13 @@ def links_between(square: pd.DataFrame, size: int, percent: int, least: float, m
         other, near = other[near >= least], near[near >= least]
         first = (keys[other] == keys[k]).argmax(1) == band[k]
         pairs += zip((-near[first]).tolist(), [k] * int(first.sum()), other[first].tolist(), strict=True)
+    return pairs
+
+
+def links_between(square: pd.DataFrame, size: int, percent: int, least: float, minima: int) -> list[tuple[int, int]]:
+    """Confirmed links between different components in one square of a bucket, as few as join them: a pair is not looked at once a link found before has joined its components."""
+    node, label = square["node"].to_numpy(), square["label"].to_numpy()
+    pairs = likely_pairs(square, least, minima)
     if not pairs:
         return []
     parent: dict[int, int] = {}
@@ -217,11 +223,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     dealt = save(labelled.join(mixed, "key").select("key", "node", "label", squares.alias("s")).select("key", "node", "label", "s.*"), "squares")
     # Several squares make a group, so that small buckets do not cost a call each.
     groups = max(2 * shuffle_partitions(docs.sparkSession), dealt.count() // 2048)
-    full = dealt.join(classes.select("node", "keys", "digits"), "node").join(texts.withColumnRenamed("doc_id", "node"), "node")
-    full = full.withColumns({"band": F.array_position("keys", F.col("key")) - 1, "group": F.pmod(F.xxhash64("key", "row", "column"), F.lit(groups))})
+    signed = dealt.join(classes.select("node", "keys", "digits"), "node")
+    signed = signed.withColumns({"band": F.array_position("keys", F.col("key")) - 1, "group": F.pmod(F.xxhash64("key", "row", "column"), F.lit(groups))})
+    least, minima, by = percent / 100 - margin, bands * rows, ["key", "row", "column", "side", "node"]
+
+    def partners(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = [square.iloc[sorted({i for _, *pair in likely_pairs(square, least, minima) for i in pair})] for _, square in pdf.groupby(["key", "row", "column"])]
+        return pd.concat(found)[by]
+
+    # Signatures alone say who may have a partner; texts are joined to those only.
+    paired = save(signed.groupBy("group").applyInPandas(partners, "key long, row long, column long, side int, node long"), "paired")
+    full = signed.join(paired, by).join(texts.withColumnRenamed("doc_id", "node"), "node")
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = [x for _, square in pdf.groupby(["key", "row", "column"]) for x in links_between(square, size, percent, percent / 100 - margin, bands * rows)]
+        found = [x for _, square in pdf.groupby(["key", "row", "column"]) for x in links_between(square, size, percent, least, minima)]
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     more = save(full.groupBy("group").applyInPandas(search, "a long, b long").distinct(), "links")
