@@ -53,3 +53,22 @@ def test_rows_that_near_dedup_keeps(spark, tmp_path):
     docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
     found = cp.near_dedup(spark, docs, str(tmp_path))
     assert found.columns == docs.columns and Counter(map(tuple, found.collect())) == plain(rows)
+
+
+def test_texts_go_to_likely_partners_only(spark, monkeypatch):
+    """Documents that share a third of their shingles meet in many buckets; signatures tell that none is a copy, and no text is joined."""
+    from clickloom.llm import op1_minhash as op1
+
+    common = prose(40)
+    near = [*common.split(), *prose(40).split()]
+    rows = [(k, f"{common} {prose(40)}") for k in range(60)] + [(100, " ".join(near)), (101, " ".join([*near[:-2], "x", "y"]))]
+    saved, save = {}, op1.save
+
+    def watched(df, name):
+        saved[name] = out = save(df, name)
+        return out
+
+    monkeypatch.setattr(op1, "save", watched)
+    found = {r.doc_id: r.component_id for r in op1.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), rows=1).collect()}
+    assert found == {k: k for k in range(60)} | {100: 100, 101: 100}
+    assert saved["squares"].count() > 500 and saved["paired"].count() < 0.05 * saved["squares"].count()
