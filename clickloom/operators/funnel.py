@@ -10,24 +10,36 @@ from ..functions import expr
 DEDUP_KEY = ("event_time", "user_id", "user_session", "product_id", "event_type")
 
 
-def clean(raw: DataFrame) -> DataFrame:
-    out = raw.filter(expr.is_valid()).withColumns({
+#: What cleaning adds, and the columns that each is made from.
+DERIVED = {"brand_norm": "brand", "category_code_norm": "category_code", "dq_missing_session": "user_session", "dq_missing_brand": "brand", "dq_missing_category": "category_code"}
+
+
+def derive(events: DataFrame) -> DataFrame:
+    return events.withColumns({
         "brand_norm": F.lower("brand"), "category_code_norm": expr.category_norm(F.col("category_code")),
         "dq_missing_session": F.col("user_session").isNull(), "dq_missing_brand": F.col("brand").isNull(), "dq_missing_category": F.col("category_code").isNull(),
     })
+
+
+def clean(raw: DataFrame) -> DataFrame:
+    out = derive(raw.filter(expr.is_valid()))
     return out if "event_date" in out.columns else out.withColumn("event_date", F.to_date("event_time"))
 
 
 def dedup(silver: DataFrame) -> DataFrame:
     """One event for each key: of a batch the cheapest (then the least of the other columns), so that runs agree.
 
-    A stream keeps the first that comes, needs a watermark and forgets keys beyond it.
+    What cleaning has added is not carried along but made again of the row that stays. A stream keeps the first that
+    comes, needs a watermark and forgets keys beyond it.
     """
     if silver.isStreaming:
         return silver.dropDuplicatesWithinWatermark(list(DEDUP_KEY))
-    rest = sorted((c for c in silver.columns if c not in DEDUP_KEY), key=lambda c: c != "price")
-    least = silver.groupBy(*DEDUP_KEY).agg(F.min(F.struct(*rest)).alias("least"))
-    return least.select(*[F.col(f"least.{c}").alias(c) if c in rest else c for c in silver.columns])
+    cleaned = set(DERIVED) | set(DERIVED.values()) <= set(silver.columns)
+    base = silver.drop(*DERIVED) if cleaned else silver
+    rest = sorted((c for c in base.columns if c not in DEDUP_KEY), key=lambda c: c != "price")
+    least = base.groupBy(*DEDUP_KEY).agg(F.min(F.struct(*rest)).alias("least"))
+    kept = least.select(*[F.col(f"least.{c}").alias(c) if c in rest else c for c in base.columns])
+    return (derive(kept) if cleaned else kept).select(*silver.columns)
 
 
 def enrich(silver: DataFrame) -> DataFrame:

@@ -33,6 +33,16 @@ def test_dedup_keeps_the_cheapest(spark):
     assert sorted((r.user_id, r.price) for r in out.collect()) == [(1, 1.0), (2, 5.0)] and out.columns == funnel.clean(spark.createDataFrame(rows, SCHEMA)).columns
 
 
+def test_dedup_makes_again_what_cleaning_added(spark):
+    raw = spark.createDataFrame([event(2.0, brand="Big", code="X Y"), event(1.0, brand=None, code="Q R")], SCHEMA)
+    row = funnel.dedup(funnel.clean(raw)).first()
+    assert (row.price, row.brand, row.brand_norm, row.dq_missing_brand, row.category_code_norm, row.dq_missing_session) == (1.0, None, None, True, "q_r", False)
+    plain = funnel.dedup(raw).first()
+    assert funnel.dedup(raw).columns == raw.columns and (plain.price, plain.category_code) == (1.0, "Q R")
+    narrow = funnel.dedup(funnel.clean(raw).drop("category_code")).first()  # what it was made from is gone: carried along
+    assert (narrow.price, narrow.category_code_norm) == (1.0, "q_r")
+
+
 def test_a_missing_metric_is_no_cause(spark):
     """Without a purchase there is no order value, and so no deviation of it."""
     fields = "brand string, window_start timestamp, views long, conversion_rate double, carts long, revenue double, avg_order_value double"
