@@ -3,22 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import funnel
-from ..sources import events, scratch
+from ..sources import events, manifest, scratch
 from ..streaming import funnel as streaming
 from ..streaming import stateful
 from .registry import BASE, CLOSED, GOLD, HOURLY, add, closed, hourly_brand, plain_times, raw
 
 
-def in_parts(s: SparkSession, at: str, parts: list[DataFrame]) -> DataFrame:
-    """A stream of one file for each part, in this order."""
-    for part in parts:
-        part.coalesce(1).write.mode("append").parquet(f"{at}/in")
-    return events.file_stream(s, f"{at}/in", parts[0].schema, 1)
+FILE_ROWS = 250_000  # events for each file that a part is written in
+
+
+def files(s: SparkSession, d: str) -> int:
+    """In how many files a part is written, by the events there are; the footers tell."""
+    return max(1, ceil(s.read.parquet(f"{d}/events.parquet").count() / FILE_ROWS))
+
+
+def in_parts(s: SparkSession, at: str, parts: list[DataFrame], n: int) -> DataFrame:
+    """A stream of one batch for each part, in this order.
+
+    A batch takes n files, so each part is written in n, as many tasks; one of too few rows for that is filled up with empty files.
+    """
+    none = s.createDataFrame([], parts[0].schema)
+    for k, part in enumerate(parts, 1):
+        part.repartition(n).write.mode("append").parquet(f"{at}/in")
+        for _ in range(n * k - sum(f.endswith(".parquet") for f in manifest.names(s, f"{at}/in"))):
+            none.coalesce(1).write.mode("append").parquet(f"{at}/in")
+    return events.file_stream(s, f"{at}/in", parts[0].schema, n)
 
 
 def timed(s: SparkSession, d: str) -> DataFrame:
@@ -33,7 +48,7 @@ def five_days() -> Column:
 def ordered(s: SparkSession, d: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """make() over the events as a stream, five days a batch."""
     at, rows = scratch.path(s, "ordered"), timed(s, d)
-    streaming.run_available(make(in_parts(s, at, [rows.filter(five_days() == k) for k in range(6)])), f"{at}/out", f"{at}/checkpoint")
+    streaming.run_available(make(in_parts(s, at, [rows.filter(five_days() == k) for k in range(6)], files(s, d))), f"{at}/out", f"{at}/checkpoint")
     return plain_times(s.read.parquet(f"{at}/out"))
 
 
@@ -64,7 +79,7 @@ def baselines(s: SparkSession, d: str) -> DataFrame:
     """Ten days a batch; the second batch fails after it has been written, and is run again."""
     at, failed = scratch.path(s, "baselines"), []
     rows = hourly_brand(s, d).select("brand", F.col("window_start").cast("timestamp").alias("window_start"), "views")
-    stream = in_parts(s, at, [rows.filter(third("window_start") == k) for k in range(3)])
+    stream = in_parts(s, at, [rows.filter(third("window_start") == k) for k in range(3)], files(s, d))
 
     def once(batch: DataFrame, number: int) -> None:
         stateful.add_batch(batch, number, f"{at}/out")
@@ -98,7 +113,7 @@ def part() -> str:
 
 def split(s: SparkSession, d: str) -> str:
     at, rows = scratch.path(s, "split"), timed(s, d)
-    stream = in_parts(s, at, [rows.filter(F.expr(part()) == k) for k in range(3)])
+    stream = in_parts(s, at, [rows.filter(F.expr(part()) == k) for k in range(3)], files(s, d))
     stateful.start_split(stream, f"{at}/out", f"{at}/checkpoint", trigger={"availableNow": True}).awaitTermination()
     return f"{at}/out"
 
@@ -153,10 +168,10 @@ add("stream_view_purchase_pairs", lambda s, d: ordered(s, d, stateful.views_to_p
 add("stream_views_without_purchase", lambda s, d: told(ordered(s, d, lambda x: stateful.views_to_purchases(x, kind="left_outer")), s, d, "view_time", 24), PAIRS + f"\nFINAL SELECT * FROM j WHERE {past('view_time', 24)}", PRICES)
 
 
-# Progress: a file for each five days, a batch for each file, and a stop after three batches.
+# Progress: a batch for each five days, and a stop after three batches.
 def progress(s: SparkSession, d: str) -> DataFrame:
     at, rows = scratch.path(s, "progress"), timed(s, d)
-    stream = in_parts(s, at, [rows.filter(five_days() == k) for k in range(6)])
+    stream = in_parts(s, at, [rows.filter(five_days() == k) for k in range(6)], files(s, d))
     log = stateful.ProgressLog(f"{at}/progress", 3, "watched")
     begin = lambda: streaming.tumbling(stream).writeStream.queryName("watched").format("parquet").outputMode("append").option("path", f"{at}/out").option("checkpointLocation", f"{at}/checkpoint").trigger(processingTime="0 seconds").start()
     stateful.watch(s, begin, log)

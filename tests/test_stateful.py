@@ -5,6 +5,7 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
+from conftest import DATA, same
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -206,3 +207,28 @@ def test_clear_drops_names_of_tables_in_scratch(spark, tmp_path):
     assert "clickloom_outside" in left and "clickloom_inside" not in left
     spark.sql("DROP TABLE clickloom_outside")
     scratch.clear(spark)  # nothing there any more
+
+
+def test_a_part_is_one_batch_of_many_files(spark, tmp_path):
+    """Whatever a part holds: more rows than files, fewer, or none."""
+    from clickloom.plans import stateful as plans
+
+    at, sizes, seen = str(tmp_path / "parts"), [50, 2, 0, 9], {}
+    parts = [spark.range(k * 100, k * 100 + n) for k, n in enumerate(sizes)]
+    stream = plans.in_parts(spark, at, parts, 4)
+    assert len(list((tmp_path / "parts" / "in").glob("*.parquet"))) == 16
+    query = stream.writeStream.foreachBatch(lambda batch, number: seen.update({number: sorted(r.id for r in batch.collect())})).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [seen[k] for k in range(4)] == [list(range(k * 100, k * 100 + n)) for k, n in enumerate(sizes)]
+
+
+@pytest.mark.parametrize("name", ["stream_late_table", "stream_views_without_purchase", "stream_progress", "stream_baselines"])
+def test_streams_of_many_files_against_sql(spark, duck, monkeypatch, name):
+    from clickloom.plans import registry
+    from clickloom.plans import stateful as plans
+
+    n_files, in_parts = [], plans.in_parts
+    monkeypatch.setattr(plans, "FILE_ROWS", 300)  # of a thousand events: four files a part
+    monkeypatch.setattr(plans, "in_parts", lambda s, at, parts, n: n_files.append(n) or in_parts(s, at, parts, n))
+    same(registry.QUERIES[name](spark, DATA).toPandas(), duck.execute(registry.ORACLES[name]).df())
+    assert n_files and n_files[0] > 1
