@@ -250,3 +250,20 @@ def test_events_are_one_before_they_are_copied(spark, tmp_path):
     want = funnel.dedup(funnel.clean(routes.dense(spark, str(tmp_path))))
     got = routes.dense_silver(spark, str(tmp_path)).select(*want.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 1000
+
+
+def test_late_rows_come_by_many_tasks(spark, monkeypatch):
+    from pathlib import Path
+
+    from clickloom.plans import registry
+
+    read, file_stream = [], events.file_stream
+    monkeypatch.setattr(events, "file_stream", lambda s, path, *rest: read.append(path) or file_stream(s, path, *rest))
+    for name, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.coalescePartitions.enabled", "false")):
+        spark.conf.set(name, value)
+    try:
+        assert registry.QUERIES["stream_late_rows"](spark, DATA).first().late_rows == 10
+    finally:
+        for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled"):
+            spark.conf.unset(name)
+    assert len(list(Path(read[0].removeprefix("file://")).glob("*.parquet"))) > 2
