@@ -267,3 +267,20 @@ def test_late_rows_come_by_many_tasks(spark, monkeypatch):
         for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled"):
             spark.conf.unset(name)
     assert len(list(Path(read[0].removeprefix("file://")).glob("*.parquet"))) > 2
+
+
+def test_a_lake_takes_little_room(spark, tmp_path):
+    """Raw files and tables are compressed, rows that are alike lie side by side, and silver moves and sorts its rows once."""
+    from clickloom.plans import routes
+
+    raw = routes.as_csv(spark, routes.dense(spark, DATA).filter("event_date < DATE '2024-01-08'"), "csv", "gzip")
+    paths = lakehouse.build(spark, f"{raw}/month=*/*.csv.gz", f"file://{tmp_path}/lake")
+    files = sorted((tmp_path / "lake" / "bronze").rglob("*.parquet"))
+    assert files and all(f.name.endswith(".zstd.parquet") for f in files)
+    for file in files[:5]:
+        times = pd.read_parquet(file, columns=["event_time"]).event_time
+        assert times.is_monotonic_increasing
+    found = lakehouse.silver_of(spark.read.parquet(paths["bronze"]))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
