@@ -58,121 +58,132 @@ def begin(shape: Shape, counts: np.ndarray, seed: int = 7) -> dict[str, np.ndarr
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    np.multiply(x, np.float32(0.5), out=x)
-    np.tanh(x, out=x)
+    """In place; the exponential takes less time than the hyperbolic tangent."""
+    np.negative(x, out=x)
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
     x += 1
-    x *= np.float32(0.5)
-    return x
+    return np.divide(1, x, out=x)
 
 
-def forward(p: dict, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """Hidden states after each input (window x lanes x hidden + 1), and what the backward pass needs.
+def forward(p: dict, inputs: np.ndarray, state: np.ndarray, keep: bool = True) -> tuple[np.ndarray, tuple]:
+    """Hidden states after each input (window x lanes x hidden + 1), and what the backward pass needs, unless it isn't to be kept: then states alone.
 
     state is hidden x lanes: within the loop lanes come last, so that gates are contiguous.
     """
     h, steps = len(state), len(inputs)
-    gates = np.ascontiguousarray(p["x"][inputs].transpose(0, 2, 1))
+    gates = np.empty((steps if keep else 1, 3 * h, inputs.shape[1]), p["x"].dtype)
     states = np.empty((steps + 1, *state.shape), np.float32)
-    fresh, inner = np.empty((2, steps, *state.shape), np.float32)
+    fresh, inner = np.empty((2, steps if keep else 1, *state.shape), np.float32)
     states[0] = state
     for t in range(steps):
+        k = t if keep else 0
+        gate = gates[k]
+        gate[:] = p["x"].take(inputs[t], 0).T
         both = p["u"] @ states[t]
-        gates[t, : 2 * h] += both[: 2 * h]
-        _sigmoid(gates[t, : 2 * h])
-        inner[t] = both[2 * h :]
-        n = np.multiply(gates[t, :h], inner[t], out=fresh[t])
-        n += gates[t, 2 * h :]
+        gate[: 2 * h] += both[: 2 * h]
+        _sigmoid(gate[: 2 * h])
+        inner[k] = both[2 * h :]
+        n = np.multiply(gate[:h], inner[k], out=fresh[k])
+        n += gate[2 * h :]
         np.tanh(n, out=n)
         now = np.subtract(states[t], n, out=states[t + 1])
-        now *= gates[t, h : 2 * h]
+        now *= gate[h : 2 * h]
         now += n
     out = np.ones((*inputs.shape, h + 1), np.float32)
     out[:, :, :h] = states[1:].transpose(0, 2, 1)
-    return out, (states, gates, fresh, inner)
+    return out, (states, gates, fresh, inner) if keep else (states,)
 
 
-def _softmax(weights: np.ndarray, wide: bool, hidden: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(log probability of each target, exponentials, their sums). Hidden states stay within -1 and 1, so only wide weights can overflow."""
-    e = hidden @ weights.T
+def _softmax(weights: np.ndarray, wide: bool, hidden: np.ndarray, cell: np.ndarray, logit: np.ndarray, total: np.ndarray, back: np.ndarray | None, room: np.ndarray, ones: np.ndarray) -> np.ndarray | None:
+    """Fills logit of each target (whose place among all products is its cell) and total of all exponentials; with back, it gets the gradient by hidden times -total, and that by weights comes back.
+
+    Hidden states stay within -1 and 1, so only wide weights can overflow. Exponentials are made in room, which stays in the cache.
+    """
+    n, k = len(hidden), len(weights)
+    flat = room[: n * k]
+    e = flat.reshape(n, k)
+    np.matmul(hidden, weights.T, out=e)
     if wide:
         e -= e.max(1, keepdims=True)
-    part = e[np.arange(len(target)), target]
+    flat.take(cell, out=logit, mode="clip")
     np.exp(e, out=e)
-    total = e @ np.ones(e.shape[1], np.float32)
-    return part - np.log(total), e, total
-
-
-def _towards(e: np.ndarray, total: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Target minus probability, in place."""
-    e *= (-1 / total)[:, None]
-    e[np.arange(len(target)), target] += 1
-    return e
-
-
-def output(p: dict, starts: np.ndarray, hidden: np.ndarray, target: np.ndarray, step: Step | None = None, piece: int = 256) -> tuple[np.ndarray, np.ndarray | None]:
-    """Natural log probability of each target; with a step, it gets the gradients by "c" and "w", and that by hidden comes back."""
-    cls = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[target]
-    logp, back = np.empty(len(target), np.float32), np.empty_like(hidden) if step else None
-    wide = {name: bool(np.abs(p[name]).sum(1).max(initial=0) > 80) for name in ("c", "w")}
-    d_c = np.zeros_like(p["c"])
-    for a in range(0, len(target), piece):
-        h, k = hidden[a : a + piece], cls[a : a + piece]
-        logp[a : a + piece], e, total = _softmax(p["c"], wide["c"], h, k)
-        if step:
-            e = _towards(e, total, k)
-            back[a : a + piece] = e @ p["c"]
-            d_c += e.T @ h
-    order = np.argsort(narrow(cls, len(starts)), kind="stable")
-    cuts = np.cumsum([0, *np.bincount(cls, minlength=len(starts) - 1)])
-    by_class, words = hidden[order], target[order]
-    found, returned = np.empty(len(target), np.float32), np.empty_like(by_class) if step else None
-    for k in np.flatnonzero(np.diff(cuts)).tolist():
+    np.matmul(e, ones[:k], out=total)
+    if back is None:
+        return None
+    flat[cell] -= total
+    np.matmul(e, weights[:, :-1], out=back)
+    return e.T @ (hidden / -total[:, None])
+
+
+def output(p: dict, starts: np.ndarray, hidden: np.ndarray, target: np.ndarray, step: Step | None = None, piece: int = 1 << 15) -> tuple[np.ndarray, np.ndarray | None]:
+    """Natural log probability of each target; with a step, it gets the gradients by "c" and "w", and that by hidden comes back.
+
+    Targets are sorted, so that those of a class lie together; about `piece` exponentials are in hand at a time.
+    """
+    n, kind, sizes = len(target), p["c"].dtype, np.diff(starts)
+    order = np.argsort(narrow(target, starts[-1]), kind="stable")
+    words, h = target.take(order), hidden.astype(kind, copy=False).take(order, 0)
+    cuts = np.searchsorted(words, starts)
+    cls = np.repeat(np.arange(len(sizes)), np.diff(cuts))
+    wide = {name: bool((np.abs(p[name]) @ np.ones(h.shape[1], kind)).max(initial=0) > 80) for name in ("c", "w")}
+    logit, total = np.zeros((2, n), kind), np.ones((2, n), kind)
+    back = np.zeros((2, n, h.shape[1] - 1), kind) if step else (None, None)
+    rows, most = np.maximum(16, piece // sizes), max(16, piece // len(sizes))
+    room = np.empty(max(int((np.minimum(rows, n) * sizes).max(initial=0)), min(most, n) * len(sizes)), kind)
+    ones = np.ones(max(len(sizes), int(sizes.max(initial=0))), kind)
+    places = np.arange(n)
+    cells = places % most * len(sizes) + cls, (places - cuts[cls]) % rows[cls] * sizes[cls] + words - starts[cls]
+
+    def over(level: int, weights: np.ndarray, wide: bool, rows: int, a: int, b: int) -> np.ndarray | None:
+        found = None
+        for k in range(a, b, rows):
+            part = slice(k, min(k + rows, b))
+            g = _softmax(weights, wide, h[part], cells[level][part], logit[level, part], total[level, part], back[level][part] if step else None, room, ones)
+            if found is None:
+                found = g
+            else:
+                found += g
+        return found
+
+    d_c = over(0, p["c"], wide["c"], most, 0, n)
+    bounds, rows = cuts.tolist(), rows.tolist()
+    for k in np.flatnonzero((np.diff(cuts) > 0) & (sizes > 1)).tolist():
         a, b = starts[k], starts[k + 1]
-        if b - a == 1:
-            found[cuts[k] : cuts[k + 1]] = 0
-            if step:
-                returned[cuts[k] : cuts[k + 1]] = 0
-            continue
-        d_w = 0
-        for at in range(cuts[k], cuts[k + 1], 4 * piece):
-            rows = slice(at, min(at + 4 * piece, cuts[k + 1]))
-            h, w = by_class[rows], words[rows] - a
-            found[rows], e, total = _softmax(p["w"][a:b], wide["w"], h, w)
-            if step:
-                e = _towards(e, total, w)
-                returned[rows] = e @ p["w"][a:b]
-                d_w = d_w + e.T @ h
+        d_w = over(1, p["w"][a:b], wide["w"], rows[k], bounds[k], bounds[k + 1])
         if step:
             step("w", slice(a, b), d_w)
-    logp[order] += found
-    if step:
-        back[order] += returned
+    logp = np.empty(n, np.float32)
+    logp[order] = (logit - np.log(total)).sum(0)
+    if not step:
+        return logp, None
+    if n:
         step("c", slice(None), d_c)
-    return logp, back
+    back /= -total[:, :, None]
+    by_hidden = np.zeros_like(hidden)  # the column of ones has no gradient
+    by_hidden[:, :-1][order] = back[0] + back[1]
+    return logp, by_hidden
 
 
 def backward(p: dict, inputs: np.ndarray, kept: tuple, d_out: np.ndarray, step: Step) -> None:
     """Gradients by the recurrent parameters within one window."""
     states, gates, fresh, inner = kept
     h = states.shape[1]
-    d_out = np.ascontiguousarray(d_out[:, :, :h].transpose(0, 2, 1))
     d_given = np.empty((len(inputs), 3 * h, inputs.shape[1]), np.float32)
     d_u, both, carry = np.zeros_like(p["u"]), np.empty(d_given.shape[1:], np.float32), np.zeros_like(states[0])
     back = np.ascontiguousarray(p["u"].T)
     for t in range(len(inputs) - 1, -1, -1):
         r, z, n = gates[t, :h], gates[t, h : 2 * h], fresh[t]
-        carry += d_out[t]
-        kept_off = 1 - z
+        carry += d_out[t].T[:h]
+        given = 1 - z
+        given *= carry
         d_r, d_z, d_n = (d_given[t, k * h : (k + 1) * h] for k in range(3))
         np.multiply(n, n, out=d_n)
         np.subtract(1, d_n, out=d_n)
-        d_n *= carry
-        d_n *= kept_off
+        d_n *= given
         np.subtract(states[t], n, out=d_z)
-        d_z *= carry
+        d_z *= given
         d_z *= z
-        d_z *= kept_off
         np.subtract(1, r, out=d_r)
         d_r *= r
         d_r *= inner[t]
@@ -183,11 +194,17 @@ def backward(p: dict, inputs: np.ndarray, kept: tuple, d_out: np.ndarray, step:
         carry *= z
         carry += back @ both
         np.clip(carry, -10, 10, out=carry)  # gradients may grow over a long window
-    flat, words = d_given.transpose(0, 2, 1).reshape(-1, 3 * h), inputs.reshape(-1)
-    order = np.argsort(narrow(words, len(p["x"])), kind="stable")
-    firsts = np.flatnonzero(np.diff(words[order], prepend=-1))
     step("u", slice(None), d_u)
-    step("x", words[order][firsts], np.add.reduceat(flat[order], firsts, 0))
+    # Sums by word, one column after the other where they lie.
+    words = inputs.reshape(-1)
+    there = np.zeros(len(p["x"]), bool)
+    there[words] = True
+    used = np.flatnonzero(there)
+    number = np.cumsum(there)[words] - 1
+    d_x = np.empty((3 * h, len(used)), np.float32)
+    for k in range(3 * h):
+        d_x[k] = np.bincount(number, d_given[:, k].astype(np.float64).reshape(-1), len(used))
+    step("x", used, np.ascontiguousarray(d_x.T))
 
 
 def lanes(documents: list[np.ndarray], shape: Shape) -> Iterator[np.ndarray]:
@@ -202,33 +219,38 @@ def windows(documents: list[np.ndarray], end: int, cells: int, shortest: int) ->
     A lane stops with its document. A window has `shortest` steps, or more if that keeps it under cells.
     """
     lengths = np.array([len(d) for d in documents])
+    flat = np.concatenate([[end], *documents], dtype=np.int32, casting="same_kind")
+    begins = 1 + np.cumsum(lengths) - lengths
     at, first = 0, 0
     while first < len(documents):
-        going = documents[first:]
-        steps = max(shortest, cells // len(going))
+        steps = max(shortest, cells // (len(documents) - first))
         steps = min(steps, int(lengths[-1]) - at)
-        target = np.full((steps, len(going)), end, np.int64)
-        inputs = np.full((steps, len(going)), end, np.int64)
-        for k, d in enumerate(going):
-            part = d[at : at + steps]
-            target[: len(part), k] = part
-            before = d[max(at - 1, 0) : at + len(part) - 1]
-            inputs[len(part) - len(before) : len(part), k] = before
-        real = np.arange(at, at + steps)[:, None] < lengths[None, first:]
+        now = np.arange(at, at + steps)[:, None]
+        real = now < lengths[first:]
+        cell = (begins[first:] + now) * real
+        target = flat.take(cell)
+        inputs = flat.take(np.maximum(cell - 1, 0))
+        if not at:
+            inputs[0] = end
         yield inputs, target, real, first
         at += steps
         first = int(np.searchsorted(lengths, at, side="right"))
 
 
+def chosen(x: np.ndarray, real: np.ndarray) -> np.ndarray:
+    """Rows of the cells of a window that are real."""
+    return x.reshape(-1, *x.shape[2:]) if real.all() else x[real]
+
+
 def score(p: dict, starts: np.ndarray, shape: Shape, documents: list[np.ndarray], end: int, cells: int = 1 << 15) -> np.ndarray:
     """Natural log probability of each document, its state carried over all its windows."""
     out = np.zeros(len(documents))
     for block in lanes(documents, shape):
         state = np.zeros((shape.hidden, len(block)), np.float32)
         for inputs, target, real, first in windows([documents[k] for k in block], end, cells, shape.window):
-            hidden, kept = forward(p, inputs, state[:, state.shape[1] - inputs.shape[1] :])
+            hidden, kept = forward(p, inputs, state[:, state.shape[1] - inputs.shape[1] :], keep=False)
             state = kept[0][-1]
-            logp, _ = output(p, starts, hidden[real], target[real])
+            logp, _ = output(p, starts, chosen(hidden, real), chosen(target, real))
             out[block[first:]] += np.bincount(np.nonzero(real)[1], weights=logp, minlength=inputs.shape[1])
     return out
 
@@ -264,7 +286,11 @@ class Trainer:
             for inputs, target, real, _ in windows([documents[k] for k in block], end, self.shape.cells, self.shape.window):
                 hidden, kept = forward(self.p, inputs, state[:, state.shape[1] - inputs.shape[1] :])
                 state = kept[0][-1]
-                d_out = np.zeros_like(hidden)
-                _, d_out[real] = output(self.p, self.starts, hidden[real], target[real], self.step)
+                _, back = output(self.p, self.starts, chosen(hidden, real), chosen(target, real), self.step)
+                if len(back) == real.size:
+                    d_out = back.reshape(hidden.shape)
+                else:
+                    d_out = np.zeros_like(hidden)
+                    d_out[real] = back
                 backward(self.p, inputs, kept, d_out, self.step)
                 self.tokens += int(real.sum())

@@ -178,16 +178,17 @@ def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: g
     spark = docs.sparkSession
     learnt = docs.filter(id_crc_mod("doc_id", folds) != held_out)
     counts = save(count_words(learnt), "counts")
-    n_docs, n_bytes = learnt.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.col("text").cast("string")))).first()
-    totals = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    n_words, n_distinct = totals[0] or 0, totals[1]
+    n_docs = learnt.count()
+    # A byte between words: texts are not read again for their size.
+    totals = counts.agg(F.sum("n"), F.count(F.lit(1)), F.sum(F.col("n") * (F.octet_length("word") + 1))).first()
+    n_words, n_distinct, n_bytes = totals[0] or 0, totals[1], totals[2] or 0
     n, v = n_words + n_docs, n_distinct + (1 if n_docs else 0)
     top = frequent_words(counts, frequent)
     top_n = np.array([r.n for r in top], np.int64)
     words = Words([r.word for r in top], min(inside, len(top)))
     known = np.concatenate([[n_docs, n_words - top_n[:inside].sum()], top_n[:inside]]).astype(float)
     starts = gru.classes(known)
-    p = train(learnt, words, known, shape, rounds, rate, max(1, ceil((n_bytes or 0) / rounds / learner_bytes)))
+    p = train(learnt, words, known, shape, rounds, rate, max(1, ceil(n_bytes / rounds / learner_bytes)))
     sent = spark.sparkContext.broadcast((p, words, top_n))
     all_log = float(np.log10(n + v + 1))
     other_log = float(np.log10(n_words - int(top_n[:inside].sum()) + (n_distinct - words.inside) + 1))

@@ -524,6 +524,30 @@ def test_network_slopes_are_right():
             assert abs((up - down) / 2e-2 - found[name][at]) < 2e-2 * max(1, abs(found[name][at])), name
 
 
+def test_scoring_keeps_no_gates():
+    """Hidden states are those of training, without what only the backward pass needs; extreme gates neither overflow nor warn."""
+    p, _, _, rng = toy_network()
+    p["x"][3], p["x"][4] = 200, -200
+    inputs, state = rng.integers(0, 40, (6, 5)), np.zeros((3, 5), np.float32)
+    with np.errstate(all="raise", under="ignore"):
+        hidden, kept = gru.forward(p, np.vstack([inputs, np.full((2, 5), 3), np.full((2, 5), 4)]), state)
+        again, states = gru.forward(p, np.vstack([inputs, np.full((2, 5), 3), np.full((2, 5), 4)]), state, keep=False)
+    assert (hidden == again).all() and np.isfinite(hidden).all() and len(states) == 1 and (states[0] == kept[0]).all()
+
+
+def test_windows_hold_every_token_once():
+    rng = np.random.default_rng(4)
+    documents = [np.append(rng.integers(1, 40, n), 0) for n in (0, 1, 1, 4, 9, 30, 61)]
+    got, before = [[] for _ in documents], [[] for _ in documents]
+    for inputs, target, real, first in gru.windows(documents, 0, 16, 4):
+        assert not target[~real].any() and not inputs[~real].any()
+        for k in range(inputs.shape[1]):
+            got[first + k] += target[real[:, k], k].tolist()
+            before[first + k] += inputs[real[:, k], k].tolist()
+    assert got == [d.tolist() for d in documents] and before == [[0, *d[:-1].tolist()] for d in documents]
+    assert not list(gru.windows([], 0, 16, 4))
+
+
 def test_training_carries_the_state(monkeypatch):
     """A long document is learnt from as one sequence: every window after the first begins where the last one ended."""
     p, starts, shape, rng = toy_network()
