@@ -247,11 +247,22 @@ def score(p: dict, starts: np.ndarray, shape: Shape, documents: list[np.ndarray]
     out = np.zeros(len(documents))
     for block in lanes(documents, shape):
         state = np.zeros((shape.hidden, len(block)), np.float32)
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def settle(block=block, held=held) -> None:
+            hidden, target, lane = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            out[block] += np.bincount(lane, weights=output(p, starts, hidden, target)[0], minlength=len(block))
+
         for inputs, target, real, first in windows([documents[k] for k in block], end, cells, shape.window):
             hidden, kept = forward(p, inputs, state[:, state.shape[1] - inputs.shape[1] :], keep=False)
             state = kept[0][-1]
-            logp, _ = output(p, starts, chosen(hidden, real), chosen(target, real))
-            out[block[first:]] += np.bincount(np.nonzero(real)[1], weights=logp, minlength=inputs.shape[1])
+            lane = np.broadcast_to(np.arange(first, len(block)), real.shape)
+            held.append((chosen(hidden, real), chosen(target, real), chosen(lane, real)))
+            if sum(len(x[1]) for x in held) >= 2 * cells:
+                settle()
+        if held:
+            settle()
     return out
 
 
@@ -260,17 +271,15 @@ class Trainer:
 
     def __init__(self, p: dict, starts: np.ndarray, shape: Shape, rate: float):
         self.p, self.starts, self.shape, self.rate, self.tokens = {k: v.copy() for k, v in p.items()}, starts, shape, np.float32(rate), 0
-        self.speed = {k: np.full_like(v, 1e-2) for k, v in p.items()}
-        # The same for all windows, so that those of few tokens move little.
-        self.scale = np.float32(1 / np.sqrt(shape.lanes * shape.window))
+        # Gradients would be divided by the root of a whole window, the same for all, so that those of few tokens move little; the start is multiplied instead.
+        self.speed = {k: np.full_like(v, 1e-2 * shape.lanes * shape.window) for k, v in p.items()}
         self.rng = np.random.default_rng(3)
 
     def step(self, name: str, rows: np.ndarray | slice, g: np.ndarray) -> None:
-        g = g * self.scale
         speed = self.speed[name][rows]
         speed += g * g
+        g = g / np.sqrt(speed)
         g *= self.rate
-        g /= np.sqrt(speed)
         if isinstance(rows, slice):  # speed was a view
             self.p[name][rows] += g
         else:

@@ -169,7 +169,7 @@ def train(docs: DataFrame, words: Words, counts: np.ndarray, shape: gru.Shape, r
     return p
 
 
-def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: gru.Shape = gru.Shape(), rounds: int = 2, rate: float = 0.5, frequent: int = 1 << 16, inside: int = (1 << 15) - 2, learner_bytes: int = 16 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: gru.Shape = gru.Shape(), rounds: int = 2, rate: float = 0.5, frequent: int = 1 << 16, inside: int = (1 << 15) - 2, learner_bytes: int = 16 << 20, hashed: int = 1 << 19) -> DataFrame:
     """docs: doc_id, text; learns from documents outside fold `held_out` of crc32(doc_id) modulo folds.
 
     The network knows the first `inside` words; the counts of `frequent` words are sent to the tasks, those of others are joined.
@@ -226,7 +226,9 @@ def score_documents(docs: DataFrame, folds: int = 7, held_out: int = 2, shape: g
 
     scored = save(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema), "scored")
     each = scored.select("row", F.explode("rare").alias("e")).select("row", "e.word", "e.times")
-    joined = each.join(counts, "word", "left").select("row", "times", F.coalesce("n", F.lit(0)).alias("n"))
+    # Counts are hashed instead of sorting both sides; partitions are so many that each holds about `hashed` words of them.
+    parts = max(shuffle_partitions(spark), ceil(n_distinct / hashed))
+    joined = each.repartition(parts, "word").join(counts.repartition(parts, "word").hint("shuffle_hash"), "word", "left").select("row", "times", F.coalesce("n", F.lit(0)).alias("n"))
     logs = F.log10(F.col("n") + F.lit(1.0))
     by_row = joined.groupBy("row").agg(F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("r_known"), F.sum(F.col("times") * (logs - all_log)).alias("r_base"), F.sum(F.col("times") * (logs - other_log)).alias("r_score"))
     whole = scored.drop("rare").join(by_row, "row", "left")
