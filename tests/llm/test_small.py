@@ -440,6 +440,14 @@ def test_language_model(spark, docs, none):
     assert op9_gru_lm.score_documents(none).count() == 0
 
 
+def test_rare_words_are_joined_in_any_number_of_partitions(spark):
+    table = spark.createDataFrame([(k, f"a b c{k % 7} d{k % 11} e{k}") for k in range(40)], "doc_id long, text string")
+    few, many = ({r.doc_id: r for r in op9_gru_lm.score_documents(table, frequent=3, hashed=n).collect()} for n in (1 << 19, 4))
+    assert len(few) == len(many) == 40
+    for k, r in few.items():
+        assert (r.n_known, r.n_tokens) == (many[k].n_known, many[k].n_tokens) and abs(r.base_score - many[k].base_score) < 1e-9 and abs(r.score - many[k].score) < 1e-3
+
+
 def test_network_knows_the_most_frequent_words(spark, monkeypatch):
     seen = {}
 
