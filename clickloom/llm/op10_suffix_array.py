@@ -33,7 +33,9 @@ def byte_index(width: int):
         # A context has width - 1 more bytes than windows.
         slot = np.full(len(data), -1, np.int64)
         slot[np.arange(len(value)) + np.repeat(np.arange(len(shard.width)) * (width - 1), shard.width)] = np.arange(len(value))
-        order = suffix_array(data.astype(np.uint64) + np.uint64(1))
+        # Symbols are the ranks of the bytes that occur, so that few triples are possible.
+        symbol = np.cumsum(np.bincount(data, minlength=256) > 0).astype(np.uint64)
+        order = suffix_array(symbol[data])
         order = order[slot[order] >= 0]
         group = equal_windows(data, order, width)
         firsts = np.flatnonzero(np.diff(group, prepend=-1))

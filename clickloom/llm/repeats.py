@@ -3,17 +3,20 @@
 Documents are packed into chunks (a bucketed scratch table, so later passes over the text need no
 shuffle). Windows are split into runs by their minimal q-gram hash (``winnow``), and then:
 
-1. each chunk sends its distinct minima to shards by hash; a shard answers which of them occur more
-   than once in the corpus, and which have very many contexts;
+1. each chunk sends its distinct minima, with 16 bits of a hash of each context, to key groups by hash; a group
+   answers which of them occur more than once in the corpus, and which have very many different contexts;
 2. each chunk sends the contexts of repeated minima to shards, identical contexts of a chunk once.
-   Minima with very many contexts (a hot passage with ever different surroundings) are dealt window
-   by window instead, by the hash of the window, so the texts of a hot passage are spread;
+   Minima with very many different contexts (a hot passage with ever different surroundings) are dealt window
+   by window instead, by the hash of the window, so the texts of a hot passage are spread. A passage
+   that comes often in the same surroundings has few contexts and is not: how many minima are dealt so
+   does not grow with mere copies;
 3. a shard runs the index of the operator (suffix sort or FM-index) over its contexts and answers
    with one bit a window;
 4. the chunk turns the bits into covered units and the units into what is left of each document.
 
-What moves between chunks and shards are packed arrays, a row for each pair of chunk and shard that have a minimum in common,
-so never more rows than minima. Shards and buckets of chunks grow in number with the text, not in size.
+What moves between chunks and shards are packed arrays, a row for each pair of chunk and group of shards that have a minimum
+in common, so never more rows than minima. Shards and buckets of chunks grow in number with the text, not in size; a group
+is one shard, or up to eight neighbours where there are very many, which are searched one after the other.
 """
 
 from __future__ import annotations
@@ -58,12 +61,14 @@ class Units:
 
 @dataclass(frozen=True)
 class Sizes:
-    """Bytes of text in a chunk and, about, in a shard and a bucket of chunks; contexts from which a minimum is dealt window by window."""
+    """Bytes of text in a chunk and, about, in a shard, a key group and a bucket of chunks; different contexts from which a minimum is dealt window by window; shards from which on two (then three, up to eight) are a group."""
 
     chunk_bytes: int = 2 << 20
     shard_bytes: int = 4 << 20
     bucket_bytes: int = 32 << 20
     heavy: int = 4096
+    keys_bytes: int = 32 << 20
+    grouped: int = 512
 
 
 def pack(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -107,6 +112,7 @@ class Chunk:
             tokens = winnow.word_hashes(self.data, self.starts, self.stops)
         else:
             self.unit_ends, tokens = self.ends, self.data
+        self.tokens = tokens
         self.key, self.first, self.stop = winnow.runs(tokens, self.unit_ends, units.window, units.gram)
         self.document = np.searchsorted(self.unit_ends, self.first, side="right")
 
@@ -125,14 +131,34 @@ class Chunk:
         spans = zip(self.starts[first].tolist(), self.stops[last - 1].tolist(), strict=True)
         return [b" ".join(self.raw[a:b].split()) for a, b in spans]
 
-    def distinct(self, flags: dict[int, bytes], shards: int) -> Entries:
-        """Contexts of the runs that flags (by shard) call repeated, each distinct one once."""
-        keys = np.unique(self.key)
-        shard = shard_of(keys, shards)
-        flag = np.zeros(len(keys), np.uint8)
-        for k, got in flags.items():
-            flag[shard == k] = np.frombuffer(got, np.uint8)
-        flag = flag[np.searchsorted(keys, self.key)]
+    def minima(self, groups: int, tagged: bool = False) -> Minima:
+        """The distinct minima by key group; tagged: the distinct pairs of a minimum and 16 bits of a context's hash."""
+        if tagged:
+            tag = (winnow.span_hashes(self.tokens, self.first, self.stop + self.units.window - 1) >> np.uint64(48)).astype(np.uint16)
+            order = np.lexsort((tag, self.key))
+        else:
+            tag, order = np.zeros(len(self.key), np.uint16), np.argsort(self.key)
+        key, tag = self.key[order], tag[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (tag[1:] != tag[:-1])
+        firsts = np.flatnonzero(new)
+        group = shard_of(key[firsts], groups)
+        by_group = np.argsort(group, kind="stable")
+        place = np.empty(len(firsts), np.int64)
+        place[by_group] = np.arange(len(firsts))
+        of = np.empty(len(key), np.int64)
+        of[order] = place[np.cumsum(new) - 1]
+        counts = np.diff(np.append(firsts, len(key)))
+        return Minima(key[firsts][by_group], tag[firsts][by_group], counts[by_group], group[by_group], of)
+
+    def distinct(self, answers: list, groups: int, shards: int) -> Entries:
+        """Contexts of the runs that answers (of key groups) call repeated, each distinct one once."""
+        found = self.minima(groups)
+        flag = np.zeros(len(found.key), np.uint8)
+        for x in answers:
+            at = int(np.searchsorted(found.group, x["shard"]))
+            flag[at : at + len(x["flags"])] = np.frombuffer(x["flags"], np.uint8)
+        flag = flag[found.of]
         light, heavy = np.flatnonzero(flag == 1), np.flatnonzero(flag == 2)
         n = self.stop - self.first
         each = np.repeat(heavy, n[heavy])
@@ -160,6 +186,15 @@ class Chunk:
         return Entries(texts, key, least, np.bincount(entry, minlength=len(known)), width, shard_of(key, shards), entry, first, docs)
 
 
+@dataclass
+class Minima:
+    key: np.ndarray
+    tag: np.ndarray
+    count: np.ndarray
+    group: np.ndarray  # ascending
+    of: np.ndarray  # of each run: its minimum, or pair
+
+
 @dataclass
 class Entries:
     texts: list[bytes]
@@ -177,49 +212,65 @@ def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
     return ((key >> np.uint64(7)) % np.uint64(shards)).astype(np.int64)
 
 
-def send_keys(batches: Iterator[pa.RecordBatch], units: Units, shards: int) -> Iterator[pa.RecordBatch]:
+def pieces(values: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+    """The bytes of values from each cut to the next."""
+    raw, step = values.tobytes(), values.itemsize
+    ends = [*(cuts[1:] * step).tolist(), len(raw)]
+    return [raw[a:b] for a, b in zip((cuts * step).tolist(), ends, strict=True)]
+
+
+def send_keys(batches: Iterator[pa.RecordBatch], units: Units, groups: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             chunk = Chunk(row, units)
-            keys, counts = np.unique(chunk.key, return_counts=True)
-            if not len(keys):
+            found = chunk.minima(groups, True)
+            if not len(found.key):
                 continue
-            shard = shard_of(keys, shards)
-            order = np.argsort(shard, kind="stable")
-            cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
-            parts = np.split(order, cuts[1:])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shard[order][cuts], pa.int64()), pa.array([chunk.id] * len(parts), pa.int64()), pa.array([keys[p].tobytes() for p in parts], pa.binary()), pa.array([np.minimum(counts[p], 65535).astype(np.uint16).tobytes() for p in parts], pa.binary())],
-                names=["shard", "chunk", "keys", "counts"],
-            )
+            cuts = np.flatnonzero(np.diff(found.group, prepend=-1))
+            fields = [pieces(x, cuts) for x in (found.key, found.tag, np.minimum(found.count, 255).astype(np.uint8))]
+            yield pa.RecordBatch.from_arrays([pa.array(found.group[cuts], pa.int64()), pa.array([chunk.id] * len(cuts), pa.int64()), *[pa.array(x, pa.binary()) for x in fields]], names=["shard", "chunk", "keys", "tags", "counts"])
 
 
 def answer_keys(pdf: pd.DataFrame, heavy: int) -> pd.DataFrame:
-    """For each chunk's keys: 0 once in the corpus, 1 repeated, 2 repeated and heavy."""
-    keys = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["keys"]])
-    counts = np.concatenate([np.frombuffer(x, np.uint16) for x in pdf["counts"]]).astype(np.int64)
-    _, inverse = np.unique(keys, return_inverse=True)
-    total = np.bincount(inverse, weights=counts)
-    flag = ((total >= 2).astype(np.uint8) + (total >= heavy))[inverse].astype(np.uint8)
-    ends = np.cumsum([len(x) // 8 for x in pdf["keys"]])
-    flags = [x.tobytes() if x.any() else None for x in np.split(flag, ends[:-1])]
+    """For each chunk's minima: 0 once in the corpus, 1 repeated, 2 repeated and in `heavy` different contexts or more."""
+    keys, tags, counts = (np.frombuffer(b"".join(pdf[name]), kind) for name, kind in (("keys", np.uint64), ("tags", np.uint16), ("counts", np.uint8)))
+    order = np.lexsort((tags, keys))
+    key, tag = keys[order], tags[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    firsts = np.flatnonzero(new)
+    total = np.add.reduceat(counts[order].astype(np.int64), firsts)
+    new[1:] |= tag[1:] != tag[:-1]
+    contexts = np.add.reduceat(new.astype(np.int64), firsts)
+    found = (total >= 2).astype(np.uint8) + ((total >= 2) & (contexts >= heavy))
+    flag = np.empty(len(key), np.uint8)
+    flag[order] = np.repeat(found, np.diff(np.append(firsts, len(key))))
+    # A message has a minimum's contexts side by side; one flag is sent for each minimum.
+    begins = np.cumsum([0, *[len(x) // 8 for x in pdf["keys"]]])[:-1]
+    own = np.ones(len(keys), bool)
+    own[1:] = keys[1:] != keys[:-1]
+    own[begins] = True
+    cuts = np.cumsum(own)[begins] - 1
+    flags = [x if any(x) else None for x in pieces(flag[own], cuts)]
     return pd.DataFrame({"chunk": pdf["chunk"], "shard": pdf["shard"], "flags": flags}).dropna(subset=["flags"])
 
 
-def send_contexts(batches: Iterator[pa.RecordBatch], units: Units, shards: int) -> Iterator[pa.RecordBatch]:
+def send_contexts(batches: Iterator[pa.RecordBatch], units: Units, groups: int, shards: int, per: int) -> Iterator[pa.RecordBatch]:
+    """A row for each group of `per` shards."""
     squeeze = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         for row in batch.to_pylist():
-            e = Chunk(row, units).distinct({x["shard"]: x["flags"] for x in row["answers"]}, shards)
+            e = Chunk(row, units).distinct(row["answers"], groups, shards)
             if not e.texts:
                 continue
             order = np.argsort(e.shard, kind="stable")
-            cuts = np.flatnonzero(np.diff(e.shard[order], prepend=-1))
-            parts = np.split(order, cuts[1:])
-            fields = [[squeeze.compress(b"".join([e.texts[k] for k in p.tolist()])) for p in parts]]
-            fields += [[np.array([len(e.texts[k]) for k in p.tolist()], np.int32).tobytes() for p in parts]]
-            fields += [[x[p].astype(t).tobytes() for p in parts] for x, t in ((e.least, np.int64), (e.count, np.int32), (e.width, np.int32))]
-            yield pa.RecordBatch.from_arrays([pa.array(e.shard[order][cuts], pa.int64()), pa.array([row["chunk"]] * len(parts), pa.int64()), *[pa.array(x, pa.binary()) for x in fields]], names=["shard", "chunk", "texts", "sizes", "least", "counts", "widths"])
+            group = e.shard[order] // per
+            cuts = np.flatnonzero(np.diff(group, prepend=-1))
+            texts = [e.texts[k] for k in order.tolist()]
+            sizes = np.array([len(x) for x in texts], np.int32)
+            fields = [[squeeze.compress(b"".join(texts[a:b])) for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(texts)], strict=True)], pieces(sizes, cuts)]
+            fields += [pieces(x[order].astype(t), cuts) for x, t in ((e.least, np.int64), (e.count, np.int32), (e.width, np.int32), (e.shard % per, np.uint8))]
+            yield pa.RecordBatch.from_arrays([pa.array(group[cuts], pa.int64()), pa.array([row["chunk"]] * len(cuts), pa.int64()), *[pa.array(x, pa.binary()) for x in fields]], names=["shard", "chunk", "texts", "sizes", "least", "counts", "widths", "members"])
 
 
 @dataclass
@@ -244,6 +295,7 @@ def answer_contexts(pdf: pd.DataFrame, index: Index, by_document: bool) -> pd.Da
     """
     known: dict[bytes, int] = {}
     at, least, count, width = [], [], [], []
+    members = np.frombuffer(b"".join(pdf["members"]), np.uint8)
     unsqueeze = zstandard.ZstdDecompressor()
     for row in pdf.itertuples():
         joined, end = unsqueeze.decompress(row.texts), 0
@@ -260,8 +312,15 @@ def answer_contexts(pdf: pd.DataFrame, index: Index, by_document: bool) -> pd.Da
     total = np.bincount(entry, weights=np.concatenate(count), minlength=n).astype(np.int64)
     widths = np.zeros(n, np.int64)
     widths[entry] = np.concatenate(width)
-    value = index(Shard(list(known), smallest, total, widths))
-    begin = np.cumsum(widths) - widths
+    member = np.zeros(n, np.uint8)
+    member[entry] = members
+    texts, values, begin, end = list(known), [], np.zeros(n, np.int64), 0
+    for one in np.unique(member).tolist():
+        of = np.flatnonzero(member == one)
+        values.append(index(Shard([texts[k] for k in of.tolist()], smallest[of], total[of], widths[of])))
+        begin[of] = end + np.cumsum(widths[of]) - widths[of]
+        end += int(widths[of].sum())
+    value = np.concatenate(values)
     # A message at a time, which bounds the memory: the windows of its entries, in order.
     replies, end = [], 0
     for own_least, own_width in zip(least, width, strict=True):
@@ -272,19 +331,18 @@ def answer_contexts(pdf: pd.DataFrame, index: Index, by_document: bool) -> pd.Da
     return pd.DataFrame({"chunk": pdf["chunk"], "shard": pdf["shard"], "bits": replies})
 
 
-def covered(chunk: Chunk, row: dict, shards: int, by_document: bool) -> np.ndarray:
+def covered(chunk: Chunk, row: dict, groups: int, shards: int, per: int, by_document: bool) -> np.ndarray:
     """Which units of a chunk lie in a window that goes."""
-    e = chunk.distinct({x["shard"]: x["flags"] for x in row["answers"]}, shards)
-    begin = np.zeros(len(e.texts), np.int64)
-    bits = [np.zeros(0, bool)]
-    end = 0
-    for k, got in sorted((x["shard"], x["bits"]) for x in row["replies"]):
-        of = np.flatnonzero(e.shard == k)
-        n = int(e.width[of].sum())
-        begin[of] = end + np.cumsum(e.width[of]) - e.width[of]
-        bits.append(np.unpackbits(np.frombuffer(got, np.uint8), count=n).astype(bool))
-        end += n
-    flags = np.concatenate(bits)
+    e = chunk.distinct(row["answers"], groups, shards)
+    # The windows of the contexts in the order in which they were sent, and those of each message.
+    order = np.argsort(e.shard, kind="stable")
+    ends = np.concatenate([[0], np.cumsum(e.width[order])])
+    begin = np.zeros(len(order), np.int64)
+    begin[order] = ends[:-1]
+    cuts = np.flatnonzero(np.diff(e.shard[order] // per, prepend=-1))
+    sent = np.diff(ends[np.append(cuts, len(order))])
+    bits = [np.unpackbits(np.frombuffer(got, np.uint8), count=n) for (_, got), n in zip(sorted((x["shard"], x["bits"]) for x in row["replies"]), sent.tolist(), strict=True)]
+    flags = np.concatenate([np.zeros(0, np.uint8), *bits]).astype(bool)
     # Contexts that go as a whole, or not at all, need no look at their windows.
     seen = np.concatenate([[0], np.cumsum(flags)])
     hits = seen[begin + e.width] - seen[begin]
@@ -310,12 +368,16 @@ def find(docs: DataFrame, units: Units, index: Index, finish: Callable, schema:
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     buckets = max(shuffle_partitions(spark), size // sizes.bucket_bytes)
     chunks = save_bucketed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *([F.struct(*others).alias("others")] if others else [])).mapInArrow(lambda it: pack(it, sizes.chunk_bytes), CHUNK), "chunks", "chunk", buckets)
-    shards = max(2 * shuffle_partitions(spark), size // sizes.shard_bytes)
-    keys = chunks.mapInArrow(lambda it: send_keys(it, units, shards), "shard long, chunk long, keys binary, counts binary")
+    least = 2 * shuffle_partitions(spark)
+    groups = max(least, size // sizes.keys_bytes)
+    shards = max(least, size // sizes.shard_bytes)
+    per = min(8, max(1, shards // max(least, sizes.grouped)))
+    shards = -(-shards // per) * per
+    keys = chunks.mapInArrow(lambda it: send_keys(it, units, groups), "shard long, chunk long, keys binary, tags binary, counts binary")
     flags = save(keys.groupBy("shard").applyInPandas(lambda pdf: answer_keys(pdf, sizes.heavy), "chunk long, shard long, flags binary"), "flags")
     answers = flags.groupBy("chunk").agg(F.collect_list(F.struct("shard", "flags")).alias("answers"))
     asked = chunks.join(answers, "chunk")
-    contexts = asked.mapInArrow(lambda it: send_contexts(it, units, shards), "shard long, chunk long, texts binary, sizes binary, least binary, counts binary, widths binary")
+    contexts = asked.mapInArrow(lambda it: send_contexts(it, units, groups, shards, per), "shard long, chunk long, texts binary, sizes binary, least binary, counts binary, widths binary, members binary")
     replies = save(contexts.groupBy("shard").applyInPandas(lambda pdf: answer_contexts(pdf, index, by_document), "chunk long, shard long, bits binary"), "replies")
     replies = replies.groupBy("chunk").agg(F.collect_list(F.struct("shard", "bits")).alias("replies"))
     ready = chunks.join(answers, "chunk", "left").join(replies, "chunk", "left")
@@ -325,6 +387,6 @@ def find(docs: DataFrame, units: Units, index: Index, finish: Callable, schema:
             for row in batch.to_pylist():
                 row |= {"answers": row["answers"] or [], "replies": row["replies"] or []}
                 chunk = Chunk(row, units)
-                yield finish(chunk, covered(chunk, row, shards, by_document))
+                yield finish(chunk, covered(chunk, row, groups, shards, per, by_document))
 
     return ready.mapInArrow(result, schema)

@@ -37,20 +37,25 @@ def word_spans(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, stops, np.searchsorted(starts, ends)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """A 64-bit polynomial hash of every word, from one running sum over the bytes."""
-    power = np.full(len(data) + 1, _BASE)
+def span_hashes(units: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A 64-bit polynomial hash of each span of units, from one running sum over them."""
+    power = np.full(len(units) + 1, _BASE)
     power[:1] = 1
     np.multiply.accumulate(power, out=power)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
+    total = np.zeros(len(units) + 1, np.uint64)
+    np.cumsum((units.astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
     inverse = np.uint64(pow(int(_BASE), -1, 2**64))
-    unpower = np.full(len(data) + 1, inverse)
+    unpower = np.full(len(units) + 1, inverse)
     unpower[:1] = 1
     np.multiply.accumulate(unpower, out=unpower)
     return mix64((total[stops] - total[starts]) * unpower[starts] + (stops - starts).astype(np.uint64))
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every word."""
+    return span_hashes(data, starts, stops)
+
+
 def mixed_grams(units: np.ndarray, gram: int) -> np.ndarray:
     """A 64-bit hash of every gram of units."""
     h, n, k = units.astype(np.uint64), 1, 0
