@@ -100,6 +100,29 @@ def test_the_log_stops_after_n_batches(spark):
     assert not [q for q in spark.streams.active if q.name == "logged"]
 
 
+def test_a_first_build_reads_raw_files_once(spark, tmp_path, monkeypatch):
+    """They are written by many tasks and taken into bronze, of which the marks are made; a second build finds the same marks in the raw files."""
+    from clickloom.plans import routes
+
+    monkeypatch.setattr(routes, "RAW_EVENTS", 200, raising=False)
+    marked, fingerprints = [], manifest.fingerprints
+    monkeypatch.setattr(manifest, "fingerprints", lambda df, by: marked.append((df.inputFiles(), fingerprints(df, by))) or marked[-1][1])
+    found = {}
+    monkeypatch.setattr(lakehouse, "build", lambda s, glob, root, *rest, build=lakehouse.build: found.update(glob=glob, root=root) or build(s, glob, root, *rest))
+    one = routes.lakehouse_tables(spark, DATA).collect()
+    raw = spark.read.option("header", True).csv(found["glob"])
+    assert len(raw.inputFiles()) >= 5 and raw.count() == 30 * spark.read.parquet(f"{DATA}/events.parquet").count()
+    assert all(f.endswith(".parquet") for f in marked[0][0])
+    lakehouse.build(spark, found["glob"], found["root"])
+    assert not any(f.endswith(".parquet") for f in marked[1][0]) and marked[0][1] == marked[1][1] and one
+
+
+def test_raw_files_without_rows_make_no_table(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text(",".join(f.name for f in events.EVENT_SCHEMA) + "\n")
+    paths = lakehouse.build(spark, f"file://{tmp_path}/raw.csv", f"file://{tmp_path}/lake")
+    assert not manifest.days_of(spark, paths["bronze"], "event_date")
+
+
 def test_ranks_against_one_window(spark):
     df = spark.range(2000).select(F.when(F.col("id") % 3 != 0, "hot").when(F.col("id") % 7 != 0, (F.col("id") % 5).cast("string")).alias("g"), F.when(F.col("id") % 13 != 0, F.pmod(F.xxhash64("id"), F.lit(50)) / 7).alias("v"), "id")
     found = ranks.percent_ranks(df, "g", "v", "p")
